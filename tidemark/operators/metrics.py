@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +55,9 @@ def roc_auc(df: DataFrame, label: str = "label", proba: str = "proba", ranges: i
         .filter("score IS NOT NULL")
     )
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    edges = scores.agg(F.percentile_approx("score", steps).alias("edges")).scalar()
-    placed = scores.select(
-        "*", F.size(F.filter(F.array_distinct(edges), lambda edge: edge < F.col("score"))).alias("range")
-    )
+    edges = scores.agg(F.percentile_approx("score", steps)).first()[0] or [0.0]
+    splits = [-math.inf, *sorted(set(edges)), math.inf]
+    placed = Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(scores)
     totals = placed.groupBy("range").agg(F.sum("neg").alias("range_neg"))
     # ``ranges`` rows at most.
     below = Window.partitionBy(F.lit(0)).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

@@ -48,7 +48,7 @@ class Featurizer:
 def fit_forest(
     features: DataFrame, trees: int = 200, depth: int = 30, seed: int = 42, label_col: str = "label"
 ) -> RandomForestClassificationModel:
-    return RandomForestClassifier(
+    forest = RandomForestClassifier(
         labelCol=label_col,
         featuresCol="features",
         numTrees=trees,
@@ -56,7 +56,9 @@ def fit_forest(
         featureSubsetStrategy="sqrt",
         maxMemoryInMB=512,
         seed=seed,
-    ).fit(features)
+    )
+    # The copy leaves the training summary behind, whose session reference cannot go to executors.
+    return forest.fit(features).copy()
 
 
 def forest_predictions(model: RandomForestClassificationModel, features: DataFrame) -> DataFrame:

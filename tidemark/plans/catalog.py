@@ -56,8 +56,8 @@ from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, repair_types, un
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SYNC_SINCE = "1997-01-01 00:00:00"
-SERVED_AS_OF = "1998-08-02 00:00:00"
+SYNC_SINCE = "1999-01-01 00:00:00"
+SERVED_AS_OF = "2001-08-01 00:00:00"
 NEIGHBOURS = 11
 
 
@@ -304,7 +304,7 @@ def cdc_typed(spark, folder):
     changes = order_changes(spark, folder).select(
         "order_id",
         "lsn",
-        F.expr("CASE WHEN lsn % 7 = 0 THEN concat('n/a ', amount) WHEN lsn % 13 = 0 THEN concat(amount, '0000000000') ELSE amount END").alias("amount"),
+        F.expr("CASE WHEN lsn % 7 = 0 THEN concat('n/a ', amount) WHEN lsn % 13 = 0 THEN concat('9999999999', amount) ELSE amount END").alias("amount"),
         F.expr("CASE WHEN lsn % 11 = 0 THEN 'soon' ELSE date_format(updated_at, \"yyyy-MM-dd'T'HH:mm:ss\") END").alias("updated_at"),
     )
     return repair_types(changes, ORDER_CASTS)
@@ -327,12 +327,12 @@ def cdc_merge(spark, folder):
 
 @query("cdc_merge_deletes")
 def cdc_merge_deletes(spark, folder):
-    """Clause merge: creates as target; per key the last later change, some without op, some new keys."""
+    """Clause merge: creates before June 1998 as target; the last later change of every order, early ones without op."""
     columns = ["order_id", "customer_id", "status", "amount"]
     changes = _typed(order_changes(spark, folder))
-    target = changes.filter("op = 'c' AND order_id % 6 <> 0").select(*columns)
+    target = changes.filter("op = 'c' AND updated_at < '1998-06-01'").select(*columns)
     later = latest_per_key(changes.filter("op <> 'c'"), ["order_id"], ["ts_ms", "lsn"])
-    source = later.select(*columns, F.expr("CASE WHEN order_id % 14 = 0 THEN NULL ELSE op END").alias("_op"))
+    source = later.select(*columns, F.expr("CASE WHEN updated_at >= '1996-01-01' THEN op END").alias("_op"))
     return plan_merge(target, source, ["order_id"])
 
 
@@ -401,17 +401,20 @@ def _delivered(spark, name: str, before: DataFrame, now: DataFrame) -> DataFrame
 
 @query("deliver_reviews_daily")
 def deliver_reviews_daily(spark, folder):
-    """Metrics of the first batch delivered, then those of everything upserted over them."""
-    first = conform_reviews(reviews_src(spark, folder).filter("_batch_id = 'B1' AND review_id % 3 <> 0"), ["_batch_id"])
-    return _delivered(
-        spark, "gold_reviews_daily", gold.reviews_daily(first), gold.reviews_daily(conform_reviews(reviews_src(spark, folder).filter("product_id <> 'web'"), ["_batch_id"]))
+    """Metrics of the first batch delivered, then those of the second upserted over them."""
+    first, second = (
+        gold.reviews_daily(conform_reviews(reviews_src(spark, folder).filter(F.col("_batch_id") == batch), ["_batch_id"]))
+        for batch in ("B1", "B2")
     )
+    return _delivered(spark, "gold_reviews_daily", first, second)
 
 
 @query("deliver_engagement")
 def deliver_engagement(spark, folder):
-    first = gold.engagement_daily(_silver_posts(spark, folder).filter("post_id % 2 = 0"))
-    return _delivered(spark, "gold_subreddit_engagement", first, gold.engagement_daily(_silver_posts(spark, folder)))
+    """Metrics of all posts delivered, then those of the engaged posts upserted over them."""
+    posts = _silver_posts(spark, folder)
+    first, second = gold.engagement_daily(posts), gold.engagement_daily(posts.filter("is_engaged"))
+    return _delivered(spark, "gold_subreddit_engagement", first, second)
 
 
 @query("deliver_orders")
@@ -524,8 +527,8 @@ def promotion(spark, folder):
     )
     run = F.concat_ws("/", "event_type", F.col("day").cast("string"))
     versions = days.select(F.col("event_type").alias("model"), F.col("day").alias("version"), run.alias("run_id"))
-    scores = days.filter("day % 7 <> 0").select(run.alias("run_id"), F.lit("test_f1_macro").alias("metric"), "value")
-    aliases = versions.filter("model <> 'view'").groupBy("model").agg(F.min("version").alias("version"))
+    scores = days.filter("value >= 50").select(run.alias("run_id"), F.lit("test_f1_macro").alias("metric"), "value")
+    aliases = versions.filter("model <> 'click'").groupBy("model").agg(F.min("version").alias("version"))
     return promote(versions, scores, aliases.withColumn("alias", F.lit("champion")), min_uplift=0.01)
 
 
