@@ -124,14 +124,12 @@ def start_cdc(
     return writer.trigger(**trigger).start()
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], once: bool = False) -> None:
+def await_all(queries: Sequence[StreamingQuery], poll_seconds: int = 5) -> None:
     """Wait for every query; the first failure stops the others and surfaces."""
+    waiting = list(queries)
     try:
-        if once:
-            for query in queries:
-                query.awaitTermination()
-        else:
-            spark.streams.awaitAnyTermination()
+        while waiting:
+            waiting = [query for query in waiting if not query.awaitTermination(poll_seconds)]
     finally:
         for query in queries:
             query.stop()
