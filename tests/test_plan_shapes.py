@@ -1,0 +1,73 @@
+"""What must hold for plans at any scale."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import gold
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.merge import plan_merge, plan_versioned, with_tombstones
+from tidemark.plans.fixtures import customers_src, table
+from tidemark.streaming.cdc import serving_view
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_ranks_before_the_shuffle(spark):
+    plan = physical(latest_per_key(table(spark, FOLDER, "orders"), ["o_custkey"], ["o_orderdate"]))
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_aggregates_combine_before_the_shuffle_and_read_needed_columns(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    table(spark, FOLDER, "documents").select(
+        F.lit("2024-01-01").cast("date").alias("review_date"), F.col("source").alias("product_id"), F.lit(5).alias("score"),
+        F.lit("positive").alias("sentiment_label"), F.col("text").alias("text_clean"), F.col("text"), F.col("doc_id").alias("review_id"),
+    ).write.parquet(path)
+    silver = spark.read.parquet(path)
+    daily = physical(gold.reviews_daily(silver))
+    assert "partial_avg" in daily and daily.count("Exchange") == 1
+    assert "review_id" not in daily
+    features = physical(gold.text_features(silver))
+    assert "PushedFilters: [IsNotNull(sentiment_label)" in features and "Exchange" not in features
+
+
+def test_enriching_orders_broadcasts_only_by_size(spark):
+    orders = table(spark, FOLDER, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("amount"), F.lit("USD").alias("currency"), F.col("o_orderdate").alias("updated_at"),
+    )
+    joined = gold.orders_enriched(orders, customers_src(spark, FOLDER))
+    assert "BroadcastHashJoin" in physical(joined)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(gold.orders_enriched(orders, customers_src(spark, FOLDER)))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("merge", ["clauses", "versions"])
+def test_small_changes_do_not_shuffle_the_table(spark, merge, tmp_path):
+    target = table(spark, FOLDER, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"), F.lit(1).alias("at"))
+    staged = str(tmp_path / "changes")
+    spark.createDataFrame([(1, "x", 2, "u")], "order_id long, status string, at int, _op string").write.parquet(staged)
+    changes = spark.read.parquet(staged)
+    if merge == "clauses":
+        plan = physical(plan_merge(target, changes.drop("at"), ["order_id"]))
+    else:
+        plan = physical(plan_versioned(target.withColumn("_deleted", F.lit(False)), with_tombstones(changes), ["order_id"], ["at"]))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_no_cartesian_products(spark):
+    from __spark_entry__ import queries
+
+    for name in ("orders_enriched", "cdc_merge", "tfidf_weights", "term_df", "seq_ids", "promotion", "latest_change"):
+        plan = physical(queries()[name](spark, FOLDER))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
