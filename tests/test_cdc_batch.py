@@ -16,7 +16,7 @@ def source(spark, *rows):
 
 
 def live(spark, settings):
-    table = read_live(spark, settings.path("silver", "cdc_orders"), ORDERS.keys)
+    table = read_live(spark, settings.path("silver", "cdc_orders"), ORDERS)
     return {r["order_id"]: r["status"] for r in table.collect()}
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,9 @@ from tidemark.operators.quality import DataQualityError
 from tidemark.plans.cdc_stream import run_cdc
 from tidemark.plans.fixtures import envelopes, order_changes, posts_src, reviews_src
 from tidemark.plans.pipeline import run_pipeline
-from tidemark.plans.silver import build_silver
-from tidemark.sources.tables import read_batches, read_table
+from tidemark.plans.bronze import run_bronze
+from tidemark.plans.silver import build_silver, read_silver, run_silver, silver_table
+from tidemark.sources.tables import read_batches, read_table, replace_batches
 from tidemark.streaming.cdc import change_stream
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,7 +55,7 @@ def test_all_stages(spark, settings, landing, tmp_path):
 
     bronze = read_batches(spark, settings.path("bronze", "reviews"))
     assert {"_ingest_ts", "_source", "_batch_id"} <= set(bronze.columns) and "batch_id" not in bronze.columns
-    silver = read_table(spark, settings.path("silver", "reviews"))
+    silver = read_silver(spark, settings, "reviews")
     expected = reviews_src(spark, FOLDER).filter("_batch_id = 'B1' AND score BETWEEN 1 AND 5").count()
     assert silver.count() == expected
     audit = spark.read.parquet(settings.path("_meta", "dq_audit"))
@@ -62,7 +64,12 @@ def test_all_stages(spark, settings, landing, tmp_path):
     assert enriched.count() == 1350 and enriched.filter("full_name = 'n'").count() == enriched.filter("customer_id = 7").count()
 
     first = {name: _content(spark, settings, name) for name in done["gold"]}
-    run_pipeline(spark, settings, ("bronze", "silver", "gold"))
+    again = run_pipeline(spark, settings, ("bronze", "silver", "gold"))
+    assert again["bronze"] == {} and again["silver"] == []
+    assert {name: _content(spark, settings, name) for name in done["gold"]} == first
+    assert run_bronze(spark, settings, replay=True) == done["bronze"]
+    assert run_silver(spark, settings, full=True) == done["silver"]
+    run_pipeline(spark, settings, ("gold",))
     assert {name: _content(spark, settings, name) for name in done["gold"]} == first
 
 
@@ -86,18 +93,47 @@ def test_a_failed_gate_publishes_nothing_but_the_audit(spark, settings):
     bad.write.partitionBy("_batch_id").parquet(settings.path("bronze", "reviews"))
     with pytest.raises(DataQualityError):
         build_silver(spark, settings, "reviews")
-    assert read_table(spark, settings.path("silver", "reviews")) is None
+    assert read_silver(spark, settings, "reviews") is None
     assert spark.read.parquet(settings.path("_meta", "dq_audit")).count() == 1
 
 
-def test_quarantine_and_batch_selection(spark, settings):
-    rows = [(1, 5, "b1"), (2, 99, "b1"), (3, 4, "b2")]
-    bronze = spark.createDataFrame(rows, "review_id long, score long, _batch_id string").select(
-        "*", F.lit("text").alias("text"), F.lit("s").alias("summary"), F.current_timestamp().alias("review_ts"), F.current_timestamp().alias("_ingest_ts")
+def bronze_rows(spark, settings, *rows):
+    df = spark.createDataFrame(rows, "review_id long, score long, text string, _batch_id string").select(
+        "*", F.lit("s").alias("summary"), F.current_timestamp().alias("review_ts"), F.current_timestamp().alias("_ingest_ts")
     )
-    bronze.write.partitionBy("_batch_id").parquet(settings.path("bronze", "reviews"))
-    assert build_silver(spark, settings, "reviews", batch_ids=["b1"], quarantine=True)
-    assert [r["review_id"] for r in read_table(spark, settings.path("silver", "reviews")).collect()] == [1]
+    replace_batches(df, settings.path("bronze", "reviews"))
+
+
+def scores(spark, settings):
+    return sorted((r["review_id"] or 0, r["score"]) for r in read_silver(spark, settings, "reviews").collect())
+
+
+def test_silver_takes_new_batches_only(spark, settings):
+    bronze_rows(spark, settings, (1, 5, "t", "b1"), (2, 99, "t", "b1"))
+    assert build_silver(spark, settings, "reviews", quarantine=True)
     assert [r["review_id"] for r in read_table(spark, settings.path("quarantine", "reviews")).collect()] == [2]
-    assert build_silver(spark, settings, "reviews", batch_ids=["b2"])
-    assert sorted(r["review_id"] for r in read_table(spark, settings.path("silver", "reviews")).collect()) == [1, 3]
+    assert not build_silver(spark, settings, "reviews")
+    bronze_rows(spark, settings, (1, 4, "t", "b2"), (3, 4, "t", "b2"))
+    assert build_silver(spark, settings, "reviews")
+    assert scores(spark, settings) == [(1, 4), (3, 4)]
+    # An older batch that is merged again does not win over a newer one.
+    bronze_rows(spark, settings, (1, 1, "t", "b1"), (5, 2, "t", "b1"))
+    assert build_silver(spark, settings, "reviews", full=True)
+    assert scores(spark, settings) == [(1, 4), (3, 4), (5, 2)]
+    silver_table(settings, "reviews").compact(spark)
+    silver_table(settings, "reviews").compact(spark)
+    assert scores(spark, settings) == [(1, 4), (3, 4), (5, 2)]
+
+
+def test_rows_without_key_are_kept_once_per_merge(spark, settings):
+    lenient = replace(settings, fail_pct=60.0)
+    bronze_rows(spark, settings, (None, 5, "t", "b1"), (None, 4, "u", "b1"), (1, 3, "t", "b1"))
+    assert build_silver(spark, lenient, "reviews")
+    table = silver_table(settings, "reviews")
+    for _ in range(3):
+        table.compact(spark)
+        assert len(scores(spark, settings)) == 2
+    bronze_rows(spark, settings, (None, 2, "t", "b2"), (7, 3, "t", "b2"))
+    assert build_silver(spark, lenient, "reviews")
+    table.compact(spark)
+    assert len(scores(spark, settings)) == 4

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQueryException
 
 from tidemark.sources.tables import list_folders
-from tidemark.streaming.cdc import CUSTOMERS, ORDERS, TableSpec, await_all, change_stream, compact, read_live, read_state, serving_view, start_cdc
+from tidemark.streaming.cdc import CUSTOMERS, ORDERS, TableSpec, await_all, change_stream, read_live, serving_view, start_cdc
 from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, unwrap
 
 
@@ -32,7 +32,7 @@ def drain(spark, tmp_path):
         stream = change_stream(spark, "text", str(inbox), maxFilesPerTrigger="1", latestFirst="false")
         query = start_cdc(stream, spec, target, str(tmp_path / "checkpoint"), once=True, compact_every=compact_every)
         await_all([query], 1)
-        live = read_live(spark, target, spec.keys)
+        live = read_live(spark, target, spec)
         return {} if live is None else {r["order_id"]: r["status"] for r in live.collect()}
 
     run.target = target
@@ -77,7 +77,7 @@ def test_equal_times_are_ordered_by_log_position(drain):
 
 def test_records_without_op_or_key_are_ignored(drain, spark):
     assert drain(["garbage", json.dumps({"op": "u", "after": {"status": "x"}}), order(1, "a", "c", 1)]) == {1: "a"}
-    assert read_state(spark, drain.target, ["order_id"]).count() == 1
+    assert ORDERS.table(drain.target).state(spark).count() == 1
 
 
 def test_compaction_keeps_the_state(drain, spark):
@@ -86,8 +86,8 @@ def test_compaction_keeps_the_state(drain, spark):
     assert len(list_folders(spark, f"{drain.target}/changes")) < 7
     assert list_folders(spark, f"{drain.target}/base", complete=True)
     state = drain([order(0, "after", "u", 99)], compact_every=1)
-    compact(spark, drain.target, ["order_id"])
-    assert {r["order_id"]: r["status"] for r in read_live(spark, drain.target, ["order_id"]).collect()} == state
+    ORDERS.table(drain.target).compact(spark)
+    assert {r["order_id"]: r["status"] for r in read_live(spark, drain.target, ORDERS).collect()} == state
     assert state[0] == "after"
 
 

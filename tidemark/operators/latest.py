@@ -8,6 +8,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """The last tie-breaker: depends on the content of a row only."""
+    return F.xxhash64(*sorted(columns))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str | Column]) -> DataFrame:
     """One row per key: the greatest by ``order_cols``, NULLs last, any remaining tie broken by row content.
 
@@ -15,5 +20,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str
     hot key costs one row per task, not its whole group.
     """
     order = [F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in order_cols]
-    window = Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*df.columns).desc())
+    window = Window.partitionBy(*keys).orderBy(*order, row_hash(df.columns).desc())
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

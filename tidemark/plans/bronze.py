@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.settings import Settings
-from tidemark.sources.tables import read_batches, replace_batches
+from tidemark.sources.progress import finish, stored_batches, unfinished
+from tidemark.sources.tables import BATCH_COLUMN, read_batches, replace_batches
 
 ENTITIES = ("reviews", "reddit_posts")
 
@@ -15,10 +16,16 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_ingest_ts": F.current_timestamp(), "_source": F.lit(source)})
 
 
-def run_bronze(spark: SparkSession, settings: Settings) -> dict[str, int]:
+def run_bronze(spark: SparkSession, settings: Settings, replay: bool = False) -> dict[str, int]:
+    """Rows written per entity. Only batches not yet in bronze are read; ``replay`` takes all again."""
     written = {}
     for entity in ENTITIES:
-        landed = read_batches(spark, settings.path("landing", "normalized", entity))
-        if landed is not None:
+        source = settings.path("landing", "normalized", entity)
+        batches = stored_batches(spark, source)
+        if not replay:
+            batches = unfinished(spark, settings, "bronze", entity, batches)
+        if batches:
+            landed = read_batches(spark, source).filter(F.col(BATCH_COLUMN).isin(batches))
             written[entity] = replace_batches(with_lineage(landed, entity), settings.path("bronze", entity))
+            finish(spark, settings, "bronze", entity, batches)
     return written

@@ -386,7 +386,7 @@ def cdc_stream(spark, folder):
     envelopes(order_changes(spark, folder)).write.text(inbox)
     stream = change_stream(spark, "text", inbox)
     start_cdc(stream, ORDERS, target, checkpoint, once=True).awaitTermination()
-    return read_live(spark, target, ORDERS.keys)
+    return read_live(spark, target, ORDERS)
 
 
 # --- delivery ------------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from tidemark.operators.merge import reconcile_deletes
 from tidemark.session import materialized
 from tidemark.settings import Settings
 from tidemark.sources.incremental import extract_since, max_watermark, read_watermark, write_watermark
-from tidemark.streaming.cdc import TableSpec, append_changes, read_live
+from tidemark.streaming.cdc import TableSpec, read_live
 
 WATERMARK_COLUMN = "updated_at"
 
@@ -41,7 +41,7 @@ def sync_table(
     with materialized(extract_since(source, wm_col, since, overlap), f"sync-{spec.name}") as incoming:
         rows = incoming.count()
         if rows:
-            append_changes(as_changes(incoming, wm_col), settings.path("silver", f"cdc_{spec.name}"), spec.keys)
+            spec.table(settings.path("silver", f"cdc_{spec.name}")).merge(as_changes(incoming, wm_col))
             reached = max_watermark(incoming, wm_col).first()["watermark"]
             write_watermark(spark, watermarks, spec.name, reached)
     return rows
@@ -55,9 +55,9 @@ def reconcile(source_keys: DataFrame, spec: TableSpec, settings: Settings) -> No
     """Hard deletes, which a watermark cannot see: what the source no longer has is deleted now."""
     spark: SparkSession = source_keys.sparkSession
     path = settings.path("silver", f"cdc_{spec.name}")
-    current = read_live(spark, path, spec.keys)
+    current = read_live(spark, path, spec)
     if current is None:
         return
     gone = reconcile_deletes(current, source_keys, spec.keys)
     stamped = as_changes(gone.withColumn("_seen", F.current_timestamp()), "_seen", op="d").drop("_seen")
-    append_changes(stamped, path, spec.keys)
+    spec.table(path).merge(stamped)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tidemark.operators.gold import engagement_daily, orders_enriched, reviews_daily, text_features
+from tidemark.plans.silver import read_silver
 from tidemark.settings import Settings
-from tidemark.sources.tables import read_table, rebuild
+from tidemark.sources.tables import rebuild
 from tidemark.streaming.cdc import CUSTOMERS, ORDERS, read_live
 
 
@@ -18,10 +19,10 @@ def run_gold(spark: SparkSession, settings: Settings) -> list[str]:
         rebuild(df, settings.path("gold", name), partition_by)
         built.append(name)
 
-    reviews = read_table(spark, settings.path("silver", "reviews"))
-    posts = read_table(spark, settings.path("silver", "reddit_posts"))
-    orders = read_live(spark, settings.path("silver", "cdc_orders"), ORDERS.keys)
-    customers = read_live(spark, settings.path("silver", "cdc_customers"), CUSTOMERS.keys)
+    reviews = read_silver(spark, settings, "reviews")
+    posts = read_silver(spark, settings, "reddit_posts")
+    orders = read_live(spark, settings.path("silver", "cdc_orders"), ORDERS)
+    customers = read_live(spark, settings.path("silver", "cdc_customers"), CUSTOMERS)
     if reviews is not None:
         publish("gold_reviews_daily", reviews_daily(reviews), ["review_date"])
         publish("gold_text_features", text_features(reviews))

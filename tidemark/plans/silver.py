@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,9 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Rule, check, rejected
 from tidemark.session import materialized
 from tidemark.settings import Settings
-from tidemark.sources.tables import publish_upsert, read_batches, rebuild
+from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.progress import finish, stored_batches, unfinished
+from tidemark.sources.tables import BATCH_COLUMN, read_batches, rebuild
 
 RECENCY = ("_batch_id", "_ingest_ts")
 
@@ -47,25 +50,37 @@ SILVER: dict[str, tuple[Callable[[DataFrame], DataFrame], Sequence[Rule], list[s
 }
 
 
+# The newer batch wins; of two merges of one batch, the later one.
+MERGED = "_merge_seq"
+VERSION = (BATCH_COLUMN, MERGED)
+
+
+def silver_table(settings: Settings, entity: str) -> KeyedTable:
+    return KeyedTable(settings.path("silver", entity), SILVER[entity][2], VERSION)
+
+
+def read_silver(spark: SparkSession, settings: Settings, entity: str) -> DataFrame | None:
+    live = silver_table(settings, entity).live(spark)
+    return None if live is None else live.drop(MERGED)
+
+
 def build_silver(
-    spark: SparkSession,
-    settings: Settings,
-    entity: str,
-    batch_ids: Sequence[str] | None = None,
-    quarantine: bool = False,
+    spark: SparkSession, settings: Settings, entity: str, full: bool = False, quarantine: bool = False
 ) -> bool:
-    """Returns False when there is no bronze data.
+    """Merge the new bronze batches (``full``: all of them); False when there is nothing to do.
 
     The conformed rows are written once to scratch: the rule counts and the merge then read only the
-    columns they need instead of repeating the de-duplication and the cleaning. ``batch_ids`` limits a
-    run to new batches; their folders are all that is read.
+    columns they need instead of repeating the de-duplication and the cleaning. The merge appends, so a
+    run costs as much as its new batches.
     """
-    conform, rules, keys = SILVER[entity]
-    bronze = read_batches(spark, settings.path("bronze", entity))
-    if bronze is None:
+    conform, rules, _ = SILVER[entity]
+    path = settings.path("bronze", entity)
+    batches = stored_batches(spark, path)
+    if not full:
+        batches = unfinished(spark, settings, "silver", entity, batches)
+    if not batches:
         return False
-    if batch_ids:
-        bronze = bronze.filter(F.col("_batch_id").isin(list(batch_ids)))
+    bronze = read_batches(spark, path).filter(F.col(BATCH_COLUMN).isin(batches))
     with materialized(conform(bronze), f"silver-{entity}") as staged:
         kept, _ = check(
             staged,
@@ -75,11 +90,14 @@ def build_silver(
             environment=settings.environment,
             audit_path=settings.path("_meta", "dq_audit"),
         )
-        publish_upsert(kept, settings.path("silver", entity), keys, unique=True)
+        table = silver_table(settings, entity)
+        table.merge(kept.withColumns({"_op": F.lit("u"), MERGED: F.lit(time.time_ns())}))
         if quarantine:
             rebuild(rejected(staged, rules), settings.path("quarantine", entity))
+    finish(spark, settings, "silver", entity, batches)
+    table.compact_when(spark, settings.compact_every)
     return True
 
 
-def run_silver(spark: SparkSession, settings: Settings) -> list[str]:
-    return [entity for entity in SILVER if build_silver(spark, settings, entity)]
+def run_silver(spark: SparkSession, settings: Settings, full: bool = False) -> list[str]:
+    return [entity for entity in SILVER if build_silver(spark, settings, entity, full)]

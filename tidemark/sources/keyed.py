@@ -1,0 +1,84 @@
+"""Keyed tables on plain Parquet: a base snapshot plus a folder of appended changes.
+
+Merging appends the changed rows, so it costs as much as the change, not as much as the table. Every row
+carries its version and a tombstone flag, and readers let the highest version of each key win: merging
+the same changes again, late or in another order leads to the same state. Now and then the changes are
+folded into a new base.
+"""
+
+from __future__ import annotations
+
+import time
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.latest import latest_per_key
+from tidemark.operators.merge import DELETED, keys_present, live_rows, plan_versioned, with_tombstones
+from tidemark.session import delete_path
+from tidemark.sources.tables import SNAPSHOT, list_folders, read_table, rebuild
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    path: str
+    keys: Sequence[str]
+    version: Sequence[str]
+
+    @property
+    def _base(self) -> str:
+        return f"{self.path}/base"
+
+    @property
+    def _changes(self) -> str:
+        return f"{self.path}/changes"
+
+    def pending(self, spark: SparkSession) -> list[str]:
+        return list_folders(spark, self._changes, complete=True)
+
+    def merge(self, changes: DataFrame, op_col: str = "_op") -> None:
+        """Append one batch of changes: a row per key, deletes as tombstones; no op means no effect.
+
+        A key with a NULL never matches, so every such upsert is a row of its own.
+        """
+        flagged = with_tombstones(changes, op_col)
+        keyed = latest_per_key(flagged.filter(keys_present(self.keys)), self.keys, self.version)
+        keyless = flagged.filter(~keys_present(self.keys) & ~F.col(DELETED))
+        keyed.unionByName(keyless).write.parquet(f"{self._changes}/{time.time_ns():020d}")
+
+    def state(self, spark: SparkSession) -> DataFrame | None:
+        """Base and pending changes as one, with versions and tombstones."""
+        folders = self.pending(spark)
+        base = read_table(spark, self._base)
+        if not folders:
+            return base
+        changes = spark.read.option("mergeSchema", "true").parquet(*[f"{self._changes}/{name}" for name in folders])
+        return plan_versioned(base, changes, self.keys, self.version)
+
+    def live(self, spark: SparkSession) -> DataFrame | None:
+        """The rows of the table as consumers see them."""
+        state = self.state(spark)
+        return None if state is None else live_rows(state)
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold the pending changes into a new base.
+
+        A folded folder stays until the next compaction, for readers that already listed it; folding it twice
+        changes nothing. Only folders that are part of the base written here are ever deleted.
+        """
+        folded = self.pending(spark)
+        if not folded:
+            return
+        earlier = list_folders(spark, self._base, complete=True)
+        rebuild(self.state(spark), self._base)
+        if earlier:
+            stamp = earlier[-1].removeprefix(SNAPSHOT)
+            for name in folded:
+                if name < stamp:
+                    delete_path(spark, f"{self._changes}/{name}")
+
+    def compact_when(self, spark: SparkSession, folders: int) -> None:
+        if folders and len(self.pending(spark)) >= folders:
+            self.compact(spark)

@@ -1,14 +1,11 @@
 """Change streams into keyed tables.
 
-The target of a stream is a base snapshot plus a folder of appended changes. A micro-batch collapses its
-changes and appends them: its cost follows the changes, not the table. Versions (event time, log position)
-and tombstones travel along, so replays, late events and reordered batches all lead to the same state.
-Every ``compact_every`` batches the changes are folded into a new base snapshot.
+A micro-batch is collapsed and appended with its versions (event time, log position), so replays after a
+restart, late events and reordered batches all lead to the same state.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -18,9 +15,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import keys_present, live_rows, plan_versioned, with_tombstones
-from tidemark.session import delete_path
-from tidemark.sources.tables import SNAPSHOT, list_folders, read_table, rebuild
+from tidemark.operators.merge import keys_present
+from tidemark.sources.keyed import KeyedTable
 from tidemark.streaming.envelope import CUSTOMER_CASTS, CUSTOMER_ROW, ORDER_CASTS, ORDER_ROW, unwrap
 
 VERSION = ("_event_ts_ms", "_lsn")
@@ -33,6 +29,14 @@ class TableSpec:
     keys: tuple[str, ...]
     casts: Mapping[str, str] = field(default_factory=dict)
 
+    def table(self, path: str) -> KeyedTable:
+        return KeyedTable(path, self.keys, VERSION)
+
+
+def read_live(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
+    live = spec.table(path).live(spark)
+    return None if live is None else live.drop(*VERSION)
+
 
 CUSTOMERS = TableSpec("customers", CUSTOMER_ROW, ("customer_id",), CUSTOMER_CASTS)
 ORDERS = TableSpec("orders", ORDER_ROW, ("order_id",), ORDER_CASTS)
@@ -46,60 +50,14 @@ def change_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = No
     return reader.load(path) if path else reader.load()
 
 
-def collapse(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One versioned row per key, deletes as tombstones; rows without key or op have no effect."""
-    return latest_per_key(with_tombstones(changes).filter(keys_present(keys)), keys, VERSION)
-
-
-def _change_folders(spark: SparkSession, path: str) -> list[str]:
-    return list_folders(spark, f"{path}/changes", complete=True)
-
-
-def append_changes(changes: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Add one batch of changes. Appending the same batch again is harmless: versions decide."""
-    collapse(changes, keys).write.parquet(f"{path}/changes/{time.time_ns():020d}")
-
-
-def read_state(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """Base and pending changes as one state, tombstones included."""
-    folders = _change_folders(spark, path)
-    base = read_table(spark, f"{path}/base")
-    if not folders:
-        return base
-    changes = spark.read.parquet(*[f"{path}/changes/{name}" for name in folders])
-    return plan_versioned(base, changes, keys, VERSION)
-
-
-def read_live(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    state = read_state(spark, path, keys)
-    return None if state is None else live_rows(state).drop(*VERSION)
-
-
-def compact(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
-    """Fold the pending changes into a new base.
-
-    A folded folder stays until the next compaction, for readers that already listed it; folding it twice
-    changes nothing. Only folders that are part of the base written here are ever deleted.
-    """
-    folded = _change_folders(spark, path)
-    if not folded:
-        return
-    earlier = list_folders(spark, f"{path}/base", complete=True)
-    rebuild(read_state(spark, path, keys), f"{path}/base")
-    if earlier:
-        stamp = earlier[-1].removeprefix(SNAPSHOT)
-        for name in folded:
-            if name < stamp:
-                delete_path(spark, f"{path}/changes/{name}")
-
-
 def _sink(spec: TableSpec, path: str, compact_every: int):
+    target = spec.table(path)
+
     def upsert(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        append_changes(batch, path, spec.keys)
-        if compact_every and (epoch + 1) % compact_every == 0:
-            compact(batch.sparkSession, path, spec.keys)
+        changes = batch.filter(keys_present(spec.keys) & F.col("_op").isNotNull())
+        if not changes.isEmpty():
+            target.merge(changes)
+            target.compact_when(batch.sparkSession, compact_every)
 
     return upsert
 
