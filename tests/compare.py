@@ -45,7 +45,7 @@ def spark_rows(df):
 
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
-    from tidemark.session import build_session
+    from tidemark.session import build_session, clear_scratch
 
     spark = build_session(
         "compare", 8, "local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
@@ -83,6 +83,7 @@ def main() -> int:
             for a, b in diff:
                 print("   spark ", str(a)[:400])
                 print("   duckdb", str(b)[:400])
+    clear_scratch(spark)
     print("wrong:", wrong)
     return 1 if wrong else 0
 

@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from tidemark.session import build_session
+from tidemark.session import build_session, clear_scratch
 from tidemark.settings import for_environment
 
 
@@ -18,6 +18,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -26,13 +26,15 @@ def sequence_ids(
     vocabulary: DataFrame,
     id_col: str = "id",
     text_col: str = "text",
-    size: int = VOCABULARY,
     length: int = LENGTH,
 ) -> DataFrame:
-    """(id, ids). The sequence length is the operator's; only those tokens are looked up."""
+    """(id, ids). The sequence length is the operator's; only those tokens are looked up.
+
+    Hand in a written vocabulary: its known size lets Spark broadcast it.
+    """
     placed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
     head = placed.select("id", F.posexplode_outer(F.slice(sequence_tokens("text"), 1, length)).alias("pos", "word"))
-    looked_up = head.join(F.broadcast(vocabulary.limit(size)), "word", "left")
+    looked_up = head.join(vocabulary, "word", "left")
     token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("word_id", F.lit(UNKNOWN)).alias("word_id")))
     rows = looked_up.groupBy("id").agg(F.sort_array(F.collect_list(token)).alias("tokens"))
     padding = F.array_repeat(F.lit(PADDING), F.lit(length) - F.size("tokens"))

@@ -9,7 +9,7 @@ further shuffle. Only the term statistics are exchanged, after partial aggregati
 from __future__ import annotations
 
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,35 +49,31 @@ def fit_vocabulary(
 
 
 def tfidf_weights(
-    docs: DataFrame,
-    vocabulary: DataFrame,
-    id_col: str = "id",
-    text_col: str = "text",
-    max_terms: int = MAX_TERMS,
+    docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, term, idx, weight). The vocabulary is bounded by ``max_terms``, so it is broadcast."""
-    known = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary.limit(max_terms)), "term")
-    raw = known.withColumn("raw", (F.log("tf") + 1) * F.col("idf"))
+    """(id, term, idx, weight). Hand in a written vocabulary: its known size lets Spark broadcast it."""
+    raw = term_counts(docs, id_col, text_col).join(vocabulary, "term").withColumn("raw", _raw_weight())
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
     return raw.select("id", "term", "idx", (F.col("raw") / length).alias("weight"))
 
 
+def _raw_weight() -> Column:
+    return (F.log("tf") + 1) * F.col("idf")
+
+
 def tfidf_vectors(
-    docs: DataFrame,
-    vocabulary: DataFrame,
-    id_col: str = "id",
-    text_col: str = "text",
-    max_terms: int = MAX_TERMS,
+    docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
     """(id, indices, values): one sparse row per document, also for documents without known terms."""
-    joined = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary.limit(max_terms)), "term", "left")
-    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", ((F.log("tf") + 1) * F.col("idf")).alias("raw")))
-    rows = joined.groupBy("id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    squares = F.aggregate("entries", F.lit(0.0), lambda total, e: total + e["raw"] * e["raw"])
-    return rows.withColumn("length", F.sqrt(squares)).select(
+    raw = term_counts(docs, id_col, text_col).join(vocabulary, "term", "left").withColumn("raw", _raw_weight())
+    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
+    rows = raw.groupBy("id").agg(
+        F.sort_array(F.collect_list(entry)).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length")
+    )
+    return rows.select(
         "id",
         F.col("entries.idx").alias("indices"),
-        F.transform("entries", lambda e: e["raw"] / F.col("length")).alias("values"),
+        F.transform("entries.raw", lambda weight: weight / F.col("length")).alias("values"),
     )
 
 

@@ -43,6 +43,7 @@ from tidemark.plans.fixtures import (
     posts_src,
     predictions,
     reviews_src,
+    spread,
     table,
 )
 from tidemark.plans.silver import conform_posts, conform_reviews
@@ -147,12 +148,12 @@ def dedupe_latest(spark, folder):
 
 @query("clean_text_pages")
 def clean_text_pages(spark, folder):
-    return table(spark, folder, "pages").select("page_id", clean_text("html").alias("html_clean"))
+    return spread(spark, folder, "pages", "page_id").select("page_id", clean_text("html").alias("html_clean"))
 
 
 @query("clean_text_docs")
 def clean_text_docs(spark, folder):
-    return table(spark, folder, "documents").select("doc_id", clean_text("text").alias("text_clean"))
+    return spread(spark, folder, "documents", "doc_id").select("doc_id", clean_text("text").alias("text_clean"))
 
 
 @query("sentiment_label")
@@ -320,7 +321,7 @@ def cdc_merge(spark, folder):
     """State after versioned merges of all creates, then all later changes."""
     changes = _typed(order_changes(spark, folder)).withColumnRenamed("op", "_op")
     step = lambda state, rows: plan_versioned(state, with_tombstones(rows), ["order_id"], ["ts_ms", "lsn"])
-    state = step(None, changes.filter("_op = 'c'"))
+    state = materialize(step(None, changes.filter("_op = 'c'")), "state")
     state = step(state, changes.filter("_op <> 'c'"))
     return live_rows(state).select("order_id", "customer_id", "status", "amount", "updated_at")
 
@@ -368,7 +369,8 @@ def cdc_batch_sync(spark, folder):
     source = latest_per_key(orders.filter("op <> 'd'"), ["order_id"], ["ts_ms", "lsn"]).select(*columns)
     incoming = as_changes(extract_since(source, "updated_at", SYNC_SINCE), "updated_at")
     state = as_changes(target, "updated_at").withColumn("_event_ts_ms", F.lit(0).cast("bigint"))
-    merged = plan_versioned(with_tombstones(state), with_tombstones(incoming), ["order_id"], VERSION)
+    stored, new = materialize(with_tombstones(state), "state"), materialize(with_tombstones(incoming), "incoming")
+    merged = plan_versioned(stored, new, ["order_id"], VERSION)
     return live_rows(merged).select(*columns)
 
 
@@ -394,8 +396,8 @@ def cdc_stream(spark, folder):
 
 def _delivered(spark, name: str, before: DataFrame, now: DataFrame) -> DataFrame:
     path = scratch_path(spark, f"deliver-{name}")
-    deliver(before, path, CONTRACTS[name])
-    deliver(now, path, CONTRACTS[name])
+    for rows in (before, now):
+        deliver(materialize(rows, name), path, CONTRACTS[name])
     return read_table(spark, path)
 
 
@@ -454,7 +456,8 @@ def split_counts(spark, folder):
 
 
 def _clean_docs(spark, folder) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), clean_text("text").alias("text"))
+    docs = spread(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("id"), clean_text("text").alias("text"))
+    return materialize(docs, "texts")
 
 
 @query("term_df")
@@ -465,7 +468,7 @@ def term_frequencies(spark, folder):
 @query("tfidf_weights")
 def tfidf(spark, folder):
     docs = _clean_docs(spark, folder)
-    weights = tfidf_weights(docs, fit_vocabulary(docs))
+    weights = tfidf_weights(docs, materialize(fit_vocabulary(docs), "vocabulary"))
     return weights.select("id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -541,7 +544,7 @@ def score_projection(spark, folder):
 @query("seq_ids")
 def sequences(spark, folder):
     docs = _clean_docs(spark, folder)
-    return sequence_ids(docs, sequence_vocabulary(docs))
+    return sequence_ids(docs, materialize(sequence_vocabulary(docs), "words"))
 
 
 @query("random_forest")

@@ -14,13 +14,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table for costly per-row work: rows are distributed first when the input has fewer splits than
+    there are cores (the small supplied files have one row group each); large inputs are read as they are."""
+    df, cores = table(spark, folder, name), spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _day(start: str, offset: str) -> F.Column:
     days = F.make_dt_interval(F.expr(offset).cast("int"))
     return F.lit(start).cast("timestamp_ntz") + days
 
 
 def reviews_src(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
+    docs = spread(spark, folder, "documents", "doc_id")
     common = [
         F.col("doc_id").alias("review_id"),
         F.col("source").alias("product_id"),
@@ -47,7 +54,7 @@ def reviews_src(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def posts_src(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "pages").select(
+    return spread(spark, folder, "pages", "page_id").select(
         F.col("page_id").alias("post_id"),
         F.regexp_extract("url", r"^https?://([^/]+)", 1).alias("subreddit"),
         F.expr("concat('u', cast(page_id % 17 AS string))").alias("author"),
@@ -66,7 +73,7 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
     steps = F.expr(
         "filter(array(0, 1, 2), s -> s = 0 OR (s = 1 AND o_orderkey % 2 = 0) OR (s = 2 AND o_orderkey % 10 = 0))"
     )
-    changes = table(spark, folder, "orders").withColumn("seq", F.explode(steps))
+    changes = spread(spark, folder, "orders", "o_orderkey").withColumn("seq", F.explode(steps))
     return changes.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),

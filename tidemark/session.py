@@ -51,7 +51,16 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application materialized; frames built on it cannot be read afterwards."""
+    delete_path(spark, _application_folder(spark))
 
 
 def write_and_read(df: DataFrame, path: str) -> DataFrame:

@@ -12,7 +12,6 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +42,11 @@ def list_folders(spark: SparkSession, path: str, complete: bool = False) -> list
 
 
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    """A missing path is no data; every other error surfaces."""
+    """A missing path is no data; every error in reading an existing one surfaces."""
+    if not path_exists(spark, path):
+        return None
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return reader.parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
