@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -47,9 +49,14 @@ def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from tidemark.session import build_session, clear_scratch
 
-    spark = build_session(
-        "compare", 8, "local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
-    )
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    if os.environ.get("PLAIN_SESSION"):  # Spark's defaults and a foreign time zone
+        builder = SparkSession.builder.master("local[8]").config("spark.sql.session.timeZone", "America/Los_Angeles")
+        for key, value in quiet.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session("compare", 8, "local[8]", **quiet)
     spark.sparkContext.setLogLevel("ERROR")
     folder = f"/root/testdata/{sys.argv[1]}"
     oracle, wrong = oracle_sql(), 0

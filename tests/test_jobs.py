@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.quality import DataQualityError
+from tidemark.operators.quality import QualityGateError
 from tidemark.plans.cdc_stream import run_cdc
 from tidemark.plans.fixtures import envelopes, order_changes, posts_src, reviews_src
 from tidemark.plans.pipeline import run_pipeline
@@ -91,7 +91,7 @@ def test_a_failed_gate_publishes_nothing_but_the_audit(spark, settings):
         "*", F.lit("text").alias("text"), F.lit("s").alias("summary"), F.current_timestamp().alias("review_ts"), F.current_timestamp().alias("_ingest_ts")
     )
     bad.write.partitionBy("_batch_id").parquet(settings.path("bronze", "reviews"))
-    with pytest.raises(DataQualityError):
+    with pytest.raises(QualityGateError):
         build_silver(spark, settings, "reviews")
     assert read_silver(spark, settings, "reviews") is None
     assert spark.read.parquet(settings.path("_meta", "dq_audit")).count() == 1

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import latest_per_key, row_hash
+from tidemark.operators.latest import latest_per_key
 
 DELETED = "_deleted"
 
@@ -72,37 +72,39 @@ def plan_versioned(
 ) -> DataFrame:
     """State with tombstones after ``changes``: per key the highest version wins, whatever came in first.
 
-    Late, repeated and reordered changes therefore lead to the same state. The state is read once in full
-    and once for its keys, and is not shuffled as long as the changed keys are few enough to broadcast.
-    Rows with a NULL in the key never match; they are told apart by their version.
+    Late, repeated and reordered changes therefore lead to the same state; ``version_cols`` must leave no
+    ties between different rows. The state is read once for the wanted columns and once for its keys, and
+    is not shuffled as long as the changed keys are few enough to broadcast. Rows with a NULL in the key
+    never match; they are told apart by their version.
     """
     keyed, keyless = changes.filter(keys_present(keys)), changes.filter(~keys_present(keys))
-    latest = latest_per_key(keyed, keys, version_cols)
+    latest = latest_per_key(keyed, keys, version_cols, total=True)
+    identity = [*keys, *version_cols]
+    keyless = keyless.dropDuplicates(identity)
     if state is None:
-        return latest.unionByName(keyless.distinct())
+        return latest.unionByName(keyless)
 
     shared = [c for c in state.columns if c in changes.columns]
-    rank = [*version_cols, "_row"]
-    tagged = latest.withColumn("_row", row_hash(shared))
-    incoming = tagged.select(*keys, F.struct(*[c for c in tagged.columns if c not in keys]).alias("_new"))
-    beaten = F.col("_new").isNotNull() & (
-        F.struct(*[F.col(f"_new.{c}").alias(c) for c in rank]) > F.struct(*[F.col(c) for c in rank])
-    )
     added = [c for c in changes.columns if c not in state.columns]
-    updated = state.withColumn("_row", row_hash(shared)).join(incoming, list(keys), "left")
+    # Separate columns, not one struct: what a reader does not want is not read from the changes either.
+    incoming = latest.select(
+        *keys, F.lit(True).alias("_found"), *[F.col(c).alias(f"_new_{c}") for c in latest.columns if c not in keys]
+    )
+    theirs = F.struct(*[F.col(f"_new_{c}").alias(c) for c in version_cols])
+    newer = F.col("_found").isNotNull() & (theirs > F.struct(*version_cols))
+    updated = state.join(incoming, list(keys), "left").withColumn("_beaten", newer)
     settled = updated.select(
         *keys,
-        *[F.when(beaten, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in shared if c not in keys],
+        *[F.when(F.col("_beaten"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in shared if c not in keys],
         *[c for c in state.columns if c not in shared],
-        *[F.when(beaten, F.col(f"_new.{c}")).alias(c) for c in added],
+        *[F.when(F.col("_beaten"), F.col(f"_new_{c}")).alias(c) for c in added],
     )
     known = state.select(*keys).join(latest.select(*keys), list(keys), "left_semi")
     inserted = latest.join(known, list(keys), "left_anti")
 
-    identity = [*keys, *version_cols]
     held = state.filter(~keys_present(keys)).select(*[F.col(c).alias(f"_held_{c}") for c in identity])
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_held_{c}")) for c in identity))
-    fresh = keyless.distinct().join(held, same, "left_anti")
+    fresh = keyless.join(held, same, "left_anti")
     return settled.unionByName(inserted, allowMissingColumns=True).unionByName(fresh, allowMissingColumns=True)
 
 

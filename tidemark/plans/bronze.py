@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.settings import Settings
 from tidemark.sources.progress import finish, stored_batches, unfinished
-from tidemark.sources.tables import BATCH_COLUMN, read_batches, replace_batches
+from tidemark.sources.tables import read_batches, replace_batches
 
 ENTITIES = ("reviews", "reddit_posts")
 
@@ -25,7 +25,7 @@ def run_bronze(spark: SparkSession, settings: Settings, replay: bool = False) ->
         if not replay:
             batches = unfinished(spark, settings, "bronze", entity, batches)
         if batches:
-            landed = read_batches(spark, source).filter(F.col(BATCH_COLUMN).isin(batches))
+            landed = read_batches(spark, source, batches)
             written[entity] = replace_batches(with_lineage(landed, entity), settings.path("bronze", entity))
             finish(spark, settings, "bronze", entity, batches)
     return written

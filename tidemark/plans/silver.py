@@ -80,7 +80,7 @@ def build_silver(
         batches = unfinished(spark, settings, "silver", entity, batches)
     if not batches:
         return False
-    bronze = read_batches(spark, path).filter(F.col(BATCH_COLUMN).isin(batches))
+    bronze = read_batches(spark, path, batches)
     with materialized(conform(bronze), f"silver-{entity}") as staged:
         kept, _ = check(
             staged,

@@ -9,17 +9,21 @@ folded into a new base.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.latest import latest_per_key
+from tidemark.operators.latest import latest_per_key, row_hash
 from tidemark.operators.merge import DELETED, keys_present, live_rows, plan_versioned, with_tombstones
 from tidemark.session import delete_path
 from tidemark.sources.tables import SNAPSHOT, list_folders, read_table, rebuild
 
+# Hash of the row, stored with it: the last tie-breaker, so that comparing versions needs no other columns.
+ROW = "_row"
+
 
 @dataclass(frozen=True)
 class KeyedTable:
@@ -27,6 +31,10 @@ class KeyedTable:
     keys: Sequence[str]
     version: Sequence[str]
 
+    @property
+    def _order(self) -> list[str]:
+        return [*self.version, ROW]
+
     @property
     def _base(self) -> str:
         return f"{self.path}/base"
@@ -44,9 +52,10 @@ class KeyedTable:
         A key with a NULL never matches, so every such upsert is a row of its own.
         """
         flagged = with_tombstones(changes, op_col)
-        keyed = latest_per_key(flagged.filter(keys_present(self.keys)), self.keys, self.version)
+        flagged = flagged.withColumn(ROW, row_hash(flagged.columns))
+        keyed = latest_per_key(flagged.filter(keys_present(self.keys)), self.keys, self._order, total=True)
         keyless = flagged.filter(~keys_present(self.keys) & ~F.col(DELETED))
-        keyed.unionByName(keyless).write.parquet(f"{self._changes}/{time.time_ns():020d}")
+        keyed.unionByName(keyless).write.parquet(f"{self._changes}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
 
     def state(self, spark: SparkSession) -> DataFrame | None:
         """Base and pending changes as one, with versions and tombstones."""
@@ -55,12 +64,12 @@ class KeyedTable:
         if not folders:
             return base
         changes = spark.read.option("mergeSchema", "true").parquet(*[f"{self._changes}/{name}" for name in folders])
-        return plan_versioned(base, changes, self.keys, self.version)
+        return plan_versioned(base, changes, self.keys, self._order)
 
     def live(self, spark: SparkSession) -> DataFrame | None:
         """The rows of the table as consumers see them."""
         state = self.state(spark)
-        return None if state is None else live_rows(state)
+        return None if state is None else live_rows(state).drop(ROW)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold the pending changes into a new base.

@@ -82,19 +82,26 @@ def replace_batches(df: DataFrame, path: str) -> int:
         df.observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy(BATCH_COLUMN)
         .parquet(path)
     )
     return seen.get["rows"]
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame | None:
-    """All batches, with the union of their columns; a batch id stays text even when it looks like a number."""
+def read_batches(spark: SparkSession, path: str, batches: Sequence[str] | None = None) -> DataFrame | None:
+    """The given batches (default: all) with the union of their columns.
+
+    Named batches are read by folder, so neither listing nor schema merging touches the others. A batch id
+    stays text even when it looks like a number.
+    """
     if not path_exists(spark, path):
         return None
+    folders = [path] if batches is None else [f"{path}/{BATCH_COLUMN}={batch}" for batch in batches]
     return (
-        spark.read.option("mergeSchema", "true")
-        .parquet(path)
+        spark.read.option("basePath", path)
+        .option("mergeSchema", "true")
+        .parquet(*folders)
         .withColumn(BATCH_COLUMN, F.col(BATCH_COLUMN).cast("string"))
     )
 
