@@ -46,24 +46,38 @@ def _keep_target_only(target: DataFrame, source: DataFrame, keys: Sequence[str])
     return source.join(matched, list(keys), "left")
 
 
-def plan_upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _survivors(target: DataFrame, touched: DataFrame, keys: Sequence[str], covered: bool) -> DataFrame:
+    """Target rows that no touched key matches.
+
+    ``covered``: most of the target is touched. Then the few remaining keys are found on key columns alone
+    and pick their rows, so that the wide rows about to be replaced are not shuffled first.
+    """
+    if not covered:
+        return target.join(touched, list(keys), "left_anti")
+    remaining = target.filter(keys_present(keys)).select(*keys).join(touched, list(keys), "left_anti")
+    return target.join(remaining, list(keys), "left_semi").unionByName(target.filter(~keys_present(keys)))
+
+
+def plan_upsert(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], covered: bool = False
+) -> DataFrame:
     """Matched rows updated, others inserted, nothing deleted; new source columns are added."""
     if target is None:
         return source
-    survivors = target.join(source.select(*keys), list(keys), "left_anti")
+    survivors = _survivors(target, source.select(*keys), keys, covered)
     incoming = _keep_target_only(target, source, keys)
     return survivors.unionByName(incoming, allowMissingColumns=True)
 
 
 def plan_merge(
-    target: DataFrame | None, changes: DataFrame, keys: Sequence[str], op_col: str = "_op"
+    target: DataFrame | None, changes: DataFrame, keys: Sequence[str], op_col: str = "_op", covered: bool = False
 ) -> DataFrame:
     """Matched and ``d``: delete. Matched, other: update. Unmatched, other: insert. NULL op: no effect."""
     effective = changes.filter(F.col(op_col).isNotNull())
     incoming = effective.filter(F.col(op_col) != "d").drop(op_col)
     if target is None:
         return incoming
-    survivors = target.join(effective.select(*keys), list(keys), "left_anti")
+    survivors = _survivors(target, effective.select(*keys), keys, covered)
     return survivors.unionByName(_keep_target_only(target, incoming, keys), allowMissingColumns=True)
 
 

@@ -106,19 +106,23 @@ def read_batches(spark: SparkSession, path: str, batches: Sequence[str] | None =
     )
 
 
-def _publish(spark: SparkSession, path: str, plan: Callable[[DataFrame | None], DataFrame]) -> None:
-    rebuild(plan(read_table(spark, path)), path)
+def _publish(
+    df: DataFrame, path: str, plan: Callable[[DataFrame | None, DataFrame, Sequence[str], bool], DataFrame], keys, unique: bool
+) -> None:
+    if not unique:
+        reject_duplicate_keys(df, keys)
+    target = read_table(df.sparkSession, path)
+    covered = target is not None and 2 * df.count() >= target.count()
+    rebuild(plan(target, df, keys, covered), path)
 
 
 def publish_upsert(df: DataFrame, path: str, keys: Sequence[str], unique: bool = False) -> None:
-    if not unique:
-        reject_duplicate_keys(df, keys)
-    _publish(df.sparkSession, path, lambda target: plan_upsert(target, df, keys))
+    """Upsert into a snapshot table. ``df`` is read several times: hand in a written table."""
+    _publish(df, path, lambda target, rows, on, covered: plan_upsert(target, rows, on, covered), keys, unique)
 
 
 def publish_merge(
     changes: DataFrame, path: str, keys: Sequence[str], op_col: str = "_op", unique: bool = False
 ) -> None:
-    if not unique:
-        reject_duplicate_keys(changes, keys)
-    _publish(changes.sparkSession, path, lambda target: plan_merge(target, changes, keys, op_col))
+    """Merge changes into a snapshot table. ``changes`` are read several times: hand in a written table."""
+    _publish(changes, path, lambda target, rows, on, covered: plan_merge(target, rows, on, op_col, covered), keys, unique)
