@@ -26,4 +26,5 @@ def engaged(comments: Column | str, score: Column | str) -> Column:
 
 def seeded_hash(seed: int, *ids: Column | str) -> Column:
     """A uniform, partitioning-independent order key: md5 of ``seed-id``."""
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *[F.col(i).cast("string") if isinstance(i, str) else i.cast("string") for i in ids]))
+    parts = [(F.col(i) if isinstance(i, str) else i).cast("string") for i in ids]
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), *parts))

@@ -23,14 +23,15 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "pred") -> Dat
     """
     cells = df.groupBy(F.col(label).alias("label"), F.col(pred).alias("pred")).agg(F.count(F.lit(1)).alias("n"))
     hit = F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)
-    roles = cells.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"), hit.alias("hits")),
-                F.struct(F.col("pred").alias("class"), F.lit(0).cast("bigint").alias("support"), F.col("n").alias("predicted"), F.lit(0).cast("bigint").alias("hits")),
-            )
-        ).alias("r")
-    ).select("r.*")
+    none = F.lit(0).cast("bigint")
+
+    def role(column: str, support: Column, predicted: Column, hits: Column) -> Column:
+        return F.struct(
+            F.col(column).alias("class"), support.alias("support"), predicted.alias("predicted"), hits.alias("hits")
+        )
+
+    as_label, as_prediction = role("label", F.col("n"), none, hit), role("pred", none, F.col("n"), none)
+    roles = cells.select(F.explode(F.array(as_label, as_prediction)).alias("r")).select("r.*")
     sums = roles.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("support", "predicted", "hits")])
     return sums.select(
         "class",

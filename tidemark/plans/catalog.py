@@ -305,8 +305,13 @@ def cdc_typed(spark, folder):
     changes = order_changes(spark, folder).select(
         "order_id",
         "lsn",
-        F.expr("CASE WHEN lsn % 7 = 0 THEN concat('n/a ', amount) WHEN lsn % 13 = 0 THEN concat('9999999999', amount) ELSE amount END").alias("amount"),
-        F.expr("CASE WHEN lsn % 11 = 0 THEN 'soon' ELSE date_format(updated_at, \"yyyy-MM-dd'T'HH:mm:ss\") END").alias("updated_at"),
+        F.when(F.expr("lsn % 7 = 0"), F.concat(F.lit("n/a "), "amount"))
+        .when(F.expr("lsn % 13 = 0"), F.concat(F.lit("9999999999"), "amount"))
+        .otherwise(F.col("amount"))
+        .alias("amount"),
+        F.when(F.expr("lsn % 11 = 0"), "soon")
+        .otherwise(F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss"))
+        .alias("updated_at"),
     )
     return repair_types(changes, ORDER_CASTS)
 
@@ -516,7 +521,8 @@ def candidate(spark, folder):
     out = None
     for position, threshold in enumerate((0.3, 0.5, 0.7)):
         judged = scored.withColumn("pred", (F.col("proba") >= threshold).cast("int"))
-        one = metrics(judged, "label", "pred").select(F.lit(position).alias("position"), F.lit(threshold).alias("threshold"), "f1_macro")
+        named = [F.lit(position).alias("position"), F.lit(threshold).alias("threshold")]
+        one = metrics(judged, "label", "pred").select(*named, "f1_macro")
         out = one if out is None else out.unionByName(one)
     return _rounded(best_candidate(out))
 
