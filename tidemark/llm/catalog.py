@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+from tidemark.llm.html import op8_html
+from tidemark.llm.lines import OP1_SQL, op1_line_dedup
+from tidemark.llm.mixing import op6_mixing
+from tidemark.llm.packing import op2_packing
+from tidemark.llm.quality import op9_quality
 from tidemark.llm.simhash import op5_simhash
+from tidemark.llm.tokencount import op10_token_counts
+from tidemark.llm.topk import OP4_SQL, op4_topk
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
+    "op4_topk": op4_topk,
     "op5_simhash": op5_simhash,
+    "op6_mixing": op6_mixing,
+    "op8_html": op8_html,
+    "op9_quality": op9_quality,
+    "op10_token_counts": op10_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1_SQL,
+    "op4_topk": OP4_SQL,
+}
