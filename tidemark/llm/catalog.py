@@ -8,6 +8,7 @@ from tidemark.llm.mixing import op6_mixing
 from tidemark.llm.packing import op2_packing
 from tidemark.llm.quality import op9_quality
 from tidemark.llm.simhash import op5_simhash
+from tidemark.llm.substrings import OP7_SQL, op7_substrings
 from tidemark.llm.tokencount import op10_token_counts
 from tidemark.llm.topk import OP4_SQL, op4_topk
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_topk": op4_topk,
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
+    "op7_substrings": op7_substrings,
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
@@ -25,4 +27,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op4_topk": OP4_SQL,
+    "op7_substrings": OP7_SQL,
 }
