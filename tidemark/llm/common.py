@@ -65,3 +65,9 @@ def with_running_sum(
         .withColumn(out, F.col(out) + F.col("_base"))
         .drop("_bucket", "_b", "_base", *[f"_k_{k}" for k in keys])
     )
+
+
+def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but ``used`` renamed, so that none clashes, and what selects the old names again."""
+    names = {c: c if c in used else f"_shield_{k}" for k, c in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]), [F.col(n).alias(c) for c, n in names.items()]

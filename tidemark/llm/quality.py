@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 
-#: Ratings: 0 low quality, 1 good but toxic, 2 good and clean.
+#: Ratings: 0 toxic, 1 low quality, 2 good and clean.
 GRADES = 3
 BITS = 18
 #: Bound of the labelled rows that are fitted, the first ones by hash of their id.
 FIT_ROWS = 8000
 #: A document is kept when the chance of the best grade is at least this.
-LEAST_TAIL = 0.5
+LEAST_TAIL = 0.3
+#: A feature takes part when this many fitted documents have it and its z-score against some tail is at least so high.
+LEAST_DOCS, LEAST_Z = 5, 5.0
+#: Letters of the word beginnings that count as features beside whole words.
+STEM = 4
 MARKS = re.compile(rb"[^0-9a-zA-Z\x80-\xff]+")
 
 
@@ -36,13 +40,16 @@ class OrdinalModel:
 
 
 def hashed(text: bytes | None, bits: int = BITS) -> np.ndarray:
-    """Distinct feature numbers of a text: its lower-cased words without marks, the marks themselves, and its case."""
-    words = set((text or b"").split())
+    """Distinct feature numbers of a text: lower-cased words without marks, their first letters, the marks, and case."""
     mask = (1 << bits) - 1
     found = set()
-    for word in words:
+    for word in set((text or b"").split()):
         bare = MARKS.sub(b"", word)
-        found.add(zlib.crc32(bare.lower()) & mask)
+        lower = bare.lower()
+        found.add(zlib.crc32(lower) & mask)
+        stem = lower.decode("utf-8", "replace")[: STEM + 1]
+        if len(stem) > STEM:
+            found.add(zlib.crc32(b"\x02" + stem[:STEM].encode()) & mask)
         if len(bare) < len(word):
             found.update(zlib.crc32(b"\x00" + mark) & mask for mark in MARKS.findall(word))
         if len(bare) > 1 and bare.isupper():
@@ -51,10 +58,8 @@ def hashed(text: bytes | None, bits: int = BITS) -> np.ndarray:
 
 
 def rating(quality: Column, toxic: Column) -> Column:
-    """Null where a label is missing or is none of 0 and 1."""
-    return (
-        F.when((quality == 0) & toxic.isin(0, 1), 0).when((quality == 1) & (toxic == 1), 1).when((quality == 1) & (toxic == 0), 2)
-    )
+    """Null where a label is missing or is none of 0 and 1. Toxic is the worst grade, whatever the quality."""
+    return F.when((toxic == 1) & quality.isin(0, 1), 0).when((toxic == 0) & (quality == 0), 1).when((toxic == 0) & (quality == 1), 2)
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -77,11 +82,26 @@ def labelled_features(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
     )
 
 
-def fit(features: list[np.ndarray], ratings: np.ndarray, rounds: int = 300, penalty: float = 2e-4, step: float = 0.05) -> OrdinalModel:
-    """Maximum penalized likelihood by Adam on all rows; grades are weighted so that each counts alike."""
+def informative(features: list[np.ndarray], ratings: np.ndarray) -> np.ndarray:
+    """Flags of the features that are often enough and go with a tail of the grades beyond chance."""
+    flat = np.concatenate(features)
+    lengths = [len(f) for f in features]
+    docs = np.bincount(flat, minlength=1 << BITS)
+    highest = np.zeros(1 << BITS)
+    for grade in range(1, GRADES):
+        tail = (ratings >= grade).astype(float)
+        pull = np.bincount(flat, weights=np.repeat(tail - tail.mean(), lengths), minlength=1 << BITS)
+        spread = np.sqrt(np.maximum(docs * (1 - docs / len(ratings)) * tail.var(), 1e-12))
+        highest = np.maximum(highest, np.abs(pull) / spread)
+    return (docs >= LEAST_DOCS) & (highest >= LEAST_Z)
+
+
+def fit(features: list[np.ndarray], ratings: np.ndarray, rounds: int = 300, penalty: float = 1e-3, step: float = 0.05) -> OrdinalModel:
+    """Maximum penalized likelihood of the informative features by Adam; rare grades weigh more."""
+    telling = informative(features, ratings)
+    features = [f[telling[f]] for f in features]
     lengths = np.array([len(f) for f in features])
-    flat = np.concatenate(features) if len(features) else np.array([], np.int64)
-    used, place = np.unique(flat, return_inverse=True)
+    used, place = np.unique(np.concatenate(features), return_inverse=True)
     row = np.repeat(np.arange(len(features)), lengths)
     counts = np.bincount(ratings, minlength=GRADES)
     balance = (len(ratings) / (GRADES * np.maximum(counts, 1)))[ratings] ** 0.5
