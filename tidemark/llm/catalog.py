@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.fingerprints import op3_fingerprints
 from tidemark.llm.html import op8_html
 from tidemark.llm.lines import OP1_SQL, op1_line_dedup
 from tidemark.llm.mixing import op6_mixing
@@ -15,6 +16,7 @@ from tidemark.llm.topk import OP4_SQL, op4_topk
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
+    "op3_fingerprints": op3_fingerprints,
     "op4_topk": op4_topk,
     "op5_simhash": op5_simhash,
     "op6_mixing": op6_mixing,
