@@ -40,7 +40,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     The shuffles carry hashes and positions; a text is shuffled once, to meet the positions to remove.
     """
     keyed = keyed_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text")
-    found = keyed.select("_id", "_th", F.explode(_windows(F.split("text", "\n"), width)).alias("w"))
+    # a column of its own, read more than once: Spark then cuts a text once and not once for each line
+    cut = keyed.select("_id", "_th", F.split("text", "\n").alias("_lines"))
+    found = cut.select("_id", "_th", F.explode(_windows(F.col("_lines"), width)).alias("w"))
     found = found.select("_id", "_th", "w.pos", "w.h1", "w.h2")
     firsts = found.groupBy("h1", "h2").agg(F.min(F.struct("_id", "_th", "pos")).alias("first"), F.count("*").alias("n"))
     # written, so that a hot window's rows can be split when they are joined
@@ -50,10 +52,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     covered = covered.groupBy("_id", "_th").agg(F.collect_set("pos").alias("_gone"))
     covered = materialize(covered, "line-positions").select(
         F.col("_id").alias("_cid"), F.col("_th").alias("_cth"), "_gone"
-    )
+    ).hint("shuffle_hash")  # texts stream past the few positions and aren't sorted
     marked = keyed_texts(docs.drop("n_lines", "n_removed"), id_col, text_col)
     joined = marked.join(covered, (F.col("_id") == F.col("_cid")) & (F.col("_th") == F.col("_cth")), "left")
-    lines = F.split(text_col, "\n")
+    joined = joined.withColumn("_lines", F.split(text_col, "\n"))
+    lines = F.col("_lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     kept = F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(lines, i)), "\n")
     return joined.withColumns(
@@ -62,7 +65,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
             text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept),
         }
-    ).drop("_id", "_th", "_cid", "_cth", "_gone")
+    ).drop("_id", "_th", "_cid", "_cth", "_gone", "_lines")
 
 
 def op1_line_dedup(spark, sf_dir):
