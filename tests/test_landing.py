@@ -51,3 +51,13 @@ def test_batches_and_manifests(spark, tmp_path, settings):
     assert ingest_posts(spark, settings, str(tmp_path / "nd"))["rows"] == 1
     stored = [json.loads(r["value"]) for r in spark.read.text(settings.path("_meta", "batches")).collect()]
     assert sorted(m["rows"] for m in stored) == [1, 2, 2]
+
+
+def test_files_of_one_folder_may_order_their_columns_differently(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('Id,ProductId,UserId,Score,Time,Summary,Text\n1,P,U,5,1700000000,"fine, really",body\n')
+    (tmp_path / "b.csv").write_text("Time,Score,Text,Summary,Id,Extra\n1700000060,2,other body,poor,2,x\n")
+    for multi_line in (True, False):
+        rows = {r["Id"]: r for r in read_reviews_csv(spark, str(tmp_path), multi_line).collect()}
+        assert (rows[1]["Score"], rows[1]["Summary"], rows[1]["Text"]) == (5, "fine, really", "body")
+        assert (rows[2]["Score"], rows[2]["Time"], rows[2]["Summary"], rows[2]["Text"]) == (2, 1700000060, "poor", "other body")
+        assert rows[2]["ProductId"] is None

@@ -8,14 +8,16 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import duckdb_rows, spark_rows
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracle import ORACLE
 
 FOLDER = f"/root/testdata/{os.environ.get('ORACLE_SF', 'sf0.001')}"
-WITH_SQL = sorted(oracle_sql())
+WITH_SQL = sorted(ORACLE)
 
 
 def test_every_sql_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"random_forest"}
+    assert set(QUERIES) - set(ORACLE) == {"random_forest"}
 
 
 def test_entry(spark):

@@ -45,6 +45,7 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "pred") -> Dat
 
 def roc_auc(df: DataFrame, label: str = "label", proba: str = "proba", ranges: int = SCORE_RANGES) -> DataFrame:
     """One row ``roc_auc``: the share of (positive, negative) pairs ranked right, ties half; NULL for one class.
+    A NULL or NaN score ranks nothing and is left out.
 
     Scores are counted per distinct value, cut into ranges at approximate quantiles, and cumulated per
     range on top of the totals of the lower ranges, so no task orders all scores.
@@ -53,7 +54,7 @@ def roc_auc(df: DataFrame, label: str = "label", proba: str = "proba", ranges: i
     scores = (
         df.groupBy(F.col(proba).cast("double").alias("score"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-        .filter("score IS NOT NULL")
+        .filter("score IS NOT NULL AND NOT isnan(score)")
     )
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     edges = scores.agg(F.percentile_approx("score", steps)).first()[0] or [0.0]

@@ -32,8 +32,9 @@ def sequence_ids(
 
     Hand in a written vocabulary: its known size lets Spark broadcast it.
     """
-    placed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
-    head = placed.select("id", F.posexplode_outer(F.slice(sequence_tokens("text"), 1, length)).alias("pos", "word"))
+    # cut before the exchange: it carries the heads, never the texts
+    heads = docs.select(F.col(id_col).alias("id"), F.slice(sequence_tokens(text_col), 1, length).alias("words"))
+    head = heads.repartition("id").select("id", F.posexplode_outer("words").alias("pos", "word"))
     looked_up = head.join(vocabulary, "word", "left")
     token = F.when(F.col("word").isNotNull(), F.struct("pos", F.coalesce("word_id", F.lit(UNKNOWN)).alias("word_id")))
     rows = looked_up.groupBy("id").agg(F.sort_array(F.collect_list(token)).alias("tokens"))

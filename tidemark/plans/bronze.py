@@ -17,7 +17,7 @@ def with_lineage(df: DataFrame, source: str) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, settings: Settings, replay: bool = False) -> dict[str, int]:
-    """Rows written per entity. Only batches not yet in bronze are read; ``replay`` takes all again."""
+    """Rows written per entity. Only batches that are new or were landed again are read; ``replay`` takes all again."""
     written = {}
     for entity in ENTITIES:
         source = settings.path("landing", "normalized", entity)
@@ -25,7 +25,7 @@ def run_bronze(spark: SparkSession, settings: Settings, replay: bool = False) ->
         if not replay:
             batches = unfinished(spark, settings, "bronze", entity, batches)
         if batches:
-            landed = read_batches(spark, source, batches)
+            landed = read_batches(spark, source, list(batches))
             written[entity] = replace_batches(with_lineage(landed, entity), settings.path("bronze", entity))
             finish(spark, settings, "bronze", entity, batches)
     return written

@@ -28,7 +28,7 @@ from tidemark.operators.merge import (
 from tidemark.operators.metrics import class_report, metrics, roc_auc
 from tidemark.operators.models import Featurizer, fit_forest, forest_predictions, scored_texts
 from tidemark.operators.neighbors import knn_vote, nearest
-from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Action, Rule, check, evaluate
+from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Action, Rule, check, evaluate, percent
 from tidemark.operators.registry import best_candidate, promote
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.splits import sample_cap, stratified_split
@@ -207,7 +207,7 @@ COUNTED_RULES = (
 
 
 def _result_frame(spark, results) -> DataFrame:
-    rows = [(r.name, r.action, r.total_rows, r.violations, r.violation_pct) for r in results]
+    rows = [(t.rule.name, t.rule.action.value, t.incoming, t.broken, percent(t)) for t in results]
     return spark.createDataFrame(
         rows, "rule string, action string, total_rows bigint, violations bigint, violation_pct double"
     ).withColumn("violation_pct", F.round("violation_pct", 6))

@@ -80,9 +80,9 @@ def build_silver(
         batches = unfinished(spark, settings, "silver", entity, batches)
     if not batches:
         return False
-    bronze = read_batches(spark, path, batches)
+    bronze = read_batches(spark, path, list(batches))
     with materialized(conform(bronze), f"silver-{entity}") as staged:
-        kept, _ = check(
+        kept, results = check(
             staged,
             rules,
             table=f"silver.{entity}",
@@ -93,7 +93,7 @@ def build_silver(
         table = silver_table(settings, entity)
         table.merge(kept.withColumns({"_op": F.lit("u"), MERGED: F.lit(time.time_ns())}))
         if quarantine:
-            rebuild(rejected(staged, rules), settings.path("quarantine", entity))
+            rebuild(rejected(staged, rules, results), settings.path("quarantine", entity))
     finish(spark, settings, "silver", entity, batches)
     table.compact_when(spark, settings.compact_every)
     return True

@@ -33,10 +33,12 @@ ALIASES_SCHEMA = "model string, alias string, version int, set_at timestamp"
 
 def make_splits(spark: SparkSession, settings: Settings) -> None:
     features = read_table(spark, settings.path("gold", "gold_text_features"))
-    capped = sample_cap(features.select("id", "text", "label"), settings.sample_rows, settings.seed)
     divided = stratified_split(
-        capped, "label", settings.test_size, settings.val_size, settings.seed, text_col="text"
+        features.select("id", "text", "label"), "label", settings.test_size, settings.val_size, settings.seed, text_col="text"
     )
+    # only what is fitted is bounded; validation and test rows stay whole
+    fitted = sample_cap(divided.filter("split = 'train'"), settings.sample_rows, settings.seed)
+    divided = divided.filter("split <> 'train'").unionByName(fitted)
     write_splits(divided, settings.path("_meta", "ml_splits"))
 
 
@@ -90,6 +92,8 @@ def run_promotion(spark: SparkSession, settings: Settings, model: str, min_uplif
     if own is None or own.isEmpty():
         raise LookupError(f"no versions of {model}")
     scores = read_or_none(spark, settings.path("_meta", "metrics"), METRICS_SCHEMA)
+    if scores is None:
+        scores = spark.createDataFrame([], METRICS_SCHEMA)
     decision = promote(own, scores, current_aliases(spark, settings), min_uplift).first()
     if decision["promoted"]:
         spark.createDataFrame([(model, CHAMPION, decision["challenger"])], "model string, alias string, version int").select(

@@ -18,7 +18,7 @@ class Settings:
     dataset: str = "reviews"
     fail_pct: float = FAIL_PCT["dev"]
     shuffle_partitions: int = SHUFFLE_PARTITIONS["dev"]
-    sample_rows: int = SAMPLE_ROWS["dev"]
+    sample_rows: int = 0  # bound of the rows that are fitted; 0 fits all
     test_size: float = 0.2
     val_size: float = 0.1
     seed: int = 42

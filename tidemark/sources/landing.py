@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,20 +39,28 @@ POST_FIELDS = T.StructType(
 )
 
 
-def read_reviews_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Columns are taken by header name, in any order and among others; a bad number becomes NULL.
 
-    Everything is read as text and cast afterwards, so one bad field never empties the whole row.
+    Files of one folder may differ in their headers: those of equal headers are read together. Everything is read
+    as text and cast afterwards, so one bad field never empties the whole row. Without ``multi_line`` no text may
+    hold a line break, and large files are split among tasks; with it a file is one task, so drops come in many files.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in REVIEW_FIELDS])
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in (row["path"] for row in listed.collect()):  # names alone; each file's first line is read
+        by_header.setdefault(tuple(spark.read.options(**options).csv(file).columns), []).append(file)
+    frames = [
+        spark.read.options(**options).csv(files).select(
+            *[
+                (F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name)
+                for f in REVIEW_FIELDS
+            ]
+        )
+        for header, files in by_header.items()
+    ]
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], REVIEW_FIELDS)
 
 
 def read_posts_json(spark: SparkSession, path: str) -> DataFrame:

@@ -41,6 +41,11 @@ def list_folders(spark: SparkSession, path: str, complete: bool = False) -> list
     return [n for n in names if path_exists(spark, f"{path}/{n}/_SUCCESS")] if complete else names
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    target, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target) if not s.isDirectory())
+
+
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """A missing path is no data; every error in reading an existing one surfaces."""
     if not path_exists(spark, path):

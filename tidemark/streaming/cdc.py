@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.merge import keys_present
 from tidemark.sources.keyed import KeyedTable
 from tidemark.streaming.envelope import CUSTOMER_CASTS, CUSTOMER_ROW, ORDER_CASTS, ORDER_ROW, unwrap
 
@@ -54,7 +53,7 @@ def _sink(spec: TableSpec, path: str, compact_every: int):
     target = spec.table(path)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        changes = batch.filter(keys_present(spec.keys) & F.col("_op").isNotNull())
+        changes = batch.filter(F.col("_op").isNotNull())
         if not changes.isEmpty():
             target.merge(changes)
             target.compact_when(batch.sparkSession, compact_every)
