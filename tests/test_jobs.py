@@ -137,3 +137,22 @@ def test_rows_without_key_are_kept_once_per_merge(spark, settings):
     assert build_silver(spark, lenient, "reviews")
     table.compact(spark)
     assert len(scores(spark, settings)) == 4
+
+
+def test_a_batch_landed_again_is_taken_again(spark, settings):
+    """Replaced content under the same batch id reaches bronze and silver; an unchanged batch is left alone."""
+    moment = "cast('2024-01-01' as timestamp)"
+
+    def land(*rows):
+        frame = spark.createDataFrame(rows, "review_id long, score long").selectExpr(
+            "review_id", "'p' product_id", "'u' user_id", "score", f"{moment} review_ts", "'s' summary", "'text' text", "'B1' _batch_id"
+        )
+        replace_batches(frame, settings.path("landing", "normalized", "reviews"))
+
+    land((1, 2))
+    assert run_bronze(spark, settings) == {"reviews": 1} and run_silver(spark, settings) == ["reviews"]
+    assert run_bronze(spark, settings) == {} and run_silver(spark, settings) == []
+    land((1, 5), (2, 4))
+    assert run_bronze(spark, settings) == {"reviews": 2} and run_silver(spark, settings) == ["reviews"]
+    silver = read_silver(spark, settings, "reviews")
+    assert {(r["review_id"], r["score"]) for r in silver.collect()} == {(1, 5), (2, 4)}

@@ -75,8 +75,8 @@ def test_equal_times_are_ordered_by_log_position(drain):
     assert drain([order(1, "second", "u", 5, 20), order(1, "first", "u", 5, 10)], [order(1, "zeroth", "u", 5, 1)]) == {1: "second"}
 
 
-def test_records_without_op_or_key_are_ignored(drain, spark):
-    assert drain(["garbage", json.dumps({"op": "u", "after": {"status": "x"}}), order(1, "a", "c", 1)]) == {1: "a"}
+def test_garbage_is_ignored_and_keyless_changes_are_inserted(drain, spark):
+    assert drain(["garbage", json.dumps({"op": "u", "after": {"status": "x"}}), order(1, "a", "c", 1)]) == {1: "a", None: "x"}
     assert ORDERS.table(drain.target).state(spark).count() == 1
 
 
