@@ -141,22 +141,48 @@ def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.nda
     return taken
 
 
+def first_fit(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A basis of patterns, one for each size that it uses up, filled with the largest sizes still in demand."""
+    count = len(sizes)
+    patterns, uses = np.diag(capacity // sizes).astype(np.int64), np.zeros(count)
+    left, open_sizes = demand.astype(float).copy(), np.ones(count, bool)
+    while open_sizes.any():
+        column, room = np.zeros(count, np.int64), capacity
+        for k in np.flatnonzero(open_sizes)[::-1]:
+            column[k], room = room // sizes[k], room % sizes[k]
+        held = np.flatnonzero(column)
+        times = left[held] / column[held]
+        spent = held[int(times.argmin())]
+        patterns[:, spent], uses[spent] = column, times.min()
+        left -= times.min() * column
+        open_sizes[spent] = False
+    return patterns, uses
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as columns, uses as floats): near the least sequences that cover ``demand``, by revised simplex steps.
 
-    The basis starts with one pattern per size; each step prices a new pattern by the knapsack over the dual values
-    and exchanges it for the basic one that runs out first. The duals divided by the priced value bound the optimum
-    from below, so it ends when the uses are within GAP of it.
+    The basis starts with the patterns of first-fit decreasing, each used until a size runs out; each step prices a new pattern by the knapsack over the dual values, or
+    gives up a size that is covered beyond its demand where its dual is negative, and exchanges the column for the basic
+    one that runs out first. The duals divided by the priced value bound the optimum from below, so it ends when the
+    uses are within GAP of it.
     """
     count = len(sizes)
-    patterns = np.diag(capacity // sizes).astype(np.int64)
-    inverse = np.diag(1.0 / np.diag(patterns))
-    uses = inverse @ demand
-    for _ in range(20 * count):
-        duals = np.maximum(inverse.sum(axis=0), 0.0)
-        column = best_pattern(duals, sizes, capacity)
-        if duals @ column <= 1 + GAP:
-            break
+    patterns, uses = first_fit(sizes, demand, capacity)
+    costs = np.ones(count)
+    inverse = np.linalg.inv(patterns.astype(float))
+    for turn in range(1, 20 * count):
+        if turn % 100 == 0:  # rounding errors don't add up
+            inverse = np.linalg.inv(patterns.astype(float))
+            uses = np.maximum(inverse @ demand, 0.0)
+        duals = costs @ inverse
+        worst = int(duals.argmin())
+        if duals[worst] < -1e-9:
+            column, cost = -np.eye(count, dtype=np.int64)[worst], 0.0
+        else:
+            column, cost = best_pattern(duals, sizes, capacity), 1.0
+            if duals @ column <= 1 + GAP:
+                break
         step = inverse @ column
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(step > 1e-9, uses / step, np.inf)
@@ -168,8 +194,8 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> t
         pivot = inverse[leaving] / step[leaving]
         inverse -= np.outer(step, pivot)
         inverse[leaving] = pivot
-        patterns[:, leaving] = column
-    return patterns, uses
+        patterns[:, leaving], costs[leaving] = column, cost
+    return patterns[:, costs > 0], uses[costs > 0]
 
 
 def rounded(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
