@@ -29,17 +29,28 @@ def term_counts(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def term_df(counts: DataFrame, min_df: int = MIN_DF) -> DataFrame:
-    """(term, df, total) of the terms in at least ``min_df`` documents."""
-    stats = counts.filter("term IS NOT NULL").groupBy("term")
-    return stats.agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).filter(F.col("df") >= min_df)
+def term_df(docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df: int = MIN_DF) -> DataFrame:
+    """(term, df, total) of the terms in at least ``min_df`` documents; a row of ``docs`` is a document.
+
+    One pass over the texts: every row adds 1 to df for each of its distinct terms and to total for each term, and
+    only those sums, added up before the exchange, are shuffled.
+    """
+    tokens = docs.select(words(text_col).alias("tokens"))
+    terms = tokens.select(unigrams_and_bigrams(F.col("tokens")).alias("terms"))
+
+    def adds(df: int, total: int):
+        return lambda term: F.struct(term.alias("term"), F.lit(df).alias("df"), F.lit(total).alias("total"))
+
+    both = F.concat(F.transform(F.array_distinct("terms"), adds(1, 0)), F.transform("terms", adds(0, 1)))
+    stats = terms.select(F.explode(both).alias("one")).select("one.*").groupBy("term")
+    return stats.agg(F.sum("df").alias("df"), F.sum("total").alias("total")).filter(F.col("df") >= min_df)
 
 
 def fit_vocabulary(
     docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df: int = MIN_DF, max_terms: int = MAX_TERMS
 ) -> DataFrame:
     """(term, idx, df, idf): the ``max_terms`` most frequent terms, numbered alphabetically."""
-    stats = term_df(term_counts(docs, id_col, text_col), min_df)
+    stats = term_df(docs, id_col, text_col, min_df)
     kept = stats.orderBy(F.desc("total"), "term").limit(max_terms)
     documents = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     # max_terms rows at most, so one ordering task is enough.

@@ -32,7 +32,7 @@ from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Action, Rule, c
 from tidemark.operators.registry import best_candidate, promote
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.splits import sample_cap, stratified_split
-from tidemark.operators.tfidf import fit_vocabulary, term_counts, term_df, tfidf_weights
+from tidemark.operators.tfidf import fit_vocabulary, term_df, tfidf_weights
 from tidemark.plans.cdc_batch import as_changes
 from tidemark.plans.delivery import deliver
 from tidemark.plans.fixtures import (
@@ -467,7 +467,7 @@ def _clean_docs(spark, folder) -> DataFrame:
 
 @query("term_df")
 def term_frequencies(spark, folder):
-    return term_df(term_counts(_clean_docs(spark, folder)))
+    return term_df(_clean_docs(spark, folder))
 
 
 @query("tfidf_weights")
