@@ -8,12 +8,12 @@ REVIEWS_SRC = """reviews_src AS (
   SELECT doc_id AS review_id, source AS product_id, lang AS user_id,
          CASE WHEN doc_id % 89 = 0 THEN NULL WHEN doc_id % 97 = 0 THEN 99 ELSE 1 + doc_id % 5 END AS score,
          TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' DAY * (doc_id % 30) AS review_ts,
-         substring(text, 1, 80) AS summary, text, 'B1' AS _batch_id
+         text AS summary, text, 'B1' AS _batch_id
   FROM documents
   UNION ALL
   SELECT doc_id, source, lang, 1 + (doc_id + 2) % 5,
          TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '1' DAY * (doc_id % 30),
-         substring(text, 1, 40), concat(text, ' Revised <i>edition</i> http://x.co/1 &amp;'), 'B2'
+         text, concat(text, ' Revised <i>edition</i> http://x.co/1 &amp;'), 'B2'
   FROM documents WHERE doc_id % 7 = 0
 )"""
 
@@ -41,10 +41,9 @@ ORDER_CHANGES = """order_changes AS (
 )"""
 
 CUSTOMERS_SRC = """customers_src AS (
-  SELECT c_custkey AS customer_id, c_name AS full_name, lower(concat(c_name, '@example.com')) AS email,
+  SELECT CASE WHEN c_custkey % 50 = 0 THEN -c_custkey ELSE c_custkey END AS customer_id, c_name AS full_name, lower(concat(c_name, '@example.com')) AS email,
          c_mktsegment AS segment, n_name AS country
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 50 <> 0
 )"""
 
 PREDICTIONS = """predictions AS (

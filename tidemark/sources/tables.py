@@ -61,7 +61,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def new_batch_id() -> str:
-    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
 
 def rebuild(df: DataFrame, path: str, partition_by: Sequence[str] = (), keep: int = 2) -> None:
