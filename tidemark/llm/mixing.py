@@ -171,7 +171,7 @@ def take_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     takes = plan.groupBy(order_of("doc_id").alias("_pid"), F.col("_th").alias("_pth")).agg(
         F.max("size").alias("_size"), F.max("first").alias("_first"), F.max("second").alias("_second")
     )
-    takes = materialize(takes.where("_first > 0"), "takes")
+    takes = materialize(takes.where("_first > 0"), "takes").hint("shuffle_hash")
     rows = docs.withColumns({"_id": order_of(id_col), "_th": F.xxhash64(F.coalesce(text_col, F.lit("")))})
     rows = rows.join(takes, (F.col("_id") == F.col("_pid")) & (F.col("_th") == F.col("_pth")))
     rows = rows.withColumn("_take", F.explode(F.array("_first", "_second"))).where("_take > 0")

@@ -248,7 +248,7 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_bits: int = 4) ->
     Rows without an id go where their group has a row with one, and stay otherwise.
     """
     groups = materialize(near_groups(docs, shingle=shingle, max_bits=max_bits), "groups")
-    losers = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    losers = groups.where("doc_id <> component_id").select("doc_id").distinct().hint("shuffle_hash")
     nameless = groups.where("doc_id is null and component_id is not null").select("fp").distinct()
     repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     kept = docs.where("doc_id is not null").join(losers, "doc_id", "left_anti").select(*docs.columns)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tidemark.session import materialize
 WINDOW = 13
 BASE = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
-MEMO = 400_000
+CHUNK = 1 << 20
 
 
 def lengths_of(window: int) -> list[int]:
@@ -27,21 +28,53 @@ def lengths_of(window: int) -> list[int]:
     return [-(-lengths[0] // 2), *lengths]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+WHITE = np.zeros(256, bool)
+WHITE[[9, 10, 11, 12, 13, 32]] = True
 
-        if len(self) >= MEMO:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
 
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse modulo 2^64."""
+    inverse = pow(int(BASE), -1, 1 << 64)
+    up, down = np.full(CHUNK + 1, BASE), np.full(CHUNK + 1, inverse, np.uint64)
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
-_HASHES = _Hashes()
 
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * MIX
+    return values ^ (values >> np.uint64(29))
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+
+def _sums(data: np.ndarray) -> np.ndarray:
+    """Before each byte, the polynomial of the bytes up to it."""
+    found = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers()[0][: len(data)], out=found[1:])
+    return found
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A hash of each word of a text, from running sums over its bytes; long texts go by chunks of whole words."""
+    data = np.frombuffer(text, np.uint8)
+    white = WHITE[data]
+    edges = np.diff(np.concatenate([[True], white, [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    down, found, first = _powers()[1], np.empty(len(starts), np.uint64), 0
+    while first < len(starts):
+        low = starts[first]
+        last = int(np.searchsorted(ends, low + CHUNK, side="right"))
+        if last <= first:  # one word longer than a chunk
+            value, place = np.zeros(1, np.uint64), np.ones(1, np.uint64)
+            for at in range(low, ends[first], CHUNK):
+                value += place * _sums(data[at : min(at + CHUNK, ends[first])])[-1]
+                place *= _powers()[0][CHUNK]
+            found[first], first = value[0], first + 1
+            continue
+        sums = _sums(data[low : ends[last - 1]])
+        begin = starts[first:last] - low
+        found[first:last] = (sums[ends[first:last] - low] - sums[begin]) * down[begin]
+        first = last
+    return _mixed(found)
 
 
 def window_hashes(hashed: np.ndarray, length: int) -> np.ndarray:
@@ -52,9 +85,7 @@ def window_hashes(hashed: np.ndarray, length: int) -> np.ndarray:
     found = np.zeros(count, np.uint64)
     for k in range(length):
         found = found * BASE + hashed[k : k + count]
-    found ^= found >> np.uint64(31)
-    found *= MIX
-    return found ^ (found >> np.uint64(29))
+    return _mixed(found)
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -139,7 +170,7 @@ def dedup_substrings(
         for batch in batches:
             found = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashed = word_hashes((text or b"").split())
+                hashed = word_hashes(text or b"")
                 found.append((np.unique(chosen_windows(hashed, window, lengths[0], shift)), doc))
             yield _rows(found)
 
@@ -154,7 +185,7 @@ def dedup_substrings(
             for doc, order, text, alive in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 words = (text or b"").split()
                 done = finish(words, None)[1] if alive is None else None
-                rows.append((doc, order, len(words), done, text if alive is not None else None, alive))
+                rows.append((doc, order, len(words), done, (text or b"") if alive is not None else None, alive))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], opened_names)
@@ -164,7 +195,7 @@ def dedup_substrings(
             for batch in batches:
                 found = []
                 for doc, text, alive in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                    hashes, flags = candidates(word_hashes(text.split()), window, level, lengths, np.array(alive or [], np.int64), shift)
+                    hashes, flags = candidates(word_hashes(text), window, level, lengths, np.array(alive or [], np.int64), shift)
                     found.append((np.unique(hashes[flags]).view(np.int64), doc))
                 yield _rows(found)
 
@@ -175,7 +206,7 @@ def dedup_substrings(
             rows = []
             for doc, text, alive in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 words = text.split()
-                found = window_hashes(word_hashes(words), window).view(np.int64)
+                found = window_hashes(word_hashes(text), window).view(np.int64)
                 gone = covered(np.isin(found, np.array(alive or [], np.int64)), window, len(words))
                 rows.append((doc, len(words), *finish(words, gone)))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
@@ -187,7 +218,8 @@ def dedup_substrings(
     out_name = "kept_sha256" if digest else "text"
 
     def of_docs(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("_id").agg(F.collect_list("h").alias("alive"))
+        # the few hashes of a document are the hashed side of joins: texts stream past and aren't sorted
+        return rows.groupBy("_id").agg(F.collect_list("h").alias("alive")).hint("shuffle_hash")
 
     first = texts.select("_id", "text").mapInArrow(chosen, "h long, _id long")
     alive = of_docs(first.join(_repeated(first, "chosen").select("h"), "h", "left_semi"))
