@@ -286,6 +286,34 @@ def test_mixing(docs, nothing):
     assert abs(sum(len(words(r.text)) for r in mixed.collect()) - 1.5 * sum(sizes.values())) <= 0.02 * sum(sizes.values()) + 60
 
 
+@pytest.mark.parametrize("block", [8, 1024, 100_000])
+def test_mixing_meets_the_targets_of_small_sources(spark, block):
+    rng = random.Random(8)
+    sizes = {"big": 60_000, "mid": 5000, None: 1500} | {f"t{k}": rng.randint(1, 400) for k in range(60)}
+    rows, doc = [], 0
+    for source, size in sizes.items():
+        while size:
+            n = min(size, rng.randint(1, 900))
+            rows.append((doc, "w " * n, source))
+            doc, size = doc + 1, size - n
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan, schedule = mix(frame, block=block)
+    taken, target = Counter(), {}
+    for r in plan.collect():
+        assert 0 <= r.second <= r.first <= r.size
+        taken[r.source] += r.first + r.second
+        target[r.source] = r.target
+    assert set(target) == set(sizes)
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in target)
+    used, slots = Counter(), schedule.collect()
+    for r in slots:
+        used[r.source] += r.words
+        assert 0 < r.words <= block and 0 <= r.block * block < sizes[r.source]
+        assert 0 <= r.slot <= 1.5 * sum(sizes.values()) / block + 1
+    assert used == taken
+    assert len({(r.source, r.block, r["pass"]) for r in slots}) == len(slots)
+
+
 def test_targets_share_out_the_excess(spark):
     sizes = {"a": 10, "b": 1000, None: 400, "c": 90, "d": 0}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")

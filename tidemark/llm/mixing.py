@@ -59,18 +59,22 @@ def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"):
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int | None = None):
     """(plan, schedule) of the mix.
 
     ``plan``: a row for each row of ``docs`` with ``doc_id``, ``_th`` (hash of the text), ``source``, ``size``,
     ``source_size``, ``target``, ``first`` and ``second`` (words that the first and the second pass take: the
-    leading ones of the document). ``schedule``: (slot, source, block, pass).
+    leading ones of the document). ``schedule``: (slot, source, block, pass, words).
 
     A source's documents are laid end to end in hash order and cut into blocks of equal words. Slot i of the mix
     takes the source in whose share of the cumulated targets the i-th golden-ratio point falls; its rank among the
     slots of that source says which block is next, and a source starts over when it is through, REPEATS times at
     most. So a block is used once or twice, and a mix cut short at any slot is near the weights.
 
+    Whatever the ``block`` (in words, by default from the size of the table), a source takes its target, rounded: the
+    last block of its mix is cut to the words that are left, slots beyond it go, and blocks that it got no slot for (as
+    a source smaller than a block may) share slots with other sources, spread over the mix.
+
     Null texts have no words, null sources are a source of their own, rows equal in id and text count each.
     A table without words gives an empty schedule.
     """
@@ -86,23 +90,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sources), "targets")
     rows, total = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    block = max(LEAST, min(MOST, round(total / BLOCKS)))
+    block = block or max(LEAST, min(MOST, round(total / BLOCKS)))
     slots = round(SHARE * total / block)
 
     # cumulated shares, one row per source
     before = Window.orderBy(F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    goal = F.round("target").cast("long")
     shares = targets.where("target > 0").select(
         "source",
         F.ceil(F.col("source_size") / block).alias("n_blocks"),
+        F.least(goal, "source_size").alias("_words0"),
+        F.greatest(goal - F.col("source_size"), F.lit(0)).alias("_words1"),
         (F.coalesce(F.sum("target").over(before), F.lit(0.0)) / F.sum("target").over(every)).alias("_from"),
     )
     following = Window.orderBy("_from", F.col("source").isNull(), "source")
     shares = materialize(shares.withColumn("_upto", F.coalesce(F.lead("_from").over(following), F.lit(1.0))), "shares")
-    schedule = _schedule(docs.sparkSession, shares, slots)
+    schedule = _schedule(docs.sparkSession, shares, slots, block)
 
     # words of a source that each pass takes: its leading blocks
-    uses = schedule.groupBy("source", "pass").agg(F.count("*").alias("n"))
+    uses = schedule.groupBy("source", "pass").agg(F.sum("words").alias("n"))
     passes = uses.groupBy(F.col("source").alias("_src")).agg(
         *[F.coalesce(F.max(F.when(F.col("pass") == k, F.col("n"))), F.lit(0)).alias(f"_n{k}") for k in range(REPEATS)]
     )
@@ -110,7 +117,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("source").alias("_s"),
         "source_size",
         "target",
-        *[(F.coalesce(f"_n{k}", F.lit(0)) * block).alias(f"_w{k}") for k in range(REPEATS)],
+        *[F.coalesce(f"_n{k}", F.lit(0)).alias(f"_w{k}") for k in range(REPEATS)],
     )
     by_source = materialize(by_source, "passes")
     laid = with_running_sum(
@@ -128,8 +135,11 @@ def _cell(x: str) -> Column:
     return F.floor(F.col(x) * CELLS)
 
 
-def _schedule(spark, shares: DataFrame, slots: int, chunk: int = 1 << 16) -> DataFrame:
-    """(slot, source, block, pass): ranks within a source are counted by chunk of slots and moved by the chunks before."""
+def _schedule(spark, shares: DataFrame, slots: int, size: int, chunk: int = 1 << 16) -> DataFrame:
+    """(slot, source, block, pass, words): ranks within a source are counted by chunk of slots and moved by the chunks before.
+
+    ``size`` is that of a block. The blocks that a source's words need beyond its slots are added at even steps.
+    """
     points = spark.range(slots).select(
         F.col("id").alias("slot"),
         F.floor(F.col("id") / chunk).alias("_chunk"),
@@ -139,21 +149,32 @@ def _schedule(spark, shares: DataFrame, slots: int, chunk: int = 1 << 16) -> Dat
     cells = shares.withColumn("_cell", F.explode(F.sequence(_cell("_from"), _cell("_upto"))))
     points = points.withColumn("_cell", _cell("_x"))
     inside_share = (F.col("_x") >= F.col("_from")) & (F.col("_x") < F.col("_upto"))
-    hit = points.join(cells, (points._cell == cells._cell) & inside_share).select("slot", "_chunk", "source", "n_blocks")
+    hit = points.join(cells, (points._cell == cells._cell) & inside_share).select("slot", "_chunk", "source")
     before = Window.partitionBy("source").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = hit.groupBy("source", "_chunk").agg(F.count("*").alias("_n")).select(
-        F.col("source").alias("_s"), F.col("_chunk").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
+        F.col("source").alias("_s"), F.col("_chunk").alias("_c"), "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
     )
+    bases = materialize(bases, "bases")
     inside = Window.partitionBy("source", "_chunk").orderBy("slot")
+    wanted = F.ceil(F.col("_words0") / size) + F.ceil(F.col("_words1") / size)
+    needs = shares.select(F.col("source").alias("_src"), "n_blocks", "_words0", "_words1", wanted.alias("_wanted"))
+    moved = bases.join(needs, _same(F.col("_s"), F.col("_src"))).drop("_src", "_n")
     ranked = hit.withColumn("_in", F.row_number().over(inside) - 1).join(
-        bases, _same(F.col("source"), F.col("_s")) & (F.col("_chunk") == F.col("_c"))
+        moved, _same(F.col("source"), F.col("_s")) & (F.col("_chunk") == F.col("_c"))
     )
-    ranked = ranked.withColumn("_rank", F.col("_in") + F.col("_base"))
-    return ranked.where(F.col("_rank") < F.lit(REPEATS) * F.col("n_blocks")).select(
-        "slot",
-        "source",
-        F.pmod("_rank", "n_blocks").alias("block"),
-        F.floor(F.col("_rank") / F.col("n_blocks")).cast("int").alias("pass"),
+    ranked = ranked.withColumn("_rank", F.col("_in") + F.col("_base")).where("_rank < _wanted")
+    met = bases.groupBy("_s").agg(F.sum("_n").alias("_met"))
+    lacking = needs.join(met, _same(F.col("_src"), F.col("_s")), "left").withColumn("_met", F.coalesce("_met", F.lit(0)))
+    lacking = lacking.where("_met < _wanted").withColumn("_rank", F.explode(F.sequence("_met", F.col("_wanted") - 1)))
+    part = F.pmod(F.xxhash64("_src", F.lit("slot")), F.lit(chunk)) / chunk
+    lacking = lacking.withColumn("slot", F.floor((F.col("_rank") + part) * slots / F.col("_wanted")))
+    columns = ["slot", "n_blocks", "_words0", "_words1", "_rank"]
+    every = ranked.select("source", *columns).unionByName(lacking.select(F.col("_src").alias("source"), *columns))
+    number = F.pmod("_rank", "n_blocks")
+    turn = F.floor(F.col("_rank") / F.col("n_blocks")).cast("int")
+    left = F.when(turn == 0, F.col("_words0")).otherwise(F.col("_words1")) - number * size
+    return every.select(
+        "slot", "source", number.alias("block"), turn.alias("pass"), F.least(F.lit(size).cast("long"), left).alias("words")
     )
 
 
