@@ -212,6 +212,57 @@ def test_fingerprints(docs, nothing):
     assert fingerprint_edits(nothing).count() == 0
 
 
+def test_fingerprints_of_long_lines(spark):
+    """Likenesses against brute force, with long texts of one line, with and without spaces, and texts around the old lengths."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 9)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    texts = [line(n) for n in (2400, 3, 900, 190, 60, 500)]
+    texts += ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(6000)), "same " * 900, line(450) + "\n" + line(30) + ". " + line(300)]
+    texts += ["\n".join(line(rng.randint(3, 40)) + "! " + line(4) for _ in range(60)), line(40) + " " + "x" * 3000 + " \U0001f600" * 5, ""]
+    texts += [texts[0][:5000] + " new " + texts[0][5000:], texts[0]]
+
+    def cut(units, between, every, piece):
+        windows = [units[max(0, k - 2) : k + 1] for k in range(len(units))]
+        found = spark.createDataFrame([(k, w) for k, w in enumerate(windows)], "k long, w array<string>")
+        ends = {r.k for r in found.where(F.pmod(F.xxhash64("w"), F.lit(every)) == 0).select("k").collect()}
+        pieces, now = [], []
+        for k, unit in enumerate(units):
+            now.append(unit)
+            if len(now) == 2 * every or k in ends:
+                # at the limit the space after the last word stays with it, as more words follow
+                more = between if k not in ends and k + 1 < len(units) else ""
+                pieces.append(between.join(now) + more)
+                now = []
+        return pieces + ([between.join(now)] if now else [])
+
+    known = {}
+
+    def pieces_of(text):
+        if text not in known:
+            found = set()
+            for sentence in re.split(r"\n+|(?<=[.!?|;*#$%&])\s+", text, flags=re.ASCII):
+                units = sentence.split()
+                for part in cut(units, " ", 12, None) if len(units) > 24 else [sentence]:
+                    found |= set(cut(list(part), "", 128, None)) if len(part) > 256 else {part}
+            known[text] = found - {""}
+        return known[text]
+
+    def alike(left, right):
+        a, b = pieces_of(left), pieces_of(right)
+        return 2 * len(a & b) / (len(a) + len(b)) if a or b else 1.0
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in fingerprint_edits(frame).collect()}
+    for k, text in enumerate(texts):
+        following = texts[(k + 1) % len(texts)]
+        edited = text[: len(text) - len(text) // 4] + following[: len(text) // 4]
+        assert abs(found[k].near_edited - alike(text, edited)) < 1e-9, k
+        assert abs(found[k].near_next - alike(text, following)) < 1e-9, k
+    # three quarters of a long line stay, and what is put into it leaves the other pieces alone
+    assert all(found[k].near_edited > 0.5 for k in (0, 2, 3, 6)) and found[len(texts) - 2].near_next > 0.9
+
+
 def test_packing_round_trip(docs, nothing):
     from tokenizers import Tokenizer
 

@@ -17,10 +17,11 @@ ROUNDS, RETRIES = 6, 4
 LOAD, PARTS = 8, 32
 #: Documents of neighbouring ids that are shuffled together.
 NEIGHBOURS = 256
-#: Paragraphs are lines; those of shorter texts are sentences or fields, cut after their marks. Between the two lengths
-#: (in code points) both count, so that versions on either side still share paragraphs.
-LINE, SENTENCE = r"\n+", r"\n+|(?<=[.!?|;*#$%&])\s+"
-LINES_FROM, SENTENCES_TO = 1500, 2667
+#: Paragraphs are lines, and in them sentences or fields, cut after their marks.
+SENTENCE = r"\n+|(?<=[.!?|;*#$%&])\s+"
+#: Longer ones are cut at words, and where words are long at characters, by content: after about every so many of them,
+#: as the hash of the last WINDOW says, and after MOST times as many at the latest.
+WORDS, CHARACTERS, WINDOW, MOST = 12, 128, 3, 2
 
 CELL = "struct<n:int,key:bigint,check:bigint>"
 FOUND = "array<struct<n:int,key:bigint>>"
@@ -32,14 +33,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def digests(text: Column) -> Column:
-    """The distinct paragraph digests of a text."""
+def _cut(units: Column, between: str, every: int, piece: str) -> Column:
+    """The pieces of a list of units: cut where their own hash says so, so that a change moves no cut beyond the next one."""
+
+    def marked(unit: Column, at: Column) -> Column:
+        last = F.slice(units, F.greatest(at - (WINDOW - 2), F.lit(1)), F.least(at + 1, F.lit(WINDOW)))
+        cut = (F.pmod(F.xxhash64(last), F.lit(every)) == 0) & (at + 1 < F.size(units))
+        return F.when(cut, F.concat(unit, F.lit("\n"))).otherwise(unit)
+
+    pieces = F.split(F.array_join(F.transform(units, marked), between), "\n" + between)
+    return F.flatten(F.transform(pieces, lambda p: F.regexp_extract_all(p, F.lit(piece), F.lit(0))))
+
 
-    def cut(mark: str, when: Column) -> Column:
-        return F.when(when, F.split(text, mark)).otherwise(F.array().cast("array<string>"))
+def _cut_words(sentence: Column) -> Column:
+    piece = rf"(?:\S++\s*+){{1,{MOST * WORDS}}}"
+    return let(F.split(F.trim(sentence), r"\s+"), lambda units: F.when(
+        F.size(units) > MOST * WORDS, _cut(units, " ", WORDS, piece)
+    ).otherwise(F.array(sentence)))
 
-    n = F.length(text)
-    pieces = F.concat(cut(LINE, n >= LINES_FROM), cut(SENTENCE, n < SENTENCES_TO))
+
+def _cut_characters(text: Column) -> Column:
+    piece = rf"(?s).{{1,{MOST * CHARACTERS}}}"
+    return F.when(
+        F.length(text) > MOST * CHARACTERS, let(F.split(text, ""), lambda units: _cut(units, "", CHARACTERS, piece))
+    ).otherwise(F.array(text))
+
+
+def digests(text: Column) -> Column:
+    """The distinct paragraph digests of a text, by one rule at every length."""
+    pieces = F.flatten(F.transform(F.split(text, SENTENCE), _cut_words))
+    pieces = F.flatten(F.transform(pieces, _cut_characters))
     return F.array_distinct(F.transform(F.filter(pieces, lambda p: p != ""), lambda p: F.xxhash64(p)))
 
 
