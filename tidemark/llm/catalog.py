@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from tidemark.llm.alignment import op13_alignment
 from tidemark.llm.fingerprints import op3_fingerprints
 from tidemark.llm.html import op8_html
+from tidemark.llm.language import op11_language
 from tidemark.llm.lines import OP1_SQL, op1_line_dedup
 from tidemark.llm.mixing import op6_mixing
 from tidemark.llm.packing import op2_packing
+from tidemark.llm.periods import op12_periods
 from tidemark.llm.quality import op9_quality
 from tidemark.llm.simhash import op5_simhash
 from tidemark.llm.substrings import OP7_SQL, op7_substrings
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_quality": op9_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_language": op11_language,
+    "op12_periods": op12_periods,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
