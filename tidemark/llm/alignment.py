@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
-from tidemark.llm.packing import byte_letters
+from tidemark.llm.packing import BYTE_LEVEL, PATTERN, byte_letters
 from tidemark.session import materialize
 
 #: Windows in each of the two halves of a task's memo: when the new half is full, the old one goes.
 MEMO = 150_000
-#: Longer windows (text without spaces) are aligned each time.
+#: Windows of more tokens are aligned each time.
 MEMO_TOKENS = 64
 #: Pairs with at least this share of all links are broadcast: there are at most 2^18 such pairs, whatever the corpus.
 HEAVY_SHARE = 2.0**-18
@@ -29,28 +29,26 @@ SHIFT = 1 << 20
 
 
 class ByteLevel:
-    """A byte-level BPE file: ids of a space and a text, special tokens' strings being plain text."""
+    """A byte-level BPE file: ids of a space and a text as 32-bit bytes, special tokens' strings being plain text."""
 
     def __init__(self, described: str):
         import tiktoken
 
         parts = json.loads(described)
-        if parts["pre_tokenizer"] != {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True} or parts["normalizer"]:
+        if parts["pre_tokenizer"] != BYTE_LEVEL or parts["normalizer"]:
             raise ValueError("not a plain byte-level vocabulary")
         special = {t["content"] for t in parts.get("added_tokens", [])}
         letters = byte_letters()
         ranks = {bytes(letters[c] for c in t): rank for t, rank in parts["model"]["vocab"].items() if t not in special}
-        # fixed value: the pattern of byte-level pre-tokenization
-        pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-        self.words = tiktoken.Encoding("plain", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.words = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.table = _Bytes({rank: token for token, rank in ranks.items()})
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.words.encode_ordinary(" " + text), "<u4")
+    def ids(self, text: str) -> bytes:
+        return array("I", self.words.encode_ordinary(" " + text)).tobytes()
 
 
 class Pieces:
-    """A sentence-piece model file: ids of a text, before which it sets a space itself."""
+    """A sentence-piece model file: ids of a text, before which it sets a space itself, as 32-bit bytes."""
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -65,8 +63,8 @@ class Pieces:
                 found[token] = piece.replace("▁", " ").encode()
         self.table = _Bytes(found)
 
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, num_threads=1), "<u4")
+    def ids(self, text: str) -> bytes:
+        return self.model.encode_as_numpy(text).astype("<u4").tobytes()
 
 
 class _Bytes:
@@ -79,8 +77,8 @@ class _Bytes:
         self.lengths = np.array(self.sizes, np.int64)
         self.spaced = np.array([t.startswith(b" ") for t in self.tokens])
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
 
 @lru_cache(maxsize=1)
@@ -90,87 +88,85 @@ def both(described: str, model: bytes) -> tuple[ByteLevel, Pieces]:
 
 def align(a: list[int], b: list[int], a_table: _Bytes, b_table: _Bytes) -> tuple[str, list[int]]:
     """(groups as text, pairs) of the tokens over the same bytes: a new group starts where a token of each ends."""
-    a_names, b_names = [a_table.names[i] for i in a], [b_table.names[j] for j in b]
+    a_names, b_names = list(map(a_table.names.__getitem__, a)), list(map(b_table.names.__getitem__, b))
     if len(a) == 1:  # no inner end is shared
         high = a[0] * SHIFT
         return a_names[0] + "|" + ",".join(b_names), [high + j for j in b]
     if len(b) == 1:
         return ",".join(a_names) + "|" + b_names[0], [i * SHIFT + b[0] for i in a]
+    a_sizes, b_sizes = list(map(a_table.sizes.__getitem__, a)), list(map(b_table.sizes.__getitem__, b))
     groups, pairs = [], []
-    i = j = first_a = first_b = 0
-    end_a, end_b = a_table.sizes[a[0]], b_table.sizes[b[0]]
+    i = j = first_a = first_b = ahead = 0  # ahead: how far A's tokens reach beyond B's
     while True:
-        pairs.append(a[i] * SHIFT + b[j])
-        if end_a < end_b:
+        if ahead == 0:
+            if i:
+                groups.append(",".join(a_names[first_a:i]) + "|" + ",".join(b_names[first_b:j]))
+                if i == len(a):
+                    return ";".join(groups), pairs
+                first_a, first_b = i, j
+            pairs.append(a[i] * SHIFT + b[j])
+            ahead = a_sizes[i] - b_sizes[j]
             i += 1
-            end_a += a_table.sizes[a[i]]
-        elif end_b < end_a:
             j += 1
-            end_b += b_table.sizes[b[j]]
-        else:
+        elif ahead < 0:
+            pairs.append(a[i] * SHIFT + b[j - 1])
+            ahead += a_sizes[i]
             i += 1
+        else:
+            pairs.append(a[i - 1] * SHIFT + b[j])
+            ahead -= b_sizes[j]
             j += 1
-            groups.append(",".join(a_names[first_a:i]) + "|" + ",".join(b_names[first_b:j]))
-            if i == len(a):
-                return ";".join(groups), pairs
-            first_a, first_b = i, j
-            end_a += a_table.sizes[a[i]]
-            end_b += b_table.sizes[b[j]]
 
 
 class Aligner:
-    """Aligns whole texts window by window and remembers windows by their ids, each as a text and the bytes of its pairs."""
+    """Aligns whole texts window by window and remembers windows by their ids."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
-        self.memo: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
+        self.memo: dict[tuple[bytes, bytes], tuple[str, bytes, bytes]] = {}
         self.older = self.memo
 
-    def _window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes]:
+    def _window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes, bytes]:
+        """(groups, pairs, bytes) of a window; no bytes where the tokens of both don't spell the same."""
         found = self.older.get(key)
         if not found:
             a, b = (memoryview(part).cast("I").tolist() for part in key)
+            data = self.a.table.joined(a)
+            if data != self.b.table.joined(b):
+                return "", b"", b""
             groups, pairs = align(a, b, self.a.table, self.b.table)
-            found = groups, array("q", pairs).tobytes()
+            found = groups, array("q", pairs).tobytes(), data
         if len(key[0]) + len(key[1]) <= 4 * MEMO_TOKENS:
             if len(self.memo) >= MEMO:
                 self.memo, self.older = {}, self.memo
             self.memo[key] = found
         return found
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of both, or None where there are none: an empty text, or bytes that aren't a space and the text."""
-        if not text:
-            return None
-        whole = b" " + text.encode()
-        b = self.b.ids(text)
-        if self.b.table.joined(b) != whole:
-            return None
-        a = self.a.ids(text)
-        return (a, b) if self.a.table.joined(a) == whole else None
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
+    def windows(self, ids_a: bytes, ids_b: bytes) -> list[tuple[bytes, bytes]]:
         """Cuts the tokens where one with a space mark starts in both, and so where the tokens before end together."""
+        a, b = np.frombuffer(ids_a, "<u4"), np.frombuffer(ids_b, "<u4")
         ends_a, ends_b = np.cumsum(self.a.table.lengths[a]), np.cumsum(self.b.table.lengths[b])
         marked_a, marked_b = np.flatnonzero(self.a.table.spaced[a[1:]]), np.flatnonzero(self.b.table.spaced[b[1:]])
         _, at_a, at_b = np.intersect1d(ends_a[marked_a], ends_b[marked_b], assume_unique=True, return_indices=True)
-        cuts_a = [0, *(4 * (marked_a[at_a] + 1)).tolist(), 4 * len(a)]
-        cuts_b = [0, *(4 * (marked_b[at_b] + 1)).tolist(), 4 * len(b)]
-        bytes_a, bytes_b = a.tobytes(), b.tobytes()
+        cuts_a = [0, *(4 * (marked_a[at_a] + 1)).tolist(), len(ids_a)]
+        cuts_b = [0, *(4 * (marked_b[at_b] + 1)).tolist(), len(ids_b)]
         return [
-            (bytes_a[i:k], bytes_b[j:m])
-            for i, k, j, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
+            (ids_a[i:k], ids_b[j:m]) for i, k, j, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
         ]
 
     def document(self, text: str | None) -> tuple[int, int, str, np.ndarray] | None:
-        """(n_a, n_b, groups as text, pair of each link)."""
-        found = self.tokens(text)
-        if found is None:
+        """(n_a, n_b, groups as text, pair of each link); None for an empty text, or where bytes aren't a space and the text."""
+        if not text:
+            return None
+        a, b = self.a.ids(text), self.b.ids(text)
+        if not b:
+            return None
+        aligned = [self.memo.get(key) or self._window(key) for key in self.windows(a, b)]
+        # the windows' bytes are those of both
+        if b"".join([data for _, _, data in aligned]) != b" " + text.encode():
             return None
-        keys = self.windows(*found)
-        aligned = [self.memo.get(key) or self._window(key) for key in keys]
-        pairs = np.frombuffer(b"".join([pairs for _, pairs in aligned]), np.int64)
-        return len(found[0]), len(found[1]), ";".join([groups for groups, _ in aligned]), pairs
+        pairs = np.frombuffer(b"".join([pairs for _, pairs, _ in aligned]), np.int64)
+        return len(a) // 4, len(b) // 4, ";".join([groups for groups, _, _ in aligned]), pairs
 
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<int>"

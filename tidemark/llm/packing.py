@@ -29,6 +29,12 @@ BREAK = re.compile(r"(?= \S)")
 UNEVEN = re.compile(r" (?=\s|$)|^\s")
 
 
+# fixed value: the pattern of byte-level pre-tokenization
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: What a plain byte-level file says of its pre-tokenization.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+
 class _Ids(dict):
     """Ids of a word with the space before it, as little-endian 32-bit bytes."""
 
@@ -62,14 +68,14 @@ def tokenizer(vocabulary: str):
     from tokenizers import Tokenizer
 
     described = json.loads(vocabulary)
+    if described["pre_tokenizer"] != BYTE_LEVEL or described["normalizer"]:
+        raise ValueError("not a plain byte-level vocabulary")
     special = [t["content"] for t in described.get("added_tokens", [])]
     letters = byte_letters()
     ranks = {
         bytes(letters[c] for c in token): rank for token, rank in described["model"]["vocab"].items() if token not in special
     }
-    # fixed value: the pattern of byte-level pre-tokenization
-    pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    words = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    words = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     whole = Tokenizer.from_str(vocabulary)
 
     def as_bytes(ids: list[int]) -> bytes:
