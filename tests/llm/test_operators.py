@@ -17,7 +17,7 @@ from tidemark.llm.fingerprints import fingerprint_edits
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, source_targets, take_words
-from tidemark.llm.packing import column_generation, default_vocabulary, pack, pack_documents, plan_rows
+from tidemark.llm.packing import class_of, column_generation, default_vocabulary, inverse_of, pack, pack_documents, plan_rows
 from tidemark.llm.quality import score, train
 from tidemark.llm.simhash import anchors_within, keep_one_per_group, near_groups, parts_of
 from tidemark.llm.substrings import dedup_substrings
@@ -301,6 +301,31 @@ def test_packing_is_tight(spark):
     assert sum(sizes.values()) / (2048 * len(sizes)) > 0.98
 
 
+@pytest.mark.parametrize("lengths", [[1] * 3000, [9] * 2000, [17] * 2000, [1, 9, 17, 33, 70] * 600, [1365] * 40 + [683] * 40])
+def test_short_pieces_leave_little_room(lengths):
+    counts = Counter(lengths)
+    plan = plan_rows({int(k): n for k, n in counts.items()})
+    used = max(seq + -(-(end - first) // each) for _, first, end, each, seq, _ in plan)
+    fewest = -(-sum(lengths) // 2048)
+    assert used <= fewest + 1 or sum(lengths) / (2048 * used) > 0.95
+
+
+def test_classes_charge_little(spark):
+    charged = spark.range(1, 2049).select("id", class_of(F.col("id")).alias("c")).collect()
+    assert all(r.id <= r.c <= min(2048, r.id + max(0, r.id / 32)) and (r.id > 64 or r.c == r.id) for r in charged)
+    assert len({r.c for r in charged}) < 360
+
+
+def test_inverse_by_elimination():
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    matrix = np.triu(draw.integers(0, 4, (60, 60))).astype(float) + np.eye(60)
+    matrix = matrix[draw.permutation(60)]
+    product = np.einsum("ij,jk->ik", matrix, inverse_of(matrix))
+    assert np.abs(product - np.eye(60)).max() < 1e-6
+
+
 def test_plan_uses_every_piece_once():
     import numpy as np
 

@@ -11,15 +11,17 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import table, with_rank
 from tidemark.session import materialize
 
 CAPACITY = 2048
-#: Lengths are planned in classes of so many tokens: 256 classes bound the linear program whatever the corpus.
-GRAIN = 8
+#: Lengths are planned in classes (up to this length, of so many tokens): some 350 of them bound the linear program
+#: whatever the corpus, and a piece is charged for at most a 64th more tokens than it has.
+CLASSES = ((64, 1), (128, 2), (256, 4))
+WIDEST = 8
 #: The linear program ends within this share of its optimum.
 GAP = 1e-3
 END_ID = 1
@@ -165,6 +167,35 @@ def first_fit(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.
     return patterns, uses
 
 
+def class_of(length: Column, capacity: int = CAPACITY) -> Column:
+    """The tokens that a piece is charged for: its length, rounded up within its class."""
+    found = F.ceil(length / WIDEST) * WIDEST
+    for upto, width in reversed(CLASSES):
+        found = F.when(length <= upto, F.ceil(length / width) * width).otherwise(found)
+    return F.least(found, F.lit(capacity)).cast("int")
+
+
+def inverse_of(matrix: np.ndarray) -> np.ndarray:
+    """The inverse, by elimination in plain array operations: linear-algebra libraries with threads of their own can
+    hang in a driver."""
+    count = len(matrix)
+    work = np.concatenate([matrix.astype(float), np.eye(count)], axis=1)
+    for k in range(count):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        if pivot != k:
+            work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        factor = work[:, k].copy()
+        factor[k] = 0.0
+        rows = np.flatnonzero(factor)
+        work[rows] -= factor[rows, None] * work[k]
+    return work[:, count:]
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
+
+
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """(patterns as columns, uses as floats): near the least sequences that cover ``demand``, by revised simplex steps.
 
@@ -176,20 +207,20 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> t
     count = len(sizes)
     patterns, uses = first_fit(sizes, demand, capacity)
     costs = np.ones(count)
-    inverse = np.linalg.inv(patterns.astype(float))
+    inverse = inverse_of(patterns)
     for turn in range(1, 20 * count):
         if turn % 100 == 0:  # rounding errors don't add up
-            inverse = np.linalg.inv(patterns.astype(float))
-            uses = np.maximum(inverse @ demand, 0.0)
-        duals = costs @ inverse
+            inverse = inverse_of(patterns)
+            uses = np.maximum(_times(inverse, demand), 0.0)
+        duals = (costs[:, None] * inverse).sum(axis=0)
         worst = int(duals.argmin())
         if duals[worst] < -1e-9:
             column, cost = -np.eye(count, dtype=np.int64)[worst], 0.0
         else:
             column, cost = best_pattern(duals, sizes, capacity), 1.0
-            if duals @ column <= 1 + GAP:
+            if (duals * column).sum() <= 1 + GAP:
                 break
-        step = inverse @ column
+        step = _times(inverse, column)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(step > 1e-9, uses / step, np.inf)
         leaving = int(ratio.argmin())
@@ -226,15 +257,14 @@ def rounded(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[
     return plan + [(content, 1) for held in by_room.values() for content in held]
 
 
-def plan_rows(lengths: dict[int, int], capacity: int = CAPACITY, grain: int = GRAIN) -> list[tuple[int, int, int, int, int, int]]:
+def plan_rows(lengths: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
     """(cls, first rank, end rank, items per sequence, first sequence, place in the sequence) from counts by class."""
-    room = capacity // grain
-    open_classes = sorted(c for c in lengths if c <= room and lengths[c])
-    plan = [(np.array([1]), n, [c]) for c, n in lengths.items() if c > room and n]
+    open_classes = sorted(c for c in lengths if c <= capacity and lengths[c])
+    plan = [(np.array([1]), n, [c]) for c, n in lengths.items() if c > capacity and n]
     if open_classes:
         sizes = np.array(open_classes, np.int64)
         demand = np.array([lengths[c] for c in open_classes], np.int64)
-        plan += [(pattern, times, open_classes) for pattern, times in rounded(sizes, demand, room)]
+        plan += [(pattern, times, open_classes) for pattern, times in rounded(sizes, demand, capacity)]
     used: dict[int, int] = {}
     rows, sequence = [], 0
     for pattern, times, classes in plan:
@@ -249,19 +279,20 @@ def plan_rows(lengths: dict[int, int], capacity: int = CAPACITY, grain: int = GR
     return rows
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
-    """``cut`` (pieces of at most ``capacity``, with ``length``) with ``sequence_id`` and ``offset``.
+def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """``cut`` (pieces of at most ``capacity`` tokens, with ``length``) with ``sequence_id`` and ``offset``.
 
-    The histogram of length classes, at most capacity / grain rows, is all that reaches the driver. The linear
+    The histogram of length classes, some 350 rows, is all that reaches the driver. The linear
     program's patterns, rounded, take the pieces of each class by rank; a piece finds its pattern, sequence and place
     by a join with the plan, whose rows are bounded by classes and patterns. Ranks are counted in buckets, so a
-    class may hold any share of the pieces. Pieces of full length are sequences of their own.
+    class may hold any share of the pieces. Short pieces are planned to the token, and none is charged for over a
+    64th more than it has. A table without pieces gives one without rows; pieces that are alike are packed each.
     """
     spark = cut.sparkSession
-    cut = materialize(cut.withColumn("_cls", F.ceil(F.col("length") / grain).cast("int")), "pieces")
+    cut = materialize(cut.withColumn("_cls", class_of(F.col("length"), capacity)), "pieces")
     counts = {row["_cls"]: row["count"] for row in cut.groupBy("_cls").count().collect()}
     plan = spark.createDataFrame(
-        plan_rows(counts, capacity, grain), "_c int, _first long, _end long, _each long, _seq long, _place long"
+        plan_rows(counts, capacity), "_c int, _first long, _end long, _each long, _seq long, _place long"
     )
     ranked = with_rank(cut, ["_cls"], ["doc_id", "start", "ids_crc32", "length"], sum(counts.values()))
     fits = (F.col("_cls") == F.col("_c")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end"))
@@ -284,6 +315,11 @@ def default_vocabulary() -> str:
 
 
 def pack_documents(docs: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
+    """The pieces of all ``docs`` (doc_id, text) with their places in sequences: see ``pieces`` and ``pack``.
+
+    Null and empty texts have the end id alone; repeated rows and rows without an id are packed each; other columns are
+    not read. The vocabulary must be a plain byte-level one, else a ValueError is raised.
+    """
     vocabulary = Path(vocabulary_path or default_vocabulary()).read_text(encoding="utf-8")
     return pack(pieces(docs, vocabulary))
 
