@@ -245,7 +245,7 @@ def dq_fail_pct(spark, folder):
         Rule("never_reached", "review_id > 0", Action.WARN),
     ]
     results, _, failed = evaluate(reviews_src(spark, folder), rules, fail_pct=5.0)
-    return _result_frame(spark, results).withColumn("failed", F.col("rule") == F.lit(failed.name if failed else None))
+    return _result_frame(spark, results).withColumn("failed", F.col("rule") == F.lit(failed.rule.name if failed else None))
 
 
 # --- gold ----------------------------------------------------------------------------------------------
