@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.catalog import ORACLE, QUERIES
 from tidemark.llm.components import components
-from tidemark.llm.fingerprints import fingerprint_edits
+from tidemark.llm.fingerprints import fingerprint_edits, with_next_text
 from tidemark.llm.html import extract, main_text
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, source_targets, take_words
@@ -263,6 +263,20 @@ def test_fingerprints_of_long_lines(spark):
     assert all(found[k].near_edited > 0.5 for k in (0, 2, 3, 6)) and found[len(texts) - 2].near_next > 0.9
 
 
+@pytest.mark.parametrize("step", [1, 10**15 + 7, -(10**15)])
+def test_next_documents_of_sparse_and_missing_ids(spark, monkeypatch, step):
+    monkeypatch.setattr("tidemark.llm.fingerprints.NEIGHBOURS", 4)
+    rows = [((k - 40) * step if k % 3 else None, f"text {k}") for k in range(90)]
+    data = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
+        {"_id": F.coalesce("doc_id", F.lit(2**63 - 1)), "_th": F.xxhash64("text")}
+    )
+    found = {r.text: r.next_text for r in with_next_text(data).collect()}
+    order = [r.text for r in data.orderBy("_id", "_th").collect()]
+    assert found == dict(zip(order, [*order[1:], order[0]], strict=True))
+    blocks = with_next_text(data)._jdf.queryExecution().toString()
+    assert "PythonUDF" not in blocks
+
+
 def test_packing_round_trip(docs, nothing):
     from tokenizers import Tokenizer
 

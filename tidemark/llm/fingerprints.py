@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import order_of, table
+from tidemark.llm.common import LAST_ID, order_of, table
 
 #: Three subtables of so many cells; every digest has one cell in each.
 TABLES, CELLS = 3, 8
 #: Peeling steps before a sketch counts as failed, and how often a failed one is retried larger.
 ROUNDS, RETRIES = 6, 4
-#: A retry has a sketch for each so many digests of both versions, and at most so many of them for one that failed.
-LOAD, PARTS = 8, 32
+#: A retry has a sketch for each so many digests that differ; it deals in coarse parts first, and in at most so many at a time.
+LOAD, COARSE, PARTS = 4, 24, 64
 #: Documents of neighbouring ids that are shuffled together.
 NEIGHBOURS = 256
 #: Paragraphs are lines, and in them sentences or fields, cut after their marks.
@@ -25,7 +25,7 @@ WORDS, CHARACTERS, WINDOW, MOST = 12, 128, 3, 2
 
 CELL = "struct<n:int,key:bigint,check:bigint>"
 FOUND = "array<struct<n:int,key:bigint>>"
-PART = "array<struct<a:array<bigint>,b:array<bigint>,load:int>>"
+PART = "array<struct<keys:array<struct<n:int,key:bigint>>,load:double>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -86,23 +86,25 @@ def _cell(n: Column, key: Column, check: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), key.alias("key"), check.alias("check"))
 
 
-def sketch(keys: Column, level: int = 0) -> Column:
-    """The cells of a set of digests: how many fall in each, and the xor of them and of their checks."""
+def _cells(signed: Column) -> Column:
+    """The cells of signed digests (n, d): the sum of the signs in each, and the xor of the digests and of their checks."""
     zero = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
 
-    def add(now: Column, d: Column) -> Column:
-        return _cell(now["n"] + 1, now["key"].bitwiseXOR(d["key"]), now["check"].bitwiseXOR(d["check"]))
+    def add(now: Column, s: Column) -> Column:
+        return _cell(now["n"] + s["n"], now["key"].bitwiseXOR(s["d"]["key"]), now["check"].bitwiseXOR(s["d"]["check"]))
 
     def subtable(placed: Column, t: int) -> Column:
         return F.transform(
             F.sequence(F.lit(CELLS * t), F.lit(CELLS * (t + 1) - 1)),
-            lambda cell: F.aggregate(F.filter(placed, lambda d: d[f"c{t}"] == cell), zero, add),
+            lambda cell: F.aggregate(F.filter(placed, lambda s: s["d"][f"c{t}"] == cell), zero, add),
         )
 
-    return let(
-        F.transform(keys, lambda key: _placed(key, level)),
-        lambda placed: F.concat(*[subtable(placed, t) for t in range(TABLES)]),
-    )
+    return let(signed, lambda placed: F.concat(*[subtable(placed, t) for t in range(TABLES)]))
+
+
+def sketch(keys: Column) -> Column:
+    """The published cells of a set of digests: how many fall in each, and the xor of them and of their checks."""
+    return _cells(F.transform(keys, lambda key: F.struct(F.lit(1).alias("n"), _placed(key, 0).alias("d"))))
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -120,6 +122,13 @@ def peel(cells: Column, level: int = 0) -> Column:
     bare. It failed when cells are left over.
     """
 
+    nothing = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+
+    def plus(now: Column, cell: Column, sign: int) -> Column:
+        return _cell(
+            now["n"] + sign * cell["n"], now["key"].bitwiseXOR(cell["key"]), now["check"].bitwiseXOR(cell["check"])
+        )
+
     def step(state: Column, _: Column) -> Column:
         def bare(cell: Column) -> Column:
             return (F.abs(cell["n"]) == 1) & (cell["check"] == F.xxhash64(cell["key"]))
@@ -138,8 +147,14 @@ def peel(cells: Column, level: int = 0) -> Column:
                     ),
                 ).otherwise(now)
 
-            left = F.when(F.size(pure) == 0, state["cells"]).otherwise(
-                F.transform(state["cells"], lambda cell, at: F.aggregate(pure, cell, take(at)))
+            # the first subtable adds up to all digests: where those laid bare do too, no cell is left
+            total = F.aggregate(F.slice(state["cells"], 1, CELLS), nothing, lambda now, cell: plus(now, cell, 1))
+            rest = F.aggregate(pure, total, lambda now, p: plus(now, F.struct(p["n"].alias("n"), p["d"]["key"].alias("key"), p["d"]["check"].alias("check")), -1))
+            complete = let(rest, lambda r: (r["n"] == 0) & (r["key"] == 0) & (r["check"] == 0))
+            left = (
+                F.when(F.size(pure) == 0, state["cells"])
+                .when(complete, F.array().cast(f"array<{CELL}>"))
+                .otherwise(F.transform(state["cells"], lambda cell, at: F.aggregate(pure, cell, take(at))))
             )
             found = F.transform(pure, lambda p: F.struct(p["n"].alias("n"), p["d"]["key"].alias("key")))
             return F.struct(
@@ -162,38 +177,43 @@ def peel(cells: Column, level: int = 0) -> Column:
     )
 
 
-def _parts(level: int) -> Callable[[Column], Column]:
-    """Deals the digests of both versions into parts by further bits of them."""
-
-    def parts(pair: Column) -> Column:
-        count = F.least(F.lit(PARTS), F.floor(pair["load"] / LOAD).cast("int") + 2)
+def _signed(keys: Column, n: int) -> Column:
+    return F.transform(keys, lambda k: F.struct(F.lit(n).alias("n"), k.alias("key")))
 
-        def hashed(keys: Column, count: Column) -> Column:
-            return F.transform(
-                keys, lambda k: F.struct(k.alias("key"), F.pmod(F.shiftrightunsigned(k, 35 + 5 * level), count).alias("part"))
-            )
 
-        def of(keys: Column, part: Column) -> Column:
-            return F.transform(F.filter(keys, lambda k: k["part"] == part), lambda k: k["key"])
+def _parts(load: int, most: int, shift: int) -> Callable[[Column], Column]:
+    """Deals the signed digests of both versions into parts for so many that differ, by further bits of them."""
 
+    def parts(pair: Column) -> Column:
         def dealt(both: Column) -> Column:
             return F.transform(
                 F.sequence(F.lit(0), both["count"] - 1),
-                lambda part: F.struct(of(both["a"], part).alias("a"), of(both["b"], part).alias("b")),
+                lambda part: F.struct(
+                    F.transform(
+                        F.filter(both["hashed"], lambda h: h["part"] == part), lambda h: F.struct(h["k"]["n"].alias("n"), h["k"]["key"].alias("key"))
+                    ).alias("keys"),
+                    (pair["load"] / both["count"]).alias("load"),
+                ),
             )
 
-        return let(
-            count,
-            lambda n: let(F.struct(hashed(pair["a"], n).alias("a"), hashed(pair["b"], n).alias("b"), n.alias("count")), dealt),
-        )
+        def hashed(count: Column) -> Column:
+            marked = F.transform(
+                pair["keys"],
+                lambda k: F.struct(k.alias("k"), F.pmod(F.shiftrightunsigned(k["key"], shift), count).alias("part")),
+            )
+            return let(F.struct(marked.alias("hashed"), count.alias("count")), dealt)
+
+        return let(F.least(F.lit(most), F.floor(pair["load"] / load).cast("int") + 1), hashed)
 
     return parts
 
 
 def _tries(level: int) -> Callable[[Column], Column]:
-    def tries(pair: Column) -> Column:
-        cells = subtract(sketch(pair["a"], level), sketch(pair["b"], level))
-        return F.struct(pair["a"].alias("a"), pair["b"].alias("b"), peel(cells, level).alias("p"))
+    """A part with its larger sketch peeled: signed digests add up to the difference of both versions' sketches."""
+
+    def tries(part: Column) -> Column:
+        signed = F.transform(part["keys"], lambda k: F.struct(k["n"].alias("n"), _placed(k["key"], level).alias("d")))
+        return F.struct(part["keys"].alias("keys"), peel(_cells(signed), level).alias("p"))
 
     return tries
 
@@ -201,8 +221,9 @@ def _tries(level: int) -> Callable[[Column], Column]:
 def _difference(df: DataFrame, left: str, right: str, left_cells: str, right_cells: str, out: str) -> DataFrame:
     """Adds ``out``: the digests of one version alone, from the published sketches or, where those fail, larger ones.
 
-    A failed sketch is retried larger: its digests are dealt by hash into parts, the more the more digests there are,
-    with a sketch of fresh cells for each part. Parts that fail again are cut again. What still fails after RETRIES is
+    A failed sketch is retried larger: its digests are dealt by hash into parts, the more the more digests differ as
+    the published cells tell, first coarsely and then into parts of about LOAD, with a sketch of fresh cells for each
+    part. Parts that fail again are cut again. What still fails after RETRIES is
     compared digest by digest, so nothing is lost. All of it happens in the row.
     """
     tried, found, rest = f"_{out}_tried", f"_{out}_found", f"_{out}_rest"
@@ -211,21 +232,23 @@ def _difference(df: DataFrame, left: str, right: str, left_cells: str, right_cel
     squares = F.aggregate(
         F.zip_with(left_cells, right_cells, lambda x, y: (x["n"] - y["n"]) * (x["n"] - y["n"])), F.lit(0), lambda s, x: s + x
     )
-    whole = F.array(F.struct(F.col(left).alias("a"), F.col(right).alias("b"), (squares / 3).alias("load"))).cast(PART)
+    load = F.least(squares / 3 + LOAD, (F.size(left) + F.size(right)).cast("double"))
+    keys = F.concat(_signed(F.col(left), 1), _signed(F.col(right), -1))
+    whole = F.array(F.struct(keys.alias("keys"), load.alias("load"))).cast(PART)
     df = df.withColumns(
         {
             found: F.when(F.col(tried)["failed"], F.array().cast(FOUND)).otherwise(F.col(tried)["found"]),
-            rest: F.when(F.col(tried)["failed"], whole).otherwise(F.array().cast(PART)),
+            rest: F.when(F.col(tried)["failed"], F.flatten(F.transform(whole, _parts(COARSE, PARTS, 17)))).otherwise(F.array().cast(PART)),
         }
     )
     for level in range(1, RETRIES + 1):
         # the columns are read more than once, so that Spark keeps each level's work to itself
-        dealt = F.flatten(F.transform(rest, _parts(level)))
+        dealt = F.flatten(F.transform(rest, _parts(LOAD, PARTS, 35 + 5 * level)))
         df = df.withColumn(tried, F.when(F.size(rest) > 0, F.transform(dealt, _tries(level))))
         more = F.flatten(F.transform(F.filter(tried, lambda t: ~t["p"]["failed"]), lambda t: t["p"]["found"]))
         left_over = F.transform(
             F.filter(tried, lambda t: t["p"]["failed"]),
-            lambda t: F.struct(t["a"].alias("a"), t["b"].alias("b"), (F.size(t["a"]) + F.size(t["b"])).alias("load")),
+            lambda t: F.struct(t["keys"].alias("keys"), F.size(t["keys"]).cast("double").alias("load")),
         )
         df = df.withColumns(
             {
@@ -234,11 +257,11 @@ def _difference(df: DataFrame, left: str, right: str, left_cells: str, right_cel
             }
         )
 
-    def alone(n: int, keys: Column, others: Column) -> Column:
-        return F.transform(F.array_except(keys, others), lambda k: F.struct(F.lit(n).cast("int").alias("n"), k.alias("key")))
+    def alone(part: Column) -> Column:
+        keys = part["keys"]
+        return F.filter(keys, lambda k: ~F.exists(keys, lambda o: (o["key"] == k["key"]) & (o["n"] != k["n"])))
 
-    last = F.flatten(F.transform(rest, lambda p: F.concat(alone(1, p["a"], p["b"]), alone(-1, p["b"], p["a"]))))
-    return df.withColumn(out, F.concat(F.col(found), last)).drop(tried, found, rest)
+    return df.withColumn(out, F.concat(F.col(found), F.flatten(F.transform(rest, alone)))).drop(tried, found, rest)
 
 
 def likeness(difference: str, left: str, right: str) -> Column:
@@ -256,18 +279,31 @@ def as_text(cells: Column) -> Column:
 def with_next_text(docs: DataFrame) -> DataFrame:
     """``docs`` (_id, _th, text, ...) with ``next_text``: that of the next document by (_id, _th), the first after the last.
 
-    Documents are shuffled once, by blocks of neighbouring ids. Only the first text of each block is sent to the block
-    before it; blocks find their successors within spans of blocks, and spans in a list of a row for 2^24 ids.
+    Documents are shuffled once, by blocks of neighbouring ids, as wide as leaves about NEIGHBOURS rows in each however
+    sparse ids are; rows without an id are dealt over blocks of their own by their text's hash. Only the first text of each
+    block is sent to the block before it; blocks find their successors within spans of 2^16 blocks, and spans in a list
+    that has a row for some 2^24 rows.
     """
-    blocks = docs.withColumn("_block", F.floor(F.col("_id") / NEIGHBOURS))
+    known = F.col("_id") < LAST_ID
+    low, high, some, every = docs.agg(
+        F.min(F.when(known, F.col("_id"))), F.max(F.when(known, F.col("_id"))), F.count(F.when(known, 1)), F.count("*")
+    ).first()
+    low, high = (low, high) if some else (0, 0)
+    width = max(NEIGHBOURS, -(-(high - low + 1) // max(1, some // NEIGHBOURS)))
+    beyond = (high - low) // width + 1
+    parts = max(1, (every - some) // NEIGHBOURS)
+    # differences of ids may exceed 64 bits
+    place = F.floor((F.col("_id").cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")) / F.lit(width).cast("decimal(38,0)"))
+    unknown = F.least(F.floor((F.col("_th") / F.lit(2.0**64) + 0.5) * parts), F.lit(parts - 1)).cast("long") + F.lit(beyond)
+    blocks = docs.withColumn("_block", F.when(known, place.cast("long")).otherwise(unknown))
     heads = blocks.groupBy("_block").agg(F.min_by("text", F.struct("_id", "_th")).alias("_head"))
     spanned = heads.select("_block", F.floor(F.col("_block") / (1 << 16)).alias("_span"), "_head")
     spans = spanned.groupBy("_span").agg(F.min("_block").alias("_first"))
     in_order = Window.orderBy("_span")
-    every = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     spans = spans.select(
         F.col("_span").alias("_s"),
-        F.coalesce(F.lead("_first").over(in_order), F.min("_first").over(every)).alias("_after"),
+        F.coalesce(F.lead("_first").over(in_order), F.min("_first").over(whole)).alias("_after"),
     )
     names = spanned.select("_block", "_span").withColumn("_next", F.lead("_block").over(Window.partitionBy("_span").orderBy("_block")))
     names = names.join(spans, names._span == spans._s).select(F.col("_block").alias("_b"), F.coalesce("_next", "_after").alias("_next"))
