@@ -18,7 +18,7 @@ from tidemark.llm.html import extract, main_text
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, source_targets, take_words
 from tidemark.llm.packing import class_of, column_generation, default_vocabulary, inverse_of, pack, pack_documents, plan_rows
-from tidemark.llm.quality import score, train
+from tidemark.llm.quality import OrdinalModel, labelled_features, score, train
 from tidemark.llm.simhash import anchors_within, keep_one_per_group, near_groups, parts_of
 from tidemark.llm.substrings import dedup_substrings
 from tidemark.llm.tokencount import LongestMatch, token_counts
@@ -404,6 +404,81 @@ def test_mixing_meets_the_targets_of_small_sources(spark, block):
     assert len({(r.source, r.block, r["pass"]) for r in slots}) == len(slots)
 
 
+def test_the_schedule_places_the_mix(spark):
+    """Slots follow the points: another step gives sources other slots and the mix another order; targets stay met."""
+    rng = random.Random(9)
+    rows = [(k, "w " * rng.randint(20, 400), f"s{k % 3}", k, k) for k in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, `a.b` long, _id long")
+    plan, schedule = mix(frame, block=50)
+    golden = {r.slot: r.source for r in schedule.collect()}
+    plan = plan.collect()
+    total = sum(r.size for r in plan)
+    edges, shares = [], {r.source: r.target for r in plan}
+    for source in sorted(shares):
+        edges.append(((edges[-1][0] if edges else 0.0) + shares[source] / sum(shares.values()), source))
+    met = sum(golden[slot] == next(name for edge, name in edges if slot * 5566755282872655 % 2**53 / 2**53 < edge) for slot in golden)
+    assert met == len(golden) and len(golden) > 0.97 * 1.5 * total / 50 - 4
+    at = {(r.source, r.block, r["pass"]): r.slot for r in schedule.collect()}
+    for r in plan:
+        assert (r.first_slot is None) == (r.first == 0) and (r.second_slot is None) == (r.second == 0)
+        assert r.first_slot is None or r.first_slot in {v for (s, _, turn), v in at.items() if s == r.source and turn == 0}
+    # an even step visits one source after the other, where the golden ratio mixes them from the start
+    even_plan, even_schedule = mix(frame, block=50, step=2**53 // len(golden))
+    even = {r.slot: r.source for r in even_schedule.collect()}
+    assert sum(golden.get(slot) != source for slot, source in even.items()) > len(even) / 4
+    taken, evenly = Counter(), Counter()
+    for found, counted in ((plan, taken), (even_plan.collect(), evenly)):
+        for r in found:
+            counted[r.source] += r.first + r.second
+    assert taken == evenly == {source: round(target) for source, target in shares.items()}
+    one, other = take_words(frame, block=50).collect(), take_words(frame, block=50, step=2**53 // len(golden)).collect()
+    assert take_words(frame).columns == frame.columns and all(r._id == r.doc_id == r["a.b"] for r in one)
+    early = lambda rows: len({r.source for r in rows[: len(rows) // 8]})
+    assert [r.doc_id for r in one] != [r.doc_id for r in other] and early(one) == 3 and early(other) == 1
+
+
+def test_mix_of_equal_rows_and_sources(spark):
+    rows = [(1, "a b c d e f g h", "x")] * 9 + [(1, "a b c d e f g h", "y")] * 2 + [(2, "k " * 40, "z"), (None, "k " * 40, "z"), (None, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {r.source: round(r.target) for r in mix(frame, block=8)[0].collect()}
+    taken = Counter()
+    for r in take_words(frame, block=8).collect():
+        taken[r.source] += len(words(r.text))
+    assert all(abs(taken[s] - target[s]) <= 9 for s in target)
+
+
+@pytest.mark.parametrize("operator", [lambda d: dedup_lines(d), lambda d: take_words(d), lambda d: score(d, OrdinalModel(__import__("numpy").zeros(1 << 18, "f4"), __import__("numpy").array([-1.0, 1.0])))])
+def test_columns_of_any_name_stay(spark, operator):
+    names = ["_id", "_th", "_gone", "_lines", "_take", "_piece", "_size", "a.b", "x y", "_one"]
+    rows = [(k, "line\nof some words\nin it " + "w " * k, "s", 5, *[f"{n}{k}" for n in names]) for k in range(12)]
+    schema = "doc_id long, text string, source string, n_chars int, " + ", ".join(f"`{n}` string" for n in names)
+    frame = spark.createDataFrame(rows, schema)
+    found = operator(frame)
+    assert found.columns[: len(frame.columns)] == frame.columns
+    for r in found.collect():
+        assert all(r[n] == f"{n}{r.doc_id}" for n in names)
+
+
+def test_top_k_among_the_most_frequent_length(spark):
+    rows = [(k, [float(k % 7), 1.0, 2.0]) for k in range(0, 300)] + [(1000, [1.0] * 4), (1001, [2.0]), (1002, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = top_k(frame, frame.where("vec_id % 100 = 0"), 10).collect()
+    assert {r.query_id for r in found} == {0, 100, 200} and len(found) == 30
+
+
+def test_repeated_ids_are_fitted_once(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(2, "other"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (3, 1, 1)], "doc_id long, quality int, toxic int")
+    assert sorted(r.doc_id for r in labelled_features(docs, labels).collect()) == [1, 2, 3]
+
+
+def test_substrings_of_rows_without_ids(spark):
+    passage = " ".join(f"p{k}" for k in range(20))
+    rows = [(None, f"a{k} {passage}") for k in range(30)] + [(5, f"b {passage} c"), (None, f"a0 {passage}")]
+    found = dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in found) == [0, *[20] * 31]
+
+
 def test_targets_share_out_the_excess(spark):
     sizes = {"a": 10, "b": 1000, None: 400, "c": 90, "d": 0}
     frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")

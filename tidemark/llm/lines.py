@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts, table
+from tidemark.llm.common import keyed_texts, shielded, table
 from tidemark.session import materialize
 
 WINDOW = 3
@@ -35,7 +35,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     windows anywhere in the table the first stays, by document (ascending id, nulls last) and position; every line
     covered by a later one goes. Windows are judged on the input. A null text stays null with no lines; a text of
     fewer lines than a window is left alone; rows equal in id and text are one document. Existing columns named
-    ``n_lines`` or ``n_removed`` are replaced.
+    ``n_lines`` or ``n_removed`` are replaced, all others kept whatever their names.
 
     The shuffles carry hashes and positions; a text is shuffled once, to meet the positions to remove.
     """
@@ -53,19 +53,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     covered = materialize(covered, "line-positions").select(
         F.col("_id").alias("_cid"), F.col("_th").alias("_cth"), "_gone"
     ).hint("shuffle_hash")  # texts stream past the few positions and aren't sorted
-    marked = keyed_texts(docs.drop("n_lines", "n_removed"), id_col, text_col)
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")])
+    rows, named = shielded(kept, (id_col, text_col))
+    marked = keyed_texts(rows, id_col, text_col)
     joined = marked.join(covered, (F.col("_id") == F.col("_cid")) & (F.col("_th") == F.col("_cth")), "left")
     joined = joined.withColumn("_lines", F.split(text_col, "\n"))
     lines = F.col("_lines")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(lines, i)), "\n")
+    left = F.array_join(F.transform(F.array_sort(stay), lambda i: F.get(lines, i)), "\n")
     return joined.withColumns(
         {
             "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long"),
             "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-            text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept),
+            text_col: F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left),
         }
-    ).drop("_id", "_th", "_cid", "_cth", "_gone", "_lines")
+    ).select(*named, "n_lines", "n_removed")
 
 
 def op1_line_dedup(spark, sf_dir):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, order_of, table, with_running_sum
+from tidemark.llm.common import WORD, order_of, shielded, table, with_running_sum
 from tidemark.session import materialize
 
 #: Fixed values of the mix: weights by place in the order of sources, share of all words, and most uses of a source.
@@ -59,21 +59,23 @@ def _same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int | None = None):
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block: int | None = None, step: int = GOLDEN):
     """(plan, schedule) of the mix.
 
-    ``plan``: a row for each row of ``docs`` with ``doc_id``, ``_th`` (hash of the text), ``source``, ``size``,
-    ``source_size``, ``target``, ``first`` and ``second`` (words that the first and the second pass take: the
-    leading ones of the document). ``schedule``: (slot, source, block, pass, words).
+    ``plan``: a row for each row of ``docs`` with ``doc_id``, ``_th`` (hash of the text), ``_tie`` (tells equal rows apart),
+    ``source``, ``size``, ``source_size``, ``target``, ``first`` and ``second`` (words that the first and the second pass
+    take: the leading ones of the document) and ``first_slot`` and ``second_slot`` (the slot of the mix in which each
+    pass starts on the document; null without words taken). ``schedule``: (slot, source, block, pass, words).
 
     A source's documents are laid end to end in hash order and cut into blocks of equal words. Slot i of the mix
     takes the source in whose share of the cumulated targets the i-th golden-ratio point falls; its rank among the
     slots of that source says which block is next, and a source starts over when it is through, REPEATS times at
-    most. So a block is used once or twice, and a mix cut short at any slot is near the weights.
+    most. So a block is used once or twice, and a mix cut short at any slot is near the weights. A document's words are
+    taken where the blocks that got a slot hold them, and it stands in the mix at the slot of its first block.
 
-    Whatever the ``block`` (in words, by default from the size of the table), a source takes its target, rounded: the
-    last block of its mix is cut to the words that are left, slots beyond it go, and blocks that it got no slot for (as
-    a source smaller than a block may) share slots with other sources, spread over the mix.
+    The points give a source its target within a few blocks. That is settled in the source's last slot, whatever the
+    ``block`` (in words, by default from the size of the table): its block is cut at the target's last word, or it takes the
+    blocks that are still lacking; a source too small for any slot gets one by its hash. ``step`` is that of the points.
 
     Null texts have no words, null sources are a source of their own, rows equal in id and text count each.
     A table without words gives an empty schedule.
@@ -106,7 +108,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     following = Window.orderBy("_from", F.col("source").isNull(), "source")
     shares = materialize(shares.withColumn("_upto", F.coalesce(F.lead("_from").over(following), F.lit(1.0))), "shares")
-    schedule = _schedule(docs.sparkSession, shares, slots, block)
+    schedule = materialize(_schedule(docs.sparkSession, shares, slots, block, step), "schedule")
 
     # words of a source that each pass takes: its leading blocks
     uses = schedule.groupBy("source", "pass").agg(F.sum("words").alias("n"))
@@ -125,8 +127,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     )
     joined = laid.join(by_source, _same(F.col("source"), F.col("_s")))
     part = [F.greatest(F.lit(0), F.least(F.col("size"), F.col(f"_w{k}") - F.col("_at"))) for k in range(REPEATS)]
-    plan = joined.select(
-        "doc_id", "_th", "source", "size", "source_size", "target", part[0].alias("first"), part[1].alias("second")
+    plan = joined.withColumns({"first": part[0], "second": part[1], "_block": F.floor(F.col("_at") / block)})
+    # a row for each source and block: no key is hot
+    places = schedule.groupBy(F.col("source").alias("_ps"), F.col("block").alias("_pb")).agg(
+        *[F.min(F.when(F.col("pass") == k, F.col("slot"))).alias(f"_slot{k}") for k in range(REPEATS)]
+    )
+    plan = plan.join(places, _same(F.col("source"), F.col("_ps")) & (F.col("_block") == F.col("_pb")), "left").select(
+        "doc_id",
+        "_th",
+        "_tie",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        "first",
+        "second",
+        F.when(F.col("first") > 0, F.col("_slot0")).alias("first_slot"),
+        F.when(F.col("second") > 0, F.col("_slot1")).alias("second_slot"),
     )
     return plan, schedule
 
@@ -135,15 +152,15 @@ def _cell(x: str) -> Column:
     return F.floor(F.col(x) * CELLS)
 
 
-def _schedule(spark, shares: DataFrame, slots: int, size: int, chunk: int = 1 << 16) -> DataFrame:
+def _schedule(spark, shares: DataFrame, slots: int, size: int, step: int = GOLDEN, chunk: int = 1 << 16) -> DataFrame:
     """(slot, source, block, pass, words): ranks within a source are counted by chunk of slots and moved by the chunks before.
 
-    ``size`` is that of a block. The blocks that a source's words need beyond its slots are added at even steps.
+    ``size`` is that of a block. Blocks that a source's words need beyond its slots fall to its last one.
     """
     points = spark.range(slots).select(
         F.col("id").alias("slot"),
         F.floor(F.col("id") / chunk).alias("_chunk"),
-        (F.pmod(F.col("id").cast("decimal(38,0)") * F.lit(GOLDEN), F.lit(UNIT)).cast("double") / F.lit(float(UNIT))).alias("_x"),
+        (F.pmod(F.col("id").cast("decimal(38,0)") * F.lit(step), F.lit(UNIT)).cast("double") / F.lit(float(UNIT))).alias("_x"),
     )
     # a share lies in the cells it touches; the points are spread evenly over the cells, so no cell is hot
     cells = shares.withColumn("_cell", F.explode(F.sequence(_cell("_from"), _cell("_upto"))))
@@ -163,11 +180,11 @@ def _schedule(spark, shares: DataFrame, slots: int, size: int, chunk: int = 1 <<
         moved, _same(F.col("source"), F.col("_s")) & (F.col("_chunk") == F.col("_c"))
     )
     ranked = ranked.withColumn("_rank", F.col("_in") + F.col("_base")).where("_rank < _wanted")
-    met = bases.groupBy("_s").agg(F.sum("_n").alias("_met"))
+    met = hit.groupBy(F.col("source").alias("_s")).agg(F.count("*").alias("_met"), F.max("slot").alias("_last"))
     lacking = needs.join(met, _same(F.col("_src"), F.col("_s")), "left").withColumn("_met", F.coalesce("_met", F.lit(0)))
     lacking = lacking.where("_met < _wanted").withColumn("_rank", F.explode(F.sequence("_met", F.col("_wanted") - 1)))
-    part = F.pmod(F.xxhash64("_src", F.lit("slot")), F.lit(chunk)) / chunk
-    lacking = lacking.withColumn("slot", F.floor((F.col("_rank") + part) * slots / F.col("_wanted")))
+    any_slot = F.pmod(F.xxhash64("_src", F.lit("slot")), F.lit(max(1, slots)))
+    lacking = lacking.withColumn("slot", F.coalesce("_last", any_slot))
     columns = ["slot", "n_blocks", "_words0", "_words1", "_rank"]
     every = ranked.select("source", *columns).unionByName(lacking.select(F.col("_src").alias("source"), *columns))
     number = F.pmod("_rank", "n_blocks")
@@ -180,25 +197,50 @@ def _schedule(spark, shares: DataFrame, slots: int, size: int, chunk: int = 1 <<
 
 def op6_mixing(spark, sf_dir):
     plan, _ = mix(table(spark, sf_dir, "documents"))
-    return plan.select("doc_id", "size", "source_size", "target", (F.col("first") + F.col("second")).alias("taken"))
-
-
-def take_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix as documents: ``docs`` with the leading words that each pass takes, one row per document and pass.
-
-    ``n_chars``, where there, is set to the new length. Rows equal in id and text take what the first of them takes.
+    taken = (F.col("first") + F.col("second")).alias("taken")
+    return plan.select("doc_id", "size", "source_size", "target", taken, "first_slot", "second_slot")
+
+
+def take_words(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    block: int | None = None,
+    step: int = GOLDEN,
+) -> DataFrame:
+    """The mix as documents: ``docs`` with the leading words that each pass takes, one row per document and pass, in the
+    order of the slots at which they stand in the mix.
+
+    ``n_chars``, where there, is set to the new length; all other columns are kept whatever their names. Null and empty
+    texts and those without words go, as nothing of them is taken. Rows equal in id, text and source can't be told apart and
+    share evenly what the mix takes of them; an empty table gives an empty mix.
     """
-    plan, _ = mix(docs, id_col, text_col, source_col)
-    takes = plan.groupBy(order_of("doc_id").alias("_pid"), F.col("_th").alias("_pth")).agg(
-        F.max("size").alias("_size"), F.max("first").alias("_first"), F.max("second").alias("_second")
+    rows, named = shielded(docs, (id_col, text_col, source_col, "n_chars"))
+    plan, _ = mix(rows, id_col, text_col, source_col, block, step)
+    takes = plan.groupBy(order_of("doc_id").alias("_pid"), F.col("_th").alias("_pth"), F.col("source").alias("_ps")).agg(
+        F.count("*").alias("_copies"),
+        F.max("size").alias("_size"),
+        *[F.sum(c).alias(f"_{c}") for c in ("first", "second")],
+        *[F.min(f"{c}_slot").alias(f"_{c}_slot") for c in ("first", "second")],
     )
     takes = materialize(takes.where("_first > 0"), "takes").hint("shuffle_hash")
-    rows = docs.withColumns({"_id": order_of(id_col), "_th": F.xxhash64(F.coalesce(text_col, F.lit("")))})
-    rows = rows.join(takes, (F.col("_id") == F.col("_pid")) & (F.col("_th") == F.col("_pth")))
-    rows = rows.withColumn("_take", F.explode(F.array("_first", "_second"))).where("_take > 0")
+    keyed = rows.withColumns(
+        {"_id": order_of(id_col), "_th": F.xxhash64(F.coalesce(text_col, F.lit(""))), "_tie": F.xxhash64(F.monotonically_increasing_id())}
+    )
+    same = (F.col("_id") == F.col("_pid")) & (F.col("_th") == F.col("_pth")) & _same(F.col(source_col), F.col("_ps"))
+    # of n equal rows each takes an n-th, and the words left over go to as many of them as there are words
+    share = lambda c: F.floor(F.col(c) / F.col("_copies")) + (F.pmod("_tie", "_copies") < F.pmod(c, "_copies")).cast("long")
+    taken = keyed.join(takes, same).withColumn(
+        "_piece",
+        F.explode(
+            F.array(*[F.struct(share(f"_{c}").alias("words"), F.col(f"_{c}_slot").alias("slot")) for c in ("first", "second")])
+        ),
+    )
+    taken = taken.where("_piece.words > 0").withColumn("_take", F.least("_piece.words", "_size"))
     pieces = F.regexp_extract_all(text_col, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_take").cast("int")), "")
-    rows = rows.withColumn(text_col, F.when(F.col("_take") == F.col("_size"), F.col(text_col)).otherwise(cut))
+    taken = taken.withColumn(text_col, F.when(F.col("_take") == F.col("_size"), F.col(text_col)).otherwise(cut))
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+        taken = taken.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
+    return taken.orderBy("_piece.slot", "_id", "_th").select(*named)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import shielded, table
 
 #: Ratings: 0 toxic, 1 low quality, 2 good and clean.
 GRADES = 3
@@ -68,7 +68,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
         "doc_id is not null and rating is not null"
     )
     chosen = rated.groupBy("doc_id").agg(F.min("rating").alias("rating")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
+    # of an id given more than once the smallest text counts, so that no more rows than ids are fitted
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "rating").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,7 +78,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
                 [batch.column(0), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "rating", "features"]
             )
 
-    return rows.select("doc_id", "text", F.col("rating").cast("long")).mapInArrow(
+    return rows.select("doc_id", F.col("text").cast("binary").alias("text"), F.col("rating").cast("long")).mapInArrow(
         run, "doc_id long, rating long, features array<int>"
     )
 
@@ -143,10 +144,12 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ordin
 def score(docs: DataFrame, model: OrdinalModel, least_tail: float = LEAST_TAIL) -> DataFrame:
     """``docs`` with ``expected_grade``, ``p_at_least_1``, ``p_at_least_2`` (double) and ``selected`` added.
 
-    A null text counts as empty; whole texts count. Existing columns of these names are replaced. One pass, no shuffle.
+    A null or empty text has no features and so the grade of the thresholds alone; whole texts count; equal texts are
+    graded alike. Existing columns of these names are replaced, all others kept whatever their names. One pass, no shuffle.
     """
     added = ["expected_grade", "p_at_least_1", "p_at_least_2", "selected"]
-    docs = docs.drop(*added)
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    docs, named = shielded(docs, ("text",))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     where = docs.columns.index("text")
 
@@ -160,7 +163,7 @@ def score(docs: DataFrame, model: OrdinalModel, least_tail: float = LEAST_TAIL)
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, columns)], [*batch.schema.names, *added])
 
     wide = docs.withColumns({name: F.lit(0.0) for name in added[:3]} | {added[3]: F.lit(True)})
-    return docs.mapInArrow(run, wide.schema)
+    return docs.mapInArrow(run, wide.schema).select(*named, *added)
 
 
 def op9_quality(spark, sf_dir):

@@ -8,10 +8,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import order_of, table
+from tidemark.llm.common import table
 from tidemark.session import materialize
 
 WINDOW = 13
@@ -129,6 +129,12 @@ def covered(flags: np.ndarray, window: int, count: int) -> np.ndarray:
     return _within(flags, window)[:count] if len(flags) else np.zeros(count, bool)
 
 
+def _name_of(id_col: str, text_col: str) -> Column:
+    """What orders rows and tells them apart: the id, or a hash of the text in the highest quarter of the numbers."""
+    of_text = F.shiftrightunsigned(F.xxhash64(F.coalesce(text_col, F.lit(""))), 2).bitwiseOR(F.lit(3 << 61))
+    return F.coalesce(F.col(id_col), of_text)
+
+
 def _rows(found: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
     hashes = np.concatenate([h for h, _ in found]) if found else np.array([], np.int64)
     ids = np.repeat(np.array([i for _, i in found], np.int64), [len(h) for h, _ in found])
@@ -148,8 +154,8 @@ def dedup_substrings(
 
     A window is ``window`` consecutive words, unchanged, of one document; it goes where its word sequence also starts in
     a document with a smaller id. Windows are judged on the input. ``text`` holds the kept words joined by one space;
-    with ``digest`` there is ``kept_sha256`` instead. Null texts have no words. Rows without an id count as the largest
-    id; rows of equal id are no copies of one another.
+    with ``digest`` there is ``kept_sha256`` instead. Null texts have no words. Rows without an id come after those with
+    one, in the order of their texts' hashes; rows of equal id, or without one and of equal text, are no copies of one another.
 
     Levels: of each window the least-hashed short window (about half as long) stands for it; those found in one document
     alone can't be part of a repeat. Only windows whose part repeats are extended to the next length, about
@@ -161,7 +167,7 @@ def dedup_substrings(
     spark = docs.sparkSession
     lengths = lengths_of(window)
     texts = docs.select(
-        F.col(id_col).alias("doc_id"), order_of(id_col).alias("_id"), F.col(text_col).cast("binary").alias("text")
+        F.col(id_col).alias("doc_id"), _name_of(id_col, text_col).alias("_id"), F.col(text_col).cast("binary").alias("text")
     )
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shift = max(0, 64 - (max(1, int(size)).bit_length() + 10))
@@ -219,7 +225,7 @@ def dedup_substrings(
 
     def of_docs(rows: DataFrame) -> DataFrame:
         # the few hashes of a document are the hashed side of joins: texts stream past and aren't sorted
-        return rows.groupBy("_id").agg(F.collect_list("h").alias("alive")).hint("shuffle_hash")
+        return rows.groupBy("_id").agg(F.collect_set("h").alias("alive")).hint("shuffle_hash")
 
     first = texts.select("_id", "text").mapInArrow(chosen, "h long, _id long")
     alive = of_docs(first.join(_repeated(first, "chosen").select("h"), "h", "left_semi"))

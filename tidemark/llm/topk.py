@@ -180,18 +180,21 @@ def top_k(
     stay where they are read. Each pass adds up a histogram of the scores for each query and narrows the range that
     holds its kth value, until that is one number; a last pass keeps the scores above it and, of the ties, the
     smallest ids. A query isn't its own candidate. Vectors that are null or hold a null or non-finite component, and
-    rows without an id, take no part. Vectors of another length than the first take no part either. Repeated rows are
-    candidates each. Scores must stay below 2^53; larger ones raise an error.
+    rows without an id, take no part, nor do those of another length than most vectors have (the shorter of two
+    equally frequent lengths counts) and empty ones. Repeated rows are candidates each; a query given twice is answered once. Scores must
+    stay below 2^53; larger ones raise an error.
     """
     spark = rows.sparkSession
     asked = materialize(whole_vectors(queries, id_col, vector_col).distinct(), "queries")
     written = materialize(whole_vectors(rows, id_col, vector_col), "vectors")
-    head = written.select(F.max(F.size("v")), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))).first()
+    longest = F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+    lengths = written.where(F.size("v") > 0).groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"), longest.alias("norm"))
+    head = lengths.orderBy(F.desc("rows"), "n").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if not head[0]:
+    if head is None:
         return empty
-    width = int(head[0])
-    if head[1] ** 2 >= 2.0**53:
+    width = int(head["n"])
+    if head["norm"] ** 2 >= 2.0**53:
         raise ValueError("scores would not be exact")
     fits = F.size("v") == width
     chunks = -(-asked.count() // chunk)
