@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.catalog import ORACLE, QUERIES
 from tidemark.llm.components import components
 from tidemark.llm.fingerprints import fingerprint_edits, with_next_text
-from tidemark.llm.html import extract, main_text
+from tidemark.llm.html import Block, blocks_of, extract, first_pass, main_text, second_pass
 from tidemark.llm.lines import dedup_lines
 from tidemark.llm.mixing import mix, source_targets, take_words
 from tidemark.llm.packing import class_of, column_generation, default_vocabulary, inverse_of, pack, pack_documents, plan_rows
@@ -558,6 +558,47 @@ def test_main_text():
     assert main_text("<article><p>cut of") == "cut of"
 
 
+@pytest.mark.parametrize("name", ["page-with-sidebar", "layout-sidebar", "widget-content", "modal-open", "article-share"])
+def test_wrappers_keep_their_article(name):
+    body = "This is the text of the page and it has what a text of this kind needs to be one of those."
+    page = f"<nav><a href=1>Home</a></nav><div class='{name}'><h1>Head</h1><p>{body}</p><p>Short.</p><div class=ad>Buy it</div></div>"
+    assert main_text(page) == f"Head\n{body}\nShort."
+    assert main_text(f"<form class={name}><article><p>{body}</p><p>one</p></article></form>") == f"{body}\none"
+
+
+def test_neighbours_decide_short_blocks():
+    body = "This is the text of the page and it has what a text of this kind needs to be one of those."
+    links = "".join(f"<li><a href={k}>Link number {k}</a></li>" for k in range(3))
+    page = f"<div><p>Menu</p><ul>{links}</ul><p>Log in</p></div><h2>Title</h2><p>{body}</p><p>By me.</p><p>{body}</p><p>End.</p>"
+    blocks = blocks_of(page)
+    first_pass(blocks)
+    opened = [b.text for b in blocks if b.label == "open"]
+    assert opened == ["Menu", "Log in", "Title", "By me.", "End."]
+    assert [b.text for b in blocks if b.label == "bad"] == ["Link number 0", "Link number 1", "Link number 2"]
+    second_pass(blocks)
+    assert [b.text for b in blocks if b.label == "good"] == ["Title", body, "By me.", body, "End."]
+
+
+def test_second_pass_is_brute_force():
+    rng = random.Random(12)
+    for _ in range(2000):
+        blocks = [Block(str(k), label=rng.choice(["good", "bad", "open", "open"])) for k in range(rng.randint(0, 9))]
+        given = [b.label for b in blocks]
+        second_pass(blocks)
+        for k, label in enumerate(given):
+            decided = [(abs(k - j), other) for j, other in enumerate(given) if other != "open"]
+            near = {other for distance, other in decided if distance == min(decided)[0]}
+            assert blocks[k].label == (label if label != "open" else near.pop() if len(near) == 1 else "bad")
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    started = time.process_time()
+    assert main_text("<div>" * 20_000 + "x" + "</div>" * 20_000) == ""
+    assert time.process_time() - started < 5
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>The text of a page.</p>", "old"), (1, "u", None, None), (None, None, "", "")], "page_id long, url string, html string, text string")
     assert extract(pages).columns == ["page_id", "url", "text", "n_chars"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -22,10 +23,11 @@ BLOCK = frozenset(
 )
 SPACE = frozenset("br td th wbr img input".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-BESIDE = frozenset(
-    "applet aside audio button canvas datalist dialog embed footer form frameset head iframe input map math menu nav noframes "
-    "noscript object script select style svg template textarea title video".split()
+UNSEEN = frozenset(
+    "applet audio button canvas datalist embed frameset head iframe input map math noframes noscript object script select style svg "
+    "template textarea title video".split()
 )
+OUTSIDE = frozenset("aside dialog footer menu nav".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 # Words that sites use in class names and ids of what isn't the article.
 HINTS = frozenset(
@@ -56,72 +58,90 @@ LINKS = 0.5
 SHORT = 70
 LONG = 200
 STOP_LOW, STOP_HIGH = 0.1, 0.25
+#: An element is a wrapper of the page, whatever its names say, when it holds more than this share of the text in sight.
+WRAPS = 0.5
 
 
 @dataclass
 class Block:
+    """A piece of text between block elements, with what the rules look at."""
+
     text: str
-    links: float
-    heading: bool
-    article: bool
+    links: float = 0.0
+    heading: bool = False
+    article: bool = False
+    outside: bool = False
+    named: tuple[int, ...] = ()
     label: str = "open"
 
 
-def _beside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element is none of the article by its tag, role, visibility or names."""
-    if tag in BESIDE or (tag == "header" and not in_article):
-        return True
+@dataclass(frozen=True)
+class _Place:
+    """What holds inside an open element: not in sight, outside by tag or role, in an article, and the elements around it
+    whose names hint at something beside the article."""
+
+    unseen: bool = False
+    outside: bool = False
+    article: bool = False
+    named: tuple[int, ...] = ()
+
+
+def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """(unseen, outside, named) of an element by its tag, role, visibility and names."""
+    if tag in UNSEEN:
+        return True, False, False
+    outside, named = tag in OUTSIDE or (tag == "header" and not in_article), tag == "form"
     if not attributes.strip() or tag in ("html", "body", "main"):
-        return False
+        return False, outside, named
     for name, double, single, bare, hidden in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (double or single or bare).lower()
-        if hidden or (name == "aria-hidden" and value == "true"):
-            return True
+        if hidden or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
+            return True, outside, named
         if name == "role" and value in ROLES:
-            return True
-        if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            outside = True
         if name in ("class", "id"):
             for word in value.split():
                 parts = NAME_PART.findall(word)
                 if parts and parts[0] not in NEGATED:
                     ends = {parts[0], parts[-1]}
-                    if ends & HINTS or (ends & OUTER_HINTS and not in_article):
-                        return True
-    return False
+                    named = named or bool(ends & HINTS or (ends & OUTER_HINTS and not in_article))
+    return False, outside, named
 
 
 def blocks_of(html: str) -> list[Block]:
-    """The page's blocks of text in order, without what stands in elements beside the article."""
+    """The page's blocks of text in sight, in order. Elements whose names hint at something beside the article are
+    numbered; one that holds more than WRAPS of the text is a wrapper, and its names don't count."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, beside, in the article
+    stack: list[tuple[str, _Place]] = []
+    opened: Counter[str] = Counter()
     parts: list[str] = []
-    linked, in_link, heading = 0, False, False
-    beside = article = False
+    linked = numbered = 0
+    here = _Place()
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                found.append(Block(text, min(1.0, linked / len(text)), heading, article))
+                heading = any(opened[tag] for tag in HEADING)
+                found.append(Block(text, min(1.0, linked / len(text)), heading, here.article, here.outside, here.named))
             parts.clear()
         linked = 0
 
     def close_to(depth: int) -> None:
-        nonlocal beside, article, in_link, heading
-        if any(tag in BLOCK for tag, _, _ in stack[depth:]):
+        nonlocal here
+        after = stack[depth - 1][1] if depth else _Place()
+        if any(tag in BLOCK for tag, _ in stack[depth:]) or (after.outside, after.named) != (here.outside, here.named):
             flush()
-        del stack[depth:]
-        beside, article = stack[-1][1:] if stack else (False, False)
-        in_link = any(tag == "a" for tag, _, _ in stack)
-        heading = any(tag in HEADING for tag, _, _ in stack)
+        while len(stack) > depth:
+            opened[stack.pop()[0]] -= 1
+        here = after
 
     def text(piece: str) -> None:
         nonlocal linked
-        if piece and not beside:
+        if piece and not here.unseen:
             parts.append(piece)
-            if in_link:
+            if opened["a"]:
                 linked += len(piece.strip())
 
     at = 0
@@ -132,9 +152,8 @@ def blocks_of(html: str) -> list[Block]:
         if not tag:
             continue
         if match[2] or match[5]:
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                close_to(depth)
+            if opened[tag]:
+                close_to(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
             elif tag in BLOCK:
                 flush()
             continue
@@ -153,65 +172,80 @@ def blocks_of(html: str) -> list[Block]:
                     break
                 if stack[k][0] in BLOCK:
                     break
-        attributes = match[4] or match[7] or ""
-        inside = article or tag in ("article", "main")
-        stack.append((tag, beside or _beside(tag, attributes, article), inside))
-        beside, article = stack[-1][1:]
-        in_link = in_link or tag == "a"
-        heading = heading or tag in HEADING
+        unseen, outside, named = _marks(tag, match[4] or match[7] or "", here.article)
+        inside = here.article or tag in ("article", "main")
+        if named:
+            numbered += 1
+        if (unseen, outside, named) != (here.unseen, here.outside, False) or inside != here.article:
+            names = (*here.named, numbered) if named else here.named
+            if tag not in BLOCK and not unseen and (outside or named):
+                flush()
+            here = _Place(here.unseen or unseen, here.outside or outside, inside, names)
+        stack.append((tag, here))
+        opened[tag] += 1
     text(html[at:])
     flush()
+    held: Counter[int] = Counter()
+    for block in found:
+        for number in block.named:
+            held[number] += len(block.text)
+    total = sum(len(block.text) for block in found)
+    for block in found:
+        block.named = tuple(number for number in block.named if held[number] <= WRAPS * total)
     return found
 
 
-def decide(blocks: list[Block]) -> list[Block]:
-    """Labels every block good or bad.
+def first_pass(blocks: list[Block]) -> None:
+    """Labels what a block's own features decide: good, bad, or open.
 
-    First pass: by link density, length and stop-word density; short blocks and long ones with few stop words stay
-    open. Second pass: an open block takes the label of its nearest decided neighbours; where they differ at the
-    same distance, or none is decided, it is good inside an article and bad outside. A page with text in an article
-    element has its main text there; one without any good block keeps its long blocks with few links.
+    Bad: outside by tag, role or names; beside the article, on a page whose articles hold most of the other text; or
+    mostly links. Open: short blocks, headings, and blocks with too few stop words for their length. Good: the rest, and
+    on a page without any, its long blocks with few links.
     """
-    has_article = any(b.article for b in blocks)
+    rest = [b for b in blocks if not (b.outside or b.named)]
+    in_article = sum(len(b.text) for b in rest if b.article)
+    has_article = in_article > WRAPS * sum(len(b.text) for b in rest if b.links <= LINKS)
     for block in blocks:
         words = block.text.lower().split()
         stops = sum(word in STOP_WORDS for word in words) / max(1, len(words))
-        if has_article and not block.article:
+        if block.outside or block.named or (has_article and not block.article) or (block.links > LINKS and not block.heading):
             block.label = "bad"
-        elif block.links > LINKS:
-            block.label = "open" if block.heading else "bad"
-        elif len(block.text) < SHORT:
-            block.label = "open"
-        elif stops >= STOP_HIGH or (stops >= STOP_LOW and len(block.text) >= LONG):
+        elif len(block.text) >= SHORT and not block.heading and (stops >= STOP_HIGH or (stops >= STOP_LOW and len(block.text) >= LONG)):
             block.label = "good"
-        elif stops < STOP_LOW and not block.article:
-            block.label = "bad"
     if not any(b.label == "good" for b in blocks):
-        for block in blocks:
-            if len(block.text) >= SHORT and block.links <= LINKS and (block.article or not has_article):
+        for block in rest:
+            if block.label == "open" and (len(block.text) >= SHORT or block.article):
                 block.label = "good"
-    decided = [b.label for b in blocks]
-    places = [k for k, label in enumerate(decided) if label != "open"]
-    before, place = [None] * len(blocks), None
-    for k, label in enumerate(decided):
-        place = k if label != "open" else place
-        before[k] = place
-    after, place = [None] * len(blocks), None
-    for k in range(len(blocks) - 1, -1, -1):
-        place = k if decided[k] != "open" else place
-        after[k] = place
-    for k, block in enumerate(blocks):
-        if decided[k] != "open":
-            continue
-        left = k - before[k] if before[k] is not None else len(blocks) + 1
-        right = after[k] - k if after[k] is not None else len(blocks) + 1
-        if not places or left == right:
-            same = bool(places) and decided[before[k]] == decided[after[k]]
-            block.label = decided[before[k]] if same else "good" if block.article else "bad"
-        else:
-            block.label = decided[before[k] if left < right else after[k]]
-        if block.article and not block.links:
-            block.label = "good"
+
+
+def second_pass(blocks: list[Block]) -> None:
+    """Open blocks take the label of their nearest decided neighbours; where those are as near and differ, or there is
+    none, they are good inside an article and bad elsewhere.
+
+    Blocks that are bad by where they stand (outside, or beside the article) are no neighbours: what is next to a menu or an
+    advert is no menu for that.
+    """
+    placed = [b for b in blocks if not (b.outside or b.named)]
+    articles = any(b.article and b.label != "bad" for b in placed)
+    line = [b for b in placed if b.article or not articles or b.label != "bad"]
+    nearest: list[list[tuple[int, str]]] = [[] for _ in line]
+    for order in (range(len(line)), range(len(line) - 1, -1, -1)):
+        last = None
+        for k in order:
+            if line[k].label != "open":
+                last = k
+            elif last is not None:
+                nearest[k].append((abs(k - last), line[last].label))
+    for block, near in zip(line, nearest, strict=True):
+        if block.label == "open":
+            closest = {label for distance, label in near if distance == min(near)[0]}
+            block.label = closest.pop() if len(closest) == 1 else "good" if block.article else "bad"
+
+
+def decide(blocks: list[Block]) -> list[Block]:
+    """Labels every block good or bad, in two passes."""
+    first_pass(blocks)
+    second_pass(blocks)
     return blocks
 
 
@@ -222,7 +256,8 @@ def main_text(html: str | None) -> str:
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` (the page's main text, empty if none) in place of ``html_col``, and ``n_chars``.
 
-    A null page counts as empty. Existing columns ``text`` and ``n_chars`` are replaced. One pass, no shuffle.
+    A null or empty page has an empty text; repeated rows give equal rows. Existing columns ``text`` and ``n_chars`` are
+    replaced, all others kept. One pass, no shuffle; time and memory grow with the page's length.
     """
     rows = pages.drop("text", "n_chars")
     kept = [name for name in rows.columns if name != html_col]
