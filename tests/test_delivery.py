@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.contracts import CONTRACTS, conform
 from tidemark.operators.gold import orders_enriched, reviews_daily
-from tidemark.plans.delivery import deliver, deliver_jdbc, merge_statement
-from tidemark.sources.tables import read_table
+from tidemark.plans.delivery import deliver, deliver_jdbc, merge_statement, read_delivered
 
 
 def daily(spark, *rows):
@@ -19,7 +18,7 @@ def test_deliver_upserts_and_never_deletes(spark, tmp_path):
     assert deliver(daily(spark, ("p1", 1), ("p2", 2)), path, contract)
     assert deliver(daily(spark, ("p2", 5), ("p3", 3)), path, contract)
     assert not deliver(daily(spark, ("x", 1)).filter("false"), path, contract)
-    delivered = read_table(spark, path)
+    delivered = read_delivered(spark, path, contract)
     assert delivered.columns == [name for name, _ in contract.columns]
     assert {r["PRODUCT_ID"]: r["REVIEW_COUNT"] for r in delivered.collect()} == {"p1": 1, "p2": 5, "p3": 3}
 

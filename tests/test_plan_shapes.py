@@ -9,7 +9,7 @@ from tidemark.operators import gold
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import plan_merge, plan_versioned, with_tombstones
 from tidemark.plans.fixtures import customers_src, reviews_src, table
-from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.buckets import Buckets
 from tidemark.streaming.cdc import serving_view
 
 FOLDER = "/root/testdata/sf0.001"
@@ -66,14 +66,14 @@ def test_small_changes_do_not_shuffle_the_table(spark, merge, tmp_path):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
-def test_reading_a_keyed_table_prunes_columns_and_does_not_shuffle_the_base(spark, tmp_path):
-    keyed = KeyedTable(str(tmp_path / "t"), ["review_id"], ["at"])
+def test_a_merge_reads_the_buckets_it_touches(spark, tmp_path):
+    table = Buckets(str(tmp_path / "t"), ["review_id"], ["at"], 8)
     rows = reviews_src(spark, FOLDER).filter("_batch_id = 'B1'").select("review_id", "product_id", "score", "text", F.lit("u").alias("_op"))
-    for at in (1, 2):
-        keyed.merge(rows.withColumn("at", F.lit(at)))
-        keyed.compact(spark)
-    keyed.merge(rows.limit(3).withColumn("at", F.lit(3)))
-    plan = physical(keyed.live(spark).groupBy("product_id").agg(F.sum("score")))
+    table.merge(rows.withColumn("at", F.lit(1)))
+    assert table.merge(rows.limit(1).withColumn("at", F.lit(2))) == 1
+    plan = physical(table.state(spark, ["3"]))
+    assert "PartitionFilters: [isnotnull(_bucket" in plan and "(_bucket#" in plan and "= 3)" in plan
+    plan = physical(table.live(spark).groupBy("product_id").agg(F.sum("score")))
     schemas = [line.split("ReadSchema: ")[1] for line in plan.split("\n") if "FileScan" in line]
     assert schemas and not any("text" in schema for schema in schemas)
     assert "SortMergeJoin" not in plan

@@ -1,16 +1,22 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQueryException
 
-from tidemark.sources.tables import list_folders
+from tidemark.operators.merge import AmbiguousMergeError
+from tidemark.sources.buckets import Buckets
 from tidemark.streaming.cdc import CUSTOMERS, ORDERS, TableSpec, await_all, change_stream, read_live, serving_view, start_cdc
 from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, unwrap
 
 
+def files_of(path):
+    return {str(f) for f in Path(path).rglob("*.parquet")}
+
+
 def order(key, status, op, ts, lsn=None, wrapped=False, amount="1.50"):
     row = {"order_id": key, "customer_id": 1, "status": status, "amount": amount, "currency": "USD", "updated_at": "2024-01-01T00:00:00Z"}
     before, after = (row, None) if op == "d" else (None, row)
@@ -26,11 +32,11 @@ def drain(spark, tmp_path):
     target = str(tmp_path / "table")
     files = iter(range(1000))
 
-    def run(*batches, spec: TableSpec = ORDERS, compact_every=20, restart=False):
+    def run(*batches, spec: TableSpec = ORDERS, buckets=4):
         for lines in batches:
             (inbox / f"{next(files):04d}.txt").write_text("\n".join(lines) + "\n")
         stream = change_stream(spark, "text", str(inbox), maxFilesPerTrigger="1", latestFirst="false")
-        query = start_cdc(stream, spec, target, str(tmp_path / "checkpoint"), once=True, compact_every=compact_every)
+        query = start_cdc(stream, spec, target, str(tmp_path / "checkpoint"), once=True, buckets=buckets)
         await_all([query], 1)
         live = read_live(spark, target, spec)
         return {} if live is None else {r["order_id"]: r["status"] for r in live.collect()}
@@ -61,9 +67,9 @@ def test_upserts_deletes_and_reinserts(drain):
 
 def test_restart_reads_nothing_twice(drain, spark):
     drain([order(1, "a", "c", 1)])
-    before = list_folders(spark, f"{drain.target}/changes")
+    before = files_of(drain.target)
     assert drain() == {1: "a"}
-    assert list_folders(spark, f"{drain.target}/changes") == before
+    assert files_of(drain.target) == before
 
 
 def test_late_and_repeated_events_do_not_win(drain):
@@ -80,15 +86,38 @@ def test_garbage_is_ignored_and_keyless_changes_are_inserted(drain, spark):
     assert ORDERS.table(drain.target).state(spark).count() == 2
 
 
-def test_compaction_keeps_the_state(drain, spark):
+def test_batches_rewrite_their_buckets_alone(drain, spark):
     batches = [[order(k, f"s{n}", "d" if (k + n) % 5 == 0 else "u", n) for k in range(6)] for n in range(1, 8)]
-    assert drain(*batches, compact_every=2) == {k: "s7" for k in range(6) if (k + 7) % 5}
-    assert len(list_folders(spark, f"{drain.target}/changes")) < 7
-    assert list_folders(spark, f"{drain.target}/base", complete=True)
-    state = drain([order(0, "after", "u", 99)], compact_every=1)
-    ORDERS.table(drain.target).compact(spark)
-    assert {r["order_id"]: r["status"] for r in read_live(spark, drain.target, ORDERS).collect()} == state
+    assert drain(*batches) == {k: "s7" for k in range(6) if (k + 7) % 5}
+    before = files_of(drain.target)
+    state = drain([order(0, "after", "u", 99)], buckets=32)  # the table keeps its number of buckets
     assert state[0] == "after"
+    changed = {Path(f).parent for f in before ^ files_of(drain.target)}
+    assert len(changed) == 1 < len({Path(f).parent for f in before})
+
+
+def test_a_lost_move_is_made_up_for(spark, tmp_path, monkeypatch):
+    table = Buckets(str(tmp_path / "t"), ["k"], ["at"], 4)
+    rows = lambda at, value: spark.createDataFrame([(k, value, at, "u") for k in range(20)], "k long, v string, at long, _op string")
+    table.merge(rows(1, "old"))
+    with monkeypatch.context() as patched:
+        patched.setattr(Buckets, "recover", lambda self, spark: None)
+        table.merge(rows(2, "new").where("k < 7"))
+    seen = lambda: {r["k"]: r["v"] for r in table.live(spark).collect()}
+    assert seen() == {k: "new" if k < 7 else "old" for k in range(20)}
+    table.merge(rows(3, "newer").where("k = 8"))
+    assert seen() == {k: "newer" if k == 8 else "new" if k < 7 else "old" for k in range(20)}
+    assert not [f for f in (tmp_path / "t").iterdir() if f.name.startswith("staged")]
+
+
+def test_tables_of_nothing_and_of_more_columns(spark, tmp_path):
+    table = Buckets(str(tmp_path / "t"), ["k"], count=4)
+    assert table.live(spark) is None and table.upsert(spark.createDataFrame([], "k long, v string")) == 0
+    table.upsert(spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (None, "d")], "k long, v string"))
+    table.upsert(spark.createDataFrame([(2, "e", 5)], "k long, v string, w int"))
+    assert {(r.k, r.v, r.w) for r in table.live(spark).collect()} == {(1, "a", None), (2, "e", 5), (None, "c", None), (None, "d", None)}
+    with pytest.raises(AmbiguousMergeError):
+        table.upsert(spark.createDataFrame([(2, "e"), (2, "f")], "k long, v string"))
 
 
 def test_a_failing_query_surfaces(spark, tmp_path):

@@ -34,7 +34,7 @@ from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.splits import sample_cap, stratified_split
 from tidemark.operators.tfidf import fit_vocabulary, term_df, tfidf_weights
 from tidemark.plans.cdc_batch import as_changes
-from tidemark.plans.delivery import deliver
+from tidemark.plans.delivery import deliver, read_delivered
 from tidemark.plans.fixtures import (
     customers_src,
     envelopes,
@@ -50,7 +50,7 @@ from tidemark.plans.silver import conform_posts, conform_reviews
 from tidemark.session import materialize, scratch_path
 from tidemark.sources.incremental import extract_since, latest_watermarks, max_watermark
 from tidemark.sources.landing import normalize_posts, normalize_reviews
-from tidemark.sources.tables import read_batches, read_table, replace_batches
+from tidemark.sources.tables import read_batches, replace_batches
 from tidemark.streaming.cdc import ORDERS, VERSION, change_stream, read_live, serving_view, start_cdc
 from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, repair_types, unwrap
 
@@ -403,7 +403,7 @@ def _delivered(spark, name: str, before: DataFrame, now: DataFrame) -> DataFrame
     path = scratch_path(spark, f"deliver-{name}")
     for rows in (before, now):
         deliver(materialize(rows, name), path, CONTRACTS[name])
-    return read_table(spark, path)
+    return read_delivered(spark, path, CONTRACTS[name])
 
 
 @query("deliver_reviews_daily")

@@ -41,7 +41,7 @@ def sync_table(
     with materialized(extract_since(source, wm_col, since, overlap), f"sync-{spec.name}") as incoming:
         rows = incoming.count()
         if rows:
-            spec.table(settings.path("silver", f"cdc_{spec.name}")).merge(as_changes(incoming, wm_col))
+            spec.table(settings.path("silver", f"cdc_{spec.name}"), settings.merge_buckets).merge(as_changes(incoming, wm_col))
             reached = max_watermark(incoming, wm_col).first()["watermark"]
             write_watermark(spark, watermarks, spec.name, reached)
     return rows
@@ -60,4 +60,4 @@ def reconcile(source_keys: DataFrame, spec: TableSpec, settings: Settings) -> No
         return
     gone = reconcile_deletes(current, source_keys, spec.keys)
     stamped = as_changes(gone.withColumn("_seen", F.current_timestamp()), "_seen", op="d").drop("_seen")
-    spec.table(path).merge(stamped)
+    spec.table(path, settings.merge_buckets).merge(stamped)

@@ -30,7 +30,7 @@ def run_cdc(streams: Mapping[str, DataFrame], settings: Settings, once: bool = F
             settings.path("_checkpoints", f"cdc_{name}"),
             once,
             settings.trigger,
-            settings.compact_every,
+            settings.merge_buckets,
         )
         for name, stream in streams.items()
     ]

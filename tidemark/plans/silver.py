@@ -14,7 +14,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Rule, check, rejected
 from tidemark.session import materialized
 from tidemark.settings import Settings
-from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.buckets import Buckets
 from tidemark.sources.progress import finish, stored_batches, unfinished
 from tidemark.sources.tables import BATCH_COLUMN, read_batches, rebuild
 
@@ -55,8 +55,8 @@ MERGED = "_merge_seq"
 VERSION = (BATCH_COLUMN, MERGED)
 
 
-def silver_table(settings: Settings, entity: str) -> KeyedTable:
-    return KeyedTable(settings.path("silver", entity), SILVER[entity][2], VERSION)
+def silver_table(settings: Settings, entity: str) -> Buckets:
+    return Buckets(settings.path("silver", entity), SILVER[entity][2], VERSION, settings.merge_buckets)
 
 
 def read_silver(spark: SparkSession, settings: Settings, entity: str) -> DataFrame | None:
@@ -70,8 +70,8 @@ def build_silver(
     """Merge the new bronze batches (``full``: all of them); False when there is nothing to do.
 
     The conformed rows are written once to scratch: the rule counts and the merge then read only the
-    columns they need instead of repeating the de-duplication and the cleaning. The merge appends, so a
-    run costs as much as its new batches.
+    columns they need instead of repeating the de-duplication and the cleaning. The merge rewrites the
+    buckets of the keys that the new batches hold.
     """
     conform, rules, _ = SILVER[entity]
     path = settings.path("bronze", entity)
@@ -95,7 +95,6 @@ def build_silver(
         if quarantine:
             rebuild(rejected(staged, rules, results), settings.path("quarantine", entity))
     finish(spark, settings, "silver", entity, batches)
-    table.compact_when(spark, settings.compact_every)
     return True
 
 

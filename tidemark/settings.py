@@ -8,6 +8,8 @@ from dataclasses import dataclass, field, replace
 FAIL_PCT = {"dev": 5.0, "qa": 2.0, "prod": 1.0}
 SHUFFLE_PARTITIONS = {"dev": 8, "qa": 64, "prod": 200}
 SAMPLE_ROWS = {"dev": 20_000, "qa": 40_000, "prod": 0}
+# Buckets of tables merged by key, for tables written first: a bucket should be a few files.
+MERGE_BUCKETS = {"dev": 8, "qa": 64, "prod": 4096}
 
 
 @dataclass(frozen=True)
@@ -23,7 +25,7 @@ class Settings:
     val_size: float = 0.1
     seed: int = 42
     trigger: str = "30 seconds"
-    compact_every: int = 20
+    merge_buckets: int = MERGE_BUCKETS["dev"]
     delivered: tuple[str, ...] = field(
         default=("gold_reviews_daily", "gold_subreddit_engagement", "gold_orders_enriched")
     )
@@ -39,5 +41,6 @@ def for_environment(root: str, environment: str = "dev", **overrides) -> Setting
         fail_pct=FAIL_PCT[environment],
         shuffle_partitions=SHUFFLE_PARTITIONS[environment],
         sample_rows=SAMPLE_ROWS[environment],
+        merge_buckets=MERGE_BUCKETS[environment],
     )
     return replace(base, **overrides)

@@ -1,7 +1,7 @@
-"""Change streams into keyed tables.
+"""Change streams into tables merged by key.
 
-A micro-batch is collapsed and appended with its versions (event time, log position), so replays after a
-restart, late events and reordered batches all lead to the same state.
+A micro-batch is collapsed and merged with its versions (event time, log position) into the buckets of its keys, so replays
+after a restart, late events and reordered batches all lead to the same state.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.buckets import Buckets
 from tidemark.streaming.envelope import CUSTOMER_CASTS, CUSTOMER_ROW, ORDER_CASTS, ORDER_ROW, unwrap
 
 VERSION = ("_event_ts_ms", "_lsn")
@@ -28,8 +28,8 @@ class TableSpec:
     keys: tuple[str, ...]
     casts: Mapping[str, str] = field(default_factory=dict)
 
-    def table(self, path: str) -> KeyedTable:
-        return KeyedTable(path, self.keys, VERSION)
+    def table(self, path: str, buckets: int = 16) -> Buckets:
+        return Buckets(path, self.keys, VERSION, buckets)
 
 
 def read_live(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame | None:
@@ -49,14 +49,11 @@ def change_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = No
     return reader.load(path) if path else reader.load()
 
 
-def _sink(spec: TableSpec, path: str, compact_every: int):
-    target = spec.table(path)
+def _sink(spec: TableSpec, path: str, buckets: int):
+    target = spec.table(path, buckets)
 
     def upsert(batch: DataFrame, epoch: int) -> None:
-        changes = batch.filter(F.col("_op").isNotNull())
-        if not changes.isEmpty():
-            target.merge(changes)
-            target.compact_when(batch.sparkSession, compact_every)
+        target.merge(batch.filter(F.col("_op").isNotNull()))
 
     return upsert
 
@@ -68,12 +65,12 @@ def start_cdc(
     checkpoint: str,
     once: bool = False,
     interval: str = "30 seconds",
-    compact_every: int = 20,
+    buckets: int = 16,
 ) -> StreamingQuery:
     """One query per table. ``once`` drains what is there and ends, else a batch runs per ``interval``."""
     writer = (
         unwrap(stream, spec.row, spec.casts)
-        .writeStream.foreachBatch(_sink(spec, path, compact_every))
+        .writeStream.foreachBatch(_sink(spec, path, buckets))
         .option("checkpointLocation", checkpoint)
         .queryName(f"cdc_{spec.name}")
     )
