@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ from tidemark.operators.merge import AmbiguousMergeError
 from tidemark.sources.buckets import Buckets
 from tidemark.streaming.cdc import CUSTOMERS, ORDERS, TableSpec, await_all, change_stream, read_live, serving_view, start_cdc
 from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, unwrap
+from tidemark.streaming.serving import served, start_serving
 
 
 def files_of(path):
@@ -142,3 +144,24 @@ def test_serving_view(spark):
     )
     out = serving_view(orders, "2024-05-30 00:00:00").collect()
     assert [(r["status"], r["amount"], r["updated_at"].microsecond) for r in out] == [("new", 2.5, 123000)]
+
+
+def test_served_rows_are_the_newest_whatever_the_order(spark, tmp_path):
+    """Late, repeated, keyless and incomplete rows; a restart without new rows changes nothing."""
+    schema = "k long, v string, at timestamp, n long"
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    table = Buckets(str(tmp_path / "t"), ["k"], ["at", "n"], 2)
+    day = lambda d: datetime(2024, 1, d)
+    batches = [
+        [(1, "first", day(1), 1), (1, "third", day(3), 1), (2, "b", day(2), 1), (3, "no version", None, 1)],
+        [(1, "second", day(2), 1), (1, "third", day(3), 1), (2, "tie", day(2), 2), (None, "keyless", day(4), 1), (4, "old", day(1), 1)],
+        [],
+    ]
+    for rows in batches:
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        before = files_of(tmp_path / "t") if table.live(spark) is not None else set()
+        start_serving(spark.readStream.schema(schema).parquet(inbox), table, checkpoint, once=True).awaitTermination()
+    assert files_of(tmp_path / "t") == before
+    assert {(r.k, r.v) for r in table.live(spark).collect()} == {(1, "third"), (2, "tie"), (None, "keyless"), (4, "old")}
+    assert {r.k for r in served(spark, table, "2024-01-31", "at", days=29).collect()} == {1, 2, None}

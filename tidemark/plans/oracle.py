@@ -273,6 +273,15 @@ WHERE updated_at >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL '90' DAY""",
     CUSTOMERS_SRC,
 )
 
+ORACLE["serving_stream"] = with_views(
+    f"""SELECT order_id, customer_id, status, CAST(amount AS DOUBLE) AS amount,
+       {moment("date_trunc('millisecond', updated_at)")} AS updated_at
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC, lsn DESC) AS k
+      FROM order_changes WHERE op <> 'd') AS v
+WHERE k = 1 AND updated_at >= TIMESTAMP '2001-08-01 00:00:00' - INTERVAL '90' DAY""",
+    ORDER_CHANGES,
+)
+
 # --- change data ---------------------------------------------------------------------------------------
 
 ORACLE["cdc_unwrap"] = with_views(
