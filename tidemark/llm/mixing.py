@@ -14,7 +14,7 @@ SHARE = 1.5
 REPEATS = 2
 #: About so many blocks in a mix, within these block sizes in words.
 BLOCKS = 1 << 22
-LEAST, MOST = 8, 1024
+LEAST, MOST = 64, 1024
 #: The golden ratio's fractional part, as a step in units of 2^-53.
 GOLDEN = 5566755282872655
 UNIT = 1 << 53
