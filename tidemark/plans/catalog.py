@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.labels import engaged, sentiment
 from tidemark.functions.text import clean_text
 from tidemark.operators import gold
+from tidemark.operators.approximate import nearest_approximate, recall_rows
 from tidemark.operators.contracts import CONTRACTS
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import (
@@ -508,6 +509,22 @@ def knn_neighbors(spark, folder):
     return nearest(asked, known, NEIGHBOURS).withColumn("similarity", F.round("similarity", 6))
 
 
+@query("knn_recall")
+def knn_recall(spark, folder):
+    """What the hashed index finds of the exact neighbours: embeddings."""
+    asked, known = _embeddings(spark, folder)
+    return recall_rows(nearest_approximate(asked, known, NEIGHBOURS), nearest(asked, known, NEIGHBOURS))
+
+
+@query("knn_text_recall")
+def knn_text_recall(spark, folder):
+    """What the hashed index finds of the exact neighbours: term vectors, every twentieth document asking."""
+    docs = _clean_docs(spark, folder)
+    featurizer = Featurizer.fit(docs)
+    asked, known = (materialize(featurizer.sparse(docs.filter(side)), "vectors") for side in ("id % 20 = 0", "id % 20 <> 0"))
+    return recall_rows(nearest_approximate(asked, known, NEIGHBOURS), nearest(asked, known, NEIGHBOURS))
+
+
 @query("knn_vote")
 def knn_votes(spark, folder):
     asked, known = _embeddings(spark, folder)
@@ -549,15 +566,18 @@ def candidate(spark, folder):
 
 @query("promotion")
 def promotion(spark, folder):
-    """Event types as models, days as versions, the mean event value of a day as its score."""
+    """Event types as models, days as versions, the mean event value of a day as its score; models without score and champion added."""
     events = table(spark, folder, "events")
     days = events.groupBy("event_type", F.expr("datediff(cast(ts AS date), DATE '2020-01-01')").alias("day")).agg(
         F.round(F.avg("value"), 6).alias("value")
     )
     run = F.concat_ws("/", "event_type", F.col("day").cast("string"))
     versions = days.select(F.col("event_type").alias("model"), F.col("day").alias("version"), run.alias("run_id"))
-    scores = days.filter("value >= 50").select(run.alias("run_id"), F.lit("test_f1_macro").alias("metric"), "value")
-    aliases = versions.filter("model <> 'click'").groupBy("model").agg(F.min("version").alias("version"))
+    scores = days.select(run.alias("run_id"), F.lit("test_f1_macro").alias("metric"), "value")
+    aliases = versions.groupBy("model").agg(F.min("version").alias("version"))
+    # Added to what the table holds: per model a newest version without a score under a new name, which has no champion either.
+    unscored = aliases.select(F.concat("model", F.lit("-new")).alias("model"), "version", F.concat("model", F.lit("/unscored")).alias("run_id"))
+    versions = versions.unionByName(unscored)
     return promote(versions, scores, aliases.withColumn("alias", F.lit("champion")), min_uplift=0.01)
 
 

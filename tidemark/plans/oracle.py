@@ -543,8 +543,9 @@ ORACLE["promotion"] = with_views(
     """SELECT v.model, v.version AS challenger, coalesce(cs.value, -1.0) AS challenger_score, h.version AS champion,
        coalesce(hs.value, -1.0) AS champion_score,
        CAST(coalesce(cs.value, -1.0) >= coalesce(hs.value, -1.0) + 0.01 AS VARCHAR) AS promoted
-FROM (SELECT model, max(version) AS version FROM versions GROUP BY model) AS v
-LEFT JOIN (SELECT model, min(version) AS version FROM versions WHERE model <> 'click' GROUP BY model) AS h
+FROM (SELECT model, max(version) AS version FROM versions GROUP BY model
+      UNION ALL SELECT model || '-new', min(version) FROM versions GROUP BY model) AS v
+LEFT JOIN (SELECT model, min(version) AS version FROM versions GROUP BY model) AS h
   ON v.model = h.model
 LEFT JOIN scores AS cs ON cs.model = v.model AND cs.version = v.version
 LEFT JOIN scores AS hs ON hs.model = h.model AND hs.version = h.version""",
@@ -553,7 +554,7 @@ LEFT JOIN scores AS hs ON hs.model = h.model AND hs.version = h.version""",
          round(avg(value), 6) AS value
   FROM events GROUP BY ALL
 )""",
-    "scores AS (SELECT * FROM versions WHERE value >= 50)",
+    "scores AS (SELECT * FROM versions)",
 )
 ORACLE["score_projection"] = with_views(
     """SELECT id, substring(text, 1, 120) AS text, pred AS label,
