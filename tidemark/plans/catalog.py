@@ -30,6 +30,7 @@ from tidemark.operators.metrics import class_report, metrics, roc_auc
 from tidemark.operators.models import Featurizer, fit_forest, forest_predictions, scored_texts
 from tidemark.operators.neighbors import knn_vote, nearest
 from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Action, Rule, check, evaluate, percent
+from tidemark.operators.ranges import reconcile_ranges
 from tidemark.operators.registry import best_candidate, promote
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.splits import sample_cap, stratified_split
@@ -389,6 +390,14 @@ def cdc_reconcile(spark, folder):
     return reconcile_deletes(target, _live_orders(spark, folder), ["order_id"])
 
 
+@query("cdc_reconcile_ranges")
+def cdc_reconcile_ranges(spark, folder):
+    """Orders that a source which lost whole stretches of keys no longer has, found by digests of key ranges."""
+    target = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
+    source = _live_orders(spark, folder).unionByName(order_changes(spark, folder).filter("op = 'd' AND order_id % 1000 >= 100"), True)
+    return reconcile_ranges(target, materialize(source.select("order_id"), "source"), ["order_id"], leaf_rows=100)
+
+
 @query("cdc_stream")
 def cdc_stream(spark, folder):
     """All envelopes as files, drained by the change stream; the live table it leaves behind."""

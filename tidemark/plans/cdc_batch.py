@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import reconcile_deletes
+from tidemark.operators.ranges import reconcile_ranges
 from tidemark.session import materialized
 from tidemark.settings import Settings
 from tidemark.sources.incremental import extract_since, max_watermark, read_watermark, write_watermark
@@ -52,12 +52,15 @@ def sync_all(sources: Mapping[str, DataFrame], specs: Sequence[TableSpec], setti
 
 
 def reconcile(source_keys: DataFrame, spec: TableSpec, settings: Settings) -> None:
-    """Hard deletes, which a watermark cannot see: what the source no longer has is deleted now."""
+    """Hard deletes, which a watermark cannot see: what the source no longer has is deleted now.
+
+    Key ranges that are the same on both sides are digested and not compared row by row.
+    """
     spark: SparkSession = source_keys.sparkSession
     path = settings.path("silver", f"cdc_{spec.name}")
     current = read_live(spark, path, spec)
     if current is None:
         return
-    gone = reconcile_deletes(current, source_keys, spec.keys)
+    gone = reconcile_ranges(current, source_keys, spec.keys)
     stamped = as_changes(gone.withColumn("_seen", F.current_timestamp()), "_seen", op="d").drop("_seen")
     spec.table(path, settings.merge_buckets).merge(stamped)

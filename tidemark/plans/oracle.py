@@ -351,6 +351,8 @@ WHERE o_orderkey IN (SELECT order_id FROM last_change WHERE op = 'd')""",
     ORDER_CHANGES,
     LAST_CHANGE,
 )
+ORACLE["cdc_reconcile_ranges"] = """SELECT o_orderkey AS order_id, o_custkey AS customer_id, 'd' AS _op FROM orders
+WHERE o_orderkey % 10 = 0 AND o_orderkey % 1000 < 100"""
 ORACLE["cdc_stream"] = with_views(
     f"""SELECT order_id, customer_id, status, CAST(amount AS DOUBLE) AS amount, currency,
        {moment('updated_at')} AS updated_at
