@@ -53,7 +53,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Trained weights, tokens and linear programs are no SQL; the tests hold the stages against plain Python.
+#: Trained weights, tokens and linear programs are no SQL; the tests hold the operators of the stages against plain Python.
 ORACLE_SQL = None
 
 
