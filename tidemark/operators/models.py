@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import product
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +20,9 @@ from tidemark.session import materialize
 KNN_GRID = (5, 11, 21)
 FOREST_GRID = {"trees": (200, 400), "depth": (20, 30)}
 FOLDS = 3
+# A leaf holds a share of the rows of at least one in this number, so that a tree on the driver stays bounded. Up to twice as
+# many rows that is one row, as published.
+LEAVES = 65_536
 
 
 @dataclass
@@ -54,6 +56,7 @@ def fit_forest(
         numTrees=trees,
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
+        minInstancesPerNode=max(1, features.count() // LEAVES),
         maxMemoryInMB=512,
         seed=seed,
     )
@@ -85,49 +88,27 @@ def _macro_f1(predicted: DataFrame) -> float:
     return metrics(predicted, "label", "pred").first()["f1_macro"]
 
 
-def _mean(values: Sequence[float]) -> float:
-    return sum(values) / len(values)
+def search_knn(
+    train: DataFrame, ks: Iterable[int] = KNN_GRID, folds: int = FOLDS, seed: int = 42, min_df: int = MIN_DF
+) -> tuple[dict[str, int], float]:
+    """The best k and its mean macro F1 (ties: the smallest).
 
-
-def grid_search(
-    train: DataFrame,
-    knn_ks: Iterable[int] = KNN_GRID,
-    forest_grid: dict[str, Sequence[int]] = FOREST_GRID,
-    folds: int = FOLDS,
-    seed: int = 42,
-    min_df: int = MIN_DF,
-) -> dict[str, tuple[dict[str, int], float]]:
-    """Best parameters and mean macro F1 per model.
-
-    The vocabulary is fitted anew on every fold's training part and used for all candidates of the fold;
-    neighbours are found once for the largest k, smaller k's are prefixes of the same ranking.
+    The vocabulary is fitted anew on every fold's training part; neighbours are found once for the largest k, smaller
+    k's are prefixes of the same ranking.
     """
-    ks = sorted(knn_ks)
-    forests = [dict(zip(forest_grid, values)) for values in product(*forest_grid.values())]
-    scores: dict[str, dict[tuple, list[float]]] = {"knn": {}, "random_forest": {}}
+    ks = sorted(ks)
+    scores: dict[int, list[float]] = {k: [] for k in ks}
     folded = materialize(with_folds(train, folds, seed), "folds")
     for fold in range(folds):
         fitting, held = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         featurizer = Featurizer.fit(fitting, min_df=min_df)
         truth = held.select("id", "label")
-        if ks:
-            neighbours = materialize(nearest(featurizer.sparse(held), featurizer.sparse(fitting), ks[-1]), "neighbours")
-            for k in ks:
-                predicted = knn_predictions(neighbours, fitting, k).join(truth, "id")
-                scores["knn"].setdefault((("k", k),), []).append(_macro_f1(predicted))
-        if forests:
-            fit_rows, held_rows = featurizer.features(fitting, "label"), featurizer.features(held, "label")
-            for params in forests:
-                model = fit_forest(fit_rows, seed=seed, **params)
-                scores["random_forest"].setdefault(tuple(params.items()), []).append(
-                    _macro_f1(forest_predictions(model, held_rows))
-                )
-    best = {}
-    for name, candidates in scores.items():
-        if candidates:
-            params, values = max(candidates.items(), key=lambda item: _mean(item[1]))
-            best[name] = (dict(params), _mean(values))
-    return best
+        neighbours = materialize(nearest(featurizer.sparse(held), featurizer.sparse(fitting), ks[-1]), "neighbours")
+        for k in ks:
+            scores[k].append(_macro_f1(knn_predictions(neighbours, fitting, k).join(truth, "id")))
+    means = {k: sum(values) / folds for k, values in scores.items()}
+    best = max(ks, key=means.__getitem__)
+    return {"k": best}, means[best]
 
 
 def scored_texts(predicted: DataFrame, text_col: str = "text", pred_col: str = "pred") -> DataFrame:
@@ -138,8 +119,3 @@ def scored_texts(predicted: DataFrame, text_col: str = "text", pred_col: str = "
         F.col(pred_col).cast("int").alias("label"),
         F.when(F.col(pred_col) == 1, "positive").otherwise("negative").alias("sentiment"),
     )
-
-
-def score(docs: DataFrame, featurizer: Featurizer, model: RandomForestClassificationModel) -> DataFrame:
-    features = featurizer.features(docs.select("id", "text"), "text")
-    return scored_texts(forest_predictions(model, features))

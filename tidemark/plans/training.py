@@ -5,22 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.metrics import metrics
-from tidemark.operators.models import (
-    FOREST_GRID,
-    KNN_GRID,
-    Featurizer,
-    fit_forest,
-    forest_predictions,
-    grid_search,
-    knn_predictions,
-)
+from tidemark.operators.models import FOREST_GRID, KNN_GRID, Featurizer, forest_predictions, knn_predictions, scored_texts, search_knn
 from tidemark.operators.neighbors import nearest
 from tidemark.operators.registry import CHAMPION, best_candidate, promote
 from tidemark.operators.splits import read_splits, sample_cap, stratified_split, write_splits
+from tidemark.operators.text_pipeline import score, search_forest
 from tidemark.session import materialize
 from tidemark.settings import Settings
 from tidemark.sources.tables import read_or_none, read_table
@@ -118,21 +112,20 @@ def train_classical(
     """Search both models, refit on the training split, measure, register the better one by validation F1."""
     path = settings.path("_meta", "ml_splits")
     train, val, test = (read_splits(spark, path, name).drop("split") for name in ("train", "val", "test"))
-    searched = grid_search(train, knn_ks, forest_grid, seed=settings.seed, min_df=min_df)
+    forest = search_forest(train, forest_grid, seed=settings.seed, min_df=min_df)
+    searched = {"knn": search_knn(train, knn_ks, seed=settings.seed, min_df=min_df)[0], "random_forest": forest.params}
     featurizer = Featurizer.fit(train, min_df=min_df)
     candidates = []
-    for position, (name, (params, _)) in enumerate(searched.items()):
+    for position, (name, params) in enumerate(searched.items()):
         run_id = uuid.uuid4().hex
         measured: dict[str, float | None] = {}
         if name == "random_forest":
-            model = fit_forest(featurizer.features(train, "label"), seed=settings.seed, **params)
-            model.write().overwrite().save(settings.path("_models", run_id))
+            forest.model.write().overwrite().save(settings.path("_models", run_id))
         for part, rows in (("val", val), ("test", test)):
             if name == "random_forest":
-                predicted = forest_predictions(model, featurizer.features(rows, "label"))
+                predicted = forest_predictions(forest.model, rows)
             else:
-                found = nearest(featurizer.sparse(rows), featurizer.sparse(train), params["k"])
-                predicted = knn_predictions(found, train, params["k"]).join(rows.select("id", "label"), "id")
+                predicted = _voted(rows, featurizer, train, params["k"]).join(rows.select("id", "label"), "id")
             measured |= _measured(materialize(predicted, "predicted"), part)
         log_run(spark, settings, run_id, {"model": name, **params}, measured, standard_tags(settings))
         candidates.append((position, name, run_id, measured["val_f1_macro"]))
@@ -141,3 +134,30 @@ def train_classical(
     ).first()
     featurizer.vocabulary.write.mode("overwrite").parquet(settings.path("_models", f"{chosen['run_id']}-vocabulary"))
     return chosen["name"], register_version(spark, settings, model_name, chosen["run_id"])
+
+
+def _voted(rows: DataFrame, featurizer: Featurizer, train: DataFrame, k: int) -> DataFrame:
+    return knn_predictions(nearest(featurizer.sparse(rows), featurizer.sparse(train), k), train, k)
+
+
+def champion_scores(spark: SparkSession, settings: Settings, model: str, docs: DataFrame) -> DataFrame:
+    """``docs`` (id, text) labelled by the champion as it was stored.
+
+    A forest's pipeline labels tables and streams. Neighbours are searched among the training split, which is for tables only.
+    """
+    named = current_aliases(spark, settings).filter((F.col("model") == model) & (F.col("alias") == CHAMPION)).first()
+    if named is None:
+        raise LookupError(f"no champion of {model}")
+    versions = spark.read.schema(VERSIONS_SCHEMA).parquet(settings.path("_meta", "versions"))
+    run_id = versions.filter((F.col("model") == model) & (F.col("version") == named["version"])).first()["run_id"]
+    runs = spark.read.schema(RUNS_SCHEMA).parquet(settings.path("_meta", "runs"))
+    logged = runs.filter((F.col("run_id") == run_id) & (F.col("kind") == "param")).select("name", "value")
+    params = dict(map(tuple, logged.collect()))
+    if params["model"] == "random_forest":
+        return score(docs, PipelineModel.load(settings.path("_models", run_id)))
+    if docs.isStreaming:
+        raise ValueError(f"{model}: neighbours cannot be searched for a stream")
+    vocabulary = spark.read.parquet(settings.path("_models", f"{run_id}-vocabulary"))
+    train = read_splits(spark, settings.path("_meta", "ml_splits"), "train").drop("split")
+    voted = _voted(docs, Featurizer(vocabulary, vocabulary.count()), train, int(params["k"]))
+    return scored_texts(voted.join(docs.select("id", "text"), "id"))
