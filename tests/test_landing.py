@@ -61,3 +61,37 @@ def test_files_of_one_folder_may_order_their_columns_differently(spark, tmp_path
         assert (rows[1]["Score"], rows[1]["Summary"], rows[1]["Text"]) == (5, "fine, really", "body")
         assert (rows[2]["Score"], rows[2]["Time"], rows[2]["Summary"], rows[2]["Text"]) == (2, 1700000060, "poor", "other body")
         assert rows[2]["ProductId"] is None
+
+
+def test_many_files_in_two_layouts_are_one_scan(spark, tmp_path):
+    for i in range(40):
+        folder = tmp_path / f"drop {i % 3}"
+        folder.mkdir(exist_ok=True)
+        if i % 2:
+            text = f'\ufeffText,Id,Score\n"a, ""{i}""\nb",{i},5\n"",{i + 1000},x\n'
+        else:
+            text = f"Id,ProductId,UserId,Score,Time,Summary,Text,Extra,Id\n{i},P,U,4,1700000000,s,t,e,77\n{i + 1000},P\n"
+        (folder / f"{i}.csv").write_text(text)
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("Score,Id\n")
+    df = read_reviews_csv(spark, str(tmp_path))
+    rows = {r["Id"]: r for r in df.collect()}
+    assert len(rows) == df.count() == 80
+    assert (rows[3]["Text"], rows[3]["Score"], rows[3]["ProductId"]) == ('a, "3"\nb', 5, None)
+    assert (rows[4]["ProductId"], rows[4]["Score"], rows[4]["Text"]) == ("P", 4, "t")
+    assert rows[1003]["Score"] is None and rows[1004]["ProductId"] == "P" and rows[1004]["Text"] is None
+    plan = df.filter("Id > 0")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_a_folder_without_lines_has_no_reviews(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    df = read_reviews_csv(spark, str(tmp_path))
+    assert df.columns[0] == "Id" and df.count() == 0
+
+
+def test_one_layout_needs_no_join(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(HEADER + f"{i},P,U,x,5,1700000000,s,t\n")
+    df = read_reviews_csv(spark, str(tmp_path))
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString() and df.count() == 3

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 import json
 from datetime import datetime, timezone
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.joins import join_checked
+from tidemark.session import materialize
 from tidemark.sources.tables import BATCH_COLUMN, new_batch_id, replace_batches
 
 # The published file layouts.
@@ -39,28 +41,51 @@ POST_FIELDS = T.StructType(
 )
 
 
+def file_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file that has one.
+
+    One job over the lines of the folder; of each file only the lines of its first split are looked at, and one line per
+    task and file is shuffled.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    first = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    numbered = first.filter("start = 0").select("file", "value", F.monotonically_increasing_id().alias("line"))
+    return numbered.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return next(csv.reader([header.removeprefix("\ufeff")]), [])
+
+
 def read_reviews_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Columns are taken by header name, in any order and among others; a bad number becomes NULL.
 
-    Files of one folder may differ in their headers: those of equal headers are read together. Everything is read
-    as text and cast afterwards, so one bad field never empties the whole row. Without ``multi_line`` no text may
-    hold a line break, and large files are split among tasks; with it a file is one task, so drops come in many files.
+    Files of one folder may differ in their headers. Only the distinct headers reach the driver; all files are read in one
+    scan by position, and each row finds its columns by its file's header. Of columns of one name the first counts; files
+    without a line give no rows. Everything is read as text and cast afterwards, so one bad field never empties the whole
+    row. Without ``multi_line`` no text may hold a line break, and large files are split among tasks; with it a file is one
+    task, so drops come in many files.
     """
-    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in (row["path"] for row in listed.collect()):  # names alone; each file's first line is read
-        by_header.setdefault(tuple(spark.read.options(**options).csv(file).columns), []).append(file)
-    frames = [
-        spark.read.options(**options).csv(files).select(
-            *[
-                (F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name)
-                for f in REVIEW_FIELDS
-            ]
-        )
-        for header, files in by_header.items()
-    ]
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], REVIEW_FIELDS)
+    headers = materialize(file_headers(spark, path), "headers")
+    layouts = {row["header"]: _names(row["header"]) for row in headers.select("header").distinct().collect()}
+    if not layouts:
+        return spark.createDataFrame([], REVIEW_FIELDS)
+    places = [f"_{i}" for i in range(max(map(len, layouts.values())) or 1)]
+    rows = (
+        spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"', mode="PERMISSIVE", recursiveFileLookup=True)
+        .schema(T.StructType([T.StructField(place, T.StringType()) for place in places]))
+        .csv(path)
+    )
+    if len(layouts) > 1:
+        rows = join_checked(rows.select("*", F.col("_metadata.file_path").alias("file")), headers, ["file"])
+
+    def column(name: str) -> Column:
+        found = {header: places[names.index(name)] for header, names in layouts.items() if name in names}
+        if len(layouts) == 1:
+            return F.col(*found.values()) if found else F.lit(None).cast("string")
+        return F.coalesce(*[F.when(F.col("header") == header, F.col(place)) for header, place in found.items()], F.lit(None).cast("string"))
+
+    return rows.select(*[column(f.name).try_cast(f.dataType).alias(f.name) for f in REVIEW_FIELDS])
 
 
 def read_posts_json(spark: SparkSession, path: str) -> DataFrame:
