@@ -17,7 +17,7 @@ WITH_SQL = sorted(ORACLE)
 
 def test_every_sql_belongs_to_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(QUERIES) - set(ORACLE) == {"random_forest", "knn_recall", "knn_text_recall"}
+    assert set(QUERIES) - set(ORACLE) == {"random_forest", "knn_recall", "knn_text_recall", "score_stream"}
 
 
 def test_entry(spark):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ from tidemark.operators.ranges import reconcile_ranges
 from tidemark.operators.registry import best_candidate, promote
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.splits import sample_cap, stratified_split
+from tidemark.operators.text_pipeline import TextForest, score
 from tidemark.operators.tfidf import fit_vocabulary, term_df, tfidf_weights
 from tidemark.plans.cdc_batch import as_changes
 from tidemark.plans.delivery import deliver, read_delivered
@@ -50,6 +52,7 @@ from tidemark.plans.fixtures import (
 )
 from tidemark.plans.silver import conform_posts, conform_reviews
 from tidemark.session import materialize, scratch_path
+from tidemark.sources.audited import audit, write_audited
 from tidemark.sources.incremental import extract_since, latest_watermarks, max_watermark
 from tidemark.sources.landing import normalize_posts, normalize_reviews
 from tidemark.sources.buckets import Buckets
@@ -178,16 +181,18 @@ def _silver_posts(spark, folder) -> DataFrame:
     return conform_posts(posts_src(spark, folder), ["_batch_id"])
 
 
+def _gated(spark, rows: DataFrame, rules, name: str) -> DataFrame:
+    return audit(write_audited(rows, rules, scratch_path(spark, name)), name, fail_pct=5.0).kept()
+
+
 @query("silver_reviews")
 def silver_reviews(spark, folder):
-    gated, _ = check(materialize(_silver_reviews(spark, folder)), REVIEW_RULES, "silver.reviews")
-    return gated
+    return _gated(spark, _silver_reviews(spark, folder), REVIEW_RULES, "silver.reviews")
 
 
 @query("silver_posts")
 def silver_posts(spark, folder):
-    gated, _ = check(materialize(_silver_posts(spark, folder)), POST_RULES, "silver.reddit_posts")
-    return gated
+    return _gated(spark, _silver_posts(spark, folder), POST_RULES, "silver.reddit_posts")
 
 
 @query("merge_upsert")
@@ -242,14 +247,15 @@ def dq_drop(spark, folder):
 
 @query("dq_fail_pct")
 def dq_fail_pct(spark, folder):
-    """A failing gate over a rule list: what is audited, up to and including the rule that fails."""
+    """A failing gate over a rule list, counted while the rows are written: what is audited, up to the rule that fails."""
     rules = [
         Rule("score_in_range", "score BETWEEN 1 AND 5", Action.DROP),
         Rule("good_score", "score >= 2", Action.FAIL),
         Rule("never_reached", "review_id > 0", Action.WARN),
     ]
-    results, _, failed = evaluate(reviews_src(spark, folder), rules, fail_pct=5.0)
-    return _result_frame(spark, results).withColumn("failed", F.col("rule") == F.lit(failed.rule.name if failed else None))
+    written = write_audited(reviews_src(spark, folder), rules, scratch_path(spark, "gate"), fail_pct=5.0)
+    failing = written.failed.rule.name if written.failed else None
+    return _result_frame(spark, written.tallies).withColumn("failed", F.col("rule") == F.lit(failing))
 
 
 # --- gold ----------------------------------------------------------------------------------------------
@@ -596,6 +602,20 @@ def score_projection(spark, folder):
     return scored_texts(predictions(spark, folder).select("id", "pred").join(docs, "id"))
 
 
+@query("score_stream")
+def score_stream(spark, folder):
+    """All documents as a stream, labelled by a pipeline that was fitted on the labelled ones, stored and loaded."""
+    labelled = labelled_texts(spark, folder).withColumn("text", clean_text("text"))
+    stored, inbox, out, checkpoint = (scratch_path(spark, f"scoring-{part}") for part in ("model", "inbox", "out", "checkpoint"))
+    TextForest(trees=20, depth=8).fit(labelled).write().save(stored)
+    docs = spread(spark, folder, "documents", "doc_id").select(F.col("doc_id").alias("id"), clean_text("text").alias("text"))
+    docs.write.parquet(inbox)
+    stream = spark.readStream.schema(docs.schema).parquet(inbox)
+    scored = score(stream, PipelineModel.load(stored)).writeStream.format("parquet").option("path", out)
+    scored.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query("seq_ids")
 def sequences(spark, folder):
     docs = _clean_docs(spark, folder)

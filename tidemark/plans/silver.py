@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from tidemark.functions.labels import engaged, sentiment
 from tidemark.functions.text import clean_text
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Rule, check, rejected
-from tidemark.session import materialized
+from tidemark.operators.quality import POST_RULES, REVIEW_RULES, Rule
+from tidemark.session import delete_path, scratch_path
 from tidemark.settings import Settings
+from tidemark.sources.audited import audit, write_audited
 from tidemark.sources.buckets import Buckets
 from tidemark.sources.progress import finish, stored_batches, unfinished
 from tidemark.sources.tables import BATCH_COLUMN, read_batches, rebuild
@@ -69,9 +70,8 @@ def build_silver(
 ) -> bool:
     """Merge the new bronze batches (``full``: all of them); False when there is nothing to do.
 
-    The conformed rows are written once to scratch: the rule counts and the merge then read only the
-    columns they need instead of repeating the de-duplication and the cleaning. The merge rewrites the
-    buckets of the keys that the new batches hold.
+    The conformed rows are written once to scratch and the rules are counted on the way; only the merge reads them
+    again, and only those that passed. It rewrites the buckets of the keys that the new batches hold.
     """
     conform, rules, _ = SILVER[entity]
     path = settings.path("bronze", entity)
@@ -81,19 +81,21 @@ def build_silver(
     if not batches:
         return False
     bronze = read_batches(spark, path, list(batches))
-    with materialized(conform(bronze), f"silver-{entity}") as staged:
-        kept, results = check(
-            staged,
-            rules,
-            table=f"silver.{entity}",
-            fail_pct=settings.fail_pct,
-            environment=settings.environment,
-            audit_path=settings.path("_meta", "dq_audit"),
+    staged = scratch_path(spark, f"silver-{entity}")
+    try:
+        written = audit(
+            write_audited(conform(bronze), rules, staged, settings.fail_pct),
+            f"silver.{entity}",
+            settings.fail_pct,
+            settings.environment,
+            settings.path("_meta", "dq_audit"),
         )
         table = silver_table(settings, entity)
-        table.merge(kept.withColumns({"_op": F.lit("u"), MERGED: F.lit(time.time_ns())}))
+        table.merge(written.kept().withColumns({"_op": F.lit("u"), MERGED: F.lit(time.time_ns())}))
         if quarantine:
-            rebuild(rejected(staged, rules, results), settings.path("quarantine", entity))
+            rebuild(written.rejected(), settings.path("quarantine", entity))
+    finally:
+        delete_path(spark, staged)
     finish(spark, settings, "silver", entity, batches)
     return True
 

@@ -46,6 +46,12 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if not s.isDirectory())
 
 
+def mark_complete(spark: SparkSession, path: str) -> None:
+    """What Spark does at the end of a write, for folders that are checked between write and use."""
+    target, fs = _file_system(spark, f"{path}/_SUCCESS")
+    fs.create(target, True).close()
+
+
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
     """A missing path is no data; every error in reading an existing one surfaces."""
     if not path_exists(spark, path):
