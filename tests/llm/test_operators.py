@@ -623,6 +623,19 @@ def test_top_k(spark):
     assert top_k(few, few.where("vec_id = 0"), 10).count() == 1 and top_k(frame.limit(0), frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [0.05, 30_000.0])
+def test_top_k_of_many_close_or_large_scores(spark, scale):
+    rng = random.Random(1)
+    rows = [(k, [rng.gauss(0, scale) for _ in range(16)]) for k in range(3000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {k: [int(1024 * x // 1) for x in v] for k, v in rows}
+    expected = set()
+    for q in range(0, 3000, 50):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), k) for k, v in whole.items() if k != q)
+        expected |= {(q, n, k, -s) for n, (s, k) in enumerate(scores[:10], 1)}
+    assert {tuple(r) for r in top_k(frame, frame.where("vec_id % 50 = 0"), 10).collect()} == expected
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     from compare import duckdb_rows, spark_rows

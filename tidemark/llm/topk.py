@@ -34,7 +34,10 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _scored(shared, width: int, use) -> object:
-    """A task over candidates: ``use(rows seen, ids, scores)`` for blocks of candidates against all broadcast queries."""
+    """A task over candidates: ``use(rows seen, ids, scores)`` for blocks of candidates against all broadcast queries.
+
+    Scores are computed in the number type of the queries: whole numbers of a sum below 2^53 are exact in doubles.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix, extra = shared.value
@@ -42,10 +45,9 @@ def _scored(shared, width: int, use) -> object:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows, vectors = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1), width)
+            rows, vectors = batch.column(0).to_numpy(zero_copy_only=False), _matrix(batch.column(1), width).astype(matrix.dtype)
             for at in range(0, len(rows), SCORE_ROWS):
                 block, own = vectors[at : at + SCORE_ROWS], rows[at : at + SCORE_ROWS]
-                # whole numbers of a sum below 2^53 are exact in doubles
                 scores = (matrix @ block.T).astype(np.int64)
                 yield from state.add(scores, own, ids[:, None] != own[None, :])
         yield from state.end()
@@ -79,17 +81,19 @@ class _Ranges:
 
 
 class _Histogram:
-    """Counts of each query's scores in BINS equal bins from low to high; others lie outside."""
+    """Counts of each query's scores from low to below low + span, in BINS equal bins; others lie outside."""
 
     names = ["q", "bin", "n"]
 
     def __init__(self, queries: int, extra):
-        self.low, self.width = extra
+        self.low, self.span = extra
+        self.width = -(-self.span // BINS)
         self.counts = np.zeros(queries * BINS, np.int64)
 
     def add(self, scores, own, others):
-        bins = (scores - self.low[:, None]) // self.width[:, None]
-        inside = others & (bins >= 0) & (bins < BINS)
+        # the bins together may reach beyond the span, where scores are counted as above already
+        past = scores - self.low[:, None]
+        bins, inside = past // self.width[:, None], others & (past >= 0) & (past < self.span[:, None])
         flat = (bins + BINS * np.arange(len(scores))[:, None])[inside]
         self.counts += np.bincount(flat, minlength=len(self.counts))
         return ()
@@ -144,7 +148,7 @@ def _select(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], width: int,
     span = high - low + 1
     while (span[wanted > 0] > 1).any():
         size = -(-span // BINS)
-        bins = over(_Histogram, (low, size), "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
+        bins = over(_Histogram, (low, span), "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n"))
         # the highest bin down to which the counts reach the wanted rank
         down = Window.partitionBy("q").orderBy(F.desc("bin"))
         beyond = bins.withColumn("upto", F.sum("n").over(down))
@@ -164,7 +168,7 @@ def _select(rows: DataFrame, queries: tuple[np.ndarray, np.ndarray], width: int,
             q = row["q"]
             low[q] += row["bin"] * size[q]
             above[q] += row["above"]
-            span[q] = size[q]
+            span[q] = min(size[q], span[q] - row["bin"] * size[q])
         span[wanted == 0] = 1
     found = over(_Winners, (low, wanted - above), "q long, id long, score long")
     names = rows.sparkSession.createDataFrame([(n, int(i)) for n, i in enumerate(ids)], "q long, query_id long")
@@ -181,8 +185,8 @@ def top_k(
     holds its kth value, until that is one number; a last pass keeps the scores above it and, of the ties, the
     smallest ids. A query isn't its own candidate. Vectors that are null or hold a null or non-finite component, and
     rows without an id, take no part, nor do those of another length than most vectors have (the shorter of two
-    equally frequent lengths counts) and empty ones. Repeated rows are candidates each; a query given twice is answered once. Scores must
-    stay below 2^53; larger ones raise an error.
+    equally frequent lengths counts) and empty ones. Repeated rows are candidates each; a query given twice is answered once. Scores from
+    2^53 on are computed in whole numbers; those that could reach 2^62 raise an error.
     """
     spark = rows.sparkSession
     asked = materialize(whole_vectors(queries, id_col, vector_col).distinct(), "queries")
@@ -194,8 +198,9 @@ def top_k(
     if head is None:
         return empty
     width = int(head["n"])
-    if head["norm"] ** 2 >= 2.0**53:
+    if head["norm"] ** 2 >= 2.0**62:
         raise ValueError("scores would not be exact")
+    number_type = np.float64 if head["norm"] ** 2 < 2.0**53 else np.int64
     fits = F.size("v") == width
     chunks = -(-asked.count() // chunk)
     results = None
@@ -205,7 +210,7 @@ def top_k(
             continue
         ids = some.column("id").to_numpy()
         matrix = _matrix(some.column("v").combine_chunks(), width)
-        found = _select(written.where(fits), (ids, np.ascontiguousarray(matrix)), width, k)
+        found = _select(written.where(fits), (ids, np.ascontiguousarray(matrix, dtype=number_type)), width, k)
         results = found if results is None else results.unionByName(found)
     if results is None:
         return empty
