@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from tidemark.operators import tfidf
 from tidemark.operators.models import Featurizer
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
 from tidemark.operators.tfidf import as_features, fit_vocabulary, tfidf_vectors, tfidf_weights
@@ -64,6 +65,19 @@ def test_documents_are_shuffled_once(docs):
     assert stream.count("Exchange hashpartitioning") <= 1
 
 
+def test_the_vocabulary_is_broadcast_and_texts_go_to_bounded_partitions(spark, docs, monkeypatch):
+    monkeypatch.setattr(tfidf, "PARTITION_CHARS", 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weights = tfidf_weights(docs, fit_vocabulary(docs, min_df=1))
+        plan = weights._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "REPARTITION_BY_NUM" in plan and ", 5), REP" in plan
+        assert {(r["id"], r["term"]): r["weight"] for r in weights.collect()} == pytest.approx(brute_force(1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_sequences(spark):
     docs = spark.createDataFrame([(1, "b b a, A! c"), (2, ""), (3, "a x " * 100)], "id int, text string")
     vocabulary = sequence_vocabulary(docs, size=4)

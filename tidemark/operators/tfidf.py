@@ -2,12 +2,15 @@
 
 weight = (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1), scaled to length 1 per document.
 
-Documents are distributed by id once; counting per document and scaling per document then need no
-further shuffle. Only the term statistics are exchanged, after partial aggregation.
+Documents are distributed by id once, over so many partitions that the terms of one are counted and sorted in memory;
+counting per document and scaling per document then need no further shuffle, since the vocabulary is broadcast. Only the
+term statistics are exchanged, after partial aggregation.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,11 +22,15 @@ from tidemark.session import scratch_path
 # The published vectorizer settings.
 MIN_DF = 3
 MAX_TERMS = 50_000
+# Characters of text in a partition: some 1.5 million words and pairs, a few hundred MB as rows.
+PARTITION_CHARS = 1 << 22
 
 
 def term_counts(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(id, term, tf); a document without terms keeps one row with a NULL term."""
-    placed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id")
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    placed = texts.repartition(max(1, math.ceil(chars / PARTITION_CHARS)), "id")
     tokens = placed.select("id", words("text").alias("tokens"))
     terms = tokens.select("id", F.explode_outer(unigrams_and_bigrams(F.col("tokens"))).alias("term"))
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -62,8 +69,8 @@ def fit_vocabulary(
 def tfidf_weights(
     docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, term, idx, weight). Hand in a written vocabulary: its known size lets Spark broadcast it."""
-    raw = term_counts(docs, id_col, text_col).join(vocabulary, "term").withColumn("raw", _raw_weight())
+    """(id, term, idx, weight). The vocabulary, ``MAX_TERMS`` rows or so, is broadcast; hand in a written one."""
+    raw = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary), "term").withColumn("raw", _raw_weight())
     length = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("id")))
     return raw.select("id", "term", "idx", (F.col("raw") / length).alias("weight"))
 
@@ -76,7 +83,7 @@ def tfidf_vectors(
     docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
     """(id, indices, values): one sparse row per document, also for documents without known terms."""
-    raw = term_counts(docs, id_col, text_col).join(vocabulary, "term", "left").withColumn("raw", _raw_weight())
+    raw = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary), "term", "left").withColumn("raw", _raw_weight())
     entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
     rows = raw.groupBy("id").agg(
         F.sort_array(F.collect_list(entry)).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length")
