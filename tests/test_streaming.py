@@ -165,3 +165,13 @@ def test_served_rows_are_the_newest_whatever_the_order(spark, tmp_path):
     assert files_of(tmp_path / "t") == before
     assert {(r.k, r.v) for r in table.live(spark).collect()} == {(1, "third"), (2, "tie"), (None, "keyless"), (4, "old")}
     assert {r.k for r in served(spark, table, "2024-01-31", "at", days=29).collect()} == {1, 2, None}
+
+
+def test_the_serving_query_writes_its_batches_in_several_tasks(spark, tmp_path, monkeypatch):
+    from tidemark.plans import catalog
+
+    rows = "id AS o_orderkey, id AS o_custkey, 'O' AS o_orderstatus, 1.0D AS o_totalprice, TIMESTAMP_NTZ '2001-07-01 00:00:00' AS o_orderdate"
+    spark.range(200).selectExpr(*rows.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    assert catalog.QUERIES["serving_stream"](spark, str(tmp_path)).count() == 200
+    assert len(list(tmp_path.glob("serving-inbox/*.parquet"))) > 2

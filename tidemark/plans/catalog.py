@@ -416,16 +416,16 @@ def cdc_stream(spark, folder):
 
 @query("serving_stream")
 def serving_stream(spark, folder):
-    """All versions of the orders as a stream of two file batches, the second with late ones: what is served in the end."""
+    """All versions of the orders as a stream of two batches of files, the second with late ones: what is served in the end."""
     versions = _typed(order_changes(spark, folder)).where("op <> 'd'")
     versions = versions.select("order_id", "customer_id", "status", F.col("amount").cast("double").alias("amount"), "updated_at", "lsn")
     inbox, checkpoint = scratch_path(spark, "serving-inbox"), scratch_path(spark, "serving-checkpoint")
     late = F.pmod(F.xxhash64("lsn"), F.lit(2)) == 0
-    versions.where(~late).coalesce(1).write.mode("append").parquet(inbox)
+    versions.where(~late).write.mode("append").parquet(inbox)
     table = Buckets(scratch_path(spark, "serving-table"), ["order_id"], ["updated_at", "lsn"])
     for rows in (None, versions.where(late)):
         if rows is not None:
-            rows.coalesce(1).write.mode("append").parquet(inbox)
+            rows.write.mode("append").parquet(inbox)
         stream = spark.readStream.schema(versions.schema).parquet(inbox)
         start_serving(stream, table, checkpoint, once=True).awaitTermination()
     columns = [F.date_trunc("millisecond", c).alias(c) if c == "updated_at" else F.col(c) for c in versions.columns if c != "lsn"]
