@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_neighbors import brute_force, found, frame
 from tidemark.operators.approximate import Index, _codes, _crossings, _sides, fit_index, nearest_approximate, recall_rows
-from tidemark.operators.neighbors import nearest
+from tidemark.operators.neighbors import TASKS_PER_CORE, _flat, _products, best_met, nearest
 
 
 @pytest.fixture(scope="module")
@@ -74,3 +75,31 @@ def test_nulls_empties_repeats_and_zero_vectors(spark):
     assert len(got[11]) == 2 and all(s == 0.0 for _, s in got[11])
     nothing = spark.createDataFrame([], schema)
     assert nearest_approximate(asked, nothing, 2).count() == 0 and nearest_approximate(nothing, asked, 2).count() == 0
+
+
+def test_no_vector_is_sent_to_the_blocks_and_chunks_it_meets(spark, clustered):
+    asked, known = (frame(spark, rows) for rows in clustered)
+    for got in (nearest(asked, known, 7, block_rows=40, chunk_rows=7), nearest_approximate(asked, known, 7, block_rows=40, chunk_rows=7)):
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "CoGroup" not in plan and "Join" not in plan
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    met = best_met(asked.withColumnRenamed("id", "query_id"), known.repartition(3 * tasks), 7, block_rows=40, chunk_rows=7)
+    assert met.count() <= tasks * 60 * 7
+
+
+def test_queries_come_in_chunks_of_bounded_size(spark, clustered, monkeypatch):
+    asked, known = (frame(spark, rows) for rows in clustered)
+    whole = found(nearest(asked, known, 7))
+    monkeypatch.setattr("tidemark.operators.neighbors.QUERY_ROWS", 13)
+    assert found(nearest(asked, known, 7)) == whole
+
+
+def test_products_of_frequent_and_rare_terms(monkeypatch):
+    rng = np.random.default_rng(2)
+    dense = [np.where(rng.random((n, 50)) < np.linspace(0.01, 0.6, 50), rng.random((n, 50)), 0) for n in (30, 40)]
+    sides = [pd.DataFrame({"indices": [np.flatnonzero(r) for r in rows], "values": [r[r > 0] for r in rows]}) for rows in dense]
+    units = [rows / np.where(n := np.linalg.norm(rows, axis=1, keepdims=True), n, 1) for rows in dense]
+    for share in (0.0, 0.05, 1.0):
+        monkeypatch.setattr("tidemark.operators.neighbors.DENSE_SHARE", share)
+        monkeypatch.setattr("tidemark.operators.neighbors.PRODUCTS", 50)
+        assert _products(_flat(sides[0]), _flat(sides[1]), (30, 40)) == pytest.approx(units[0] @ units[1].T)

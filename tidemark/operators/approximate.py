@@ -5,9 +5,9 @@ table; a query visits its own bucket and those that differ on the planes it lies
 and probes is fitted on a bounded sample: the cheapest setting that finds ``recall`` of the sample's true neighbours. A
 sample's neighbours lie farther off than those among all rows, so that the whole table is no harder.
 
-Buckets of any size are cut into blocks and their visitors into chunks, as in the exact operator. Equal vectors count
-once, with the k smallest ids they have, so copies fill no bucket. Queries that meet fewer than k candidates are
-answered exactly.
+Candidates stay where they are read, with the codes of their buckets beside them, and meet the queries as in the exact
+operator. Equal vectors count once, with the k smallest ids they have, so copies fill no bucket. Queries that meet fewer
+than k candidates are answered exactly.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import join_checked
-from tidemark.operators.neighbors import BLOCK_ROWS, CHUNK_ROWS, _best_of_block, _ddl, _matrices, nearest
+from tidemark.operators.neighbors import BLOCK_ROWS, CHUNK_ROWS, _ddl, _flat, _products, _unit_rows, best_met, nearest
 from tidemark.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -124,10 +123,8 @@ def fit_index(queries: DataFrame, candidates: DataFrame, k: int, recall: float =
     everything = Index(1, MIN_PLANES, 1 << MIN_PLANES)
     if not len(known) or not len(asked):
         return everything
-    left, right = _matrices(asked, known)
-    lengths = (np.sqrt((side * side).sum(axis=1)) for side in (left, right))
-    left, right = (side / np.where(length > 0, length, 1)[:, None] for side, length in zip((left, right), lengths))
-    true = np.argsort(-(left @ right.T), axis=1, kind="stable")[:, :k]
+    left, right = ((_flat(side) if "indices" in side.columns else _unit_rows(side["values"])[0]) for side in (asked, known))
+    true = np.argsort(-_products(left, right, (len(asked), len(known))), axis=1, kind="stable")[:, :k]
     planes_for_all = int(np.clip(np.log2(max(candidates.count() / BUCKET_ROWS, 1)), MIN_PLANES, MAX_PLANES))
     best, cheapest = everything, 1.0
     for planes in range(MIN_PLANES, planes_for_all + 1):
@@ -140,8 +137,8 @@ def fit_index(queries: DataFrame, candidates: DataFrame, k: int, recall: float =
     return best
 
 
-def _hashed(rows: DataFrame, index: Index, codes_of: str) -> DataFrame:
-    """A row for each table and code."""
+def _hashed(rows: DataFrame, index: Index, codes_of: str, name: str) -> DataFrame:
+    """Rows with the list of their tables and codes, each pair as one number."""
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -150,13 +147,9 @@ def _hashed(rows: DataFrame, index: Index, codes_of: str) -> DataFrame:
                 codes = getattr(index, codes_of)(part)
                 table = np.broadcast_to(np.arange(index.tables)[:, None], codes.shape[1:])
                 places = (table.ravel() << index.planes) + codes.reshape(len(part), -1)
-                yield part.assign(_places=list(places))
+                yield part.assign(**{name: list(places)})
 
-    return (
-        rows.mapInPandas(add, _ddl(rows) + ", _places array<bigint>")
-        .withColumn("_bucket", F.explode("_places"))
-        .drop("_places")
-    )
+    return rows.mapInPandas(add, f"{_ddl(rows)}, {name} array<bigint>")
 
 
 def _usable(rows: DataFrame, vector: list[str]) -> DataFrame:
@@ -186,30 +179,17 @@ def nearest_approximate(
     vector = ["indices", "values"] if "indices" in candidates.columns else ["values"]
     known = _usable(candidates, vector)
     alike = Window.partitionBy(*vector).orderBy("id")
-    known = known.withColumn("_copy", F.row_number().over(alike)).filter(F.col("_copy") <= k).drop("_copy")
-    known, asked = materialize(known, "candidates"), materialize(_usable(queries, vector), "queries")
-    index = index or fit_index(asked, known, k, recall)
-
-    homes = materialize(_hashed(known, index, "homes"), "homes")
-    visits = materialize(_hashed(asked, index, "visits").withColumnRenamed("id", "query_id"), "visits")
-    blocks = homes.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("_blocks"))
-    chunks = visits.groupBy("_bucket").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).alias("_chunks"))
-    # Buckets that nobody visits are left out on both sides.
-    sizes = materialize(blocks.join(chunks, "_bucket"), "sizes")
-    parts = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
-    part = lambda key, count: F.pmod(F.xxhash64(key), F.col(count))
-    place = ["_bucket", "_block", "_chunk"]
-    stored = join_checked(homes, sizes, ["_bucket"]).select(
-        "id", *vector, "_bucket", part("id", "_blocks").alias("_block"), parts("_chunks").alias("_chunk")
-    )
-    asking = join_checked(visits, sizes, ["_bucket"]).select(
-        "query_id", *vector, "_bucket", parts("_blocks").alias("_block"), part("query_id", "_chunks").alias("_chunk")
-    )
-    id_type, query_type = known.schema["id"].dataType.simpleString(), asked.schema["id"].dataType.simpleString()
+    again = F.coalesce(F.lag("id").over(alike) == F.col("id"), F.lit(False))
+    numbered = known.withColumns({"_copy": F.row_number().over(alike), "_again": again})
+    known = materialize(numbered.filter(F.col("_copy") <= k).drop("_copy"), "candidates")
+    asked = materialize(_usable(queries, vector), "queries")
+    index = index or fit_index(asked, known.drop("_again"), k, recall)
+
+    # a candidate given several times is met once
+    homes = _hashed(known.filter(~F.col("_again")).drop("_again"), index, "homes", "_homes")
+    visits = _hashed(asked, index, "visits", "_visits").withColumnRenamed("id", "query_id")
     met = (
-        asking.groupBy(*place)
-        .cogroup(stored.groupBy(*place))
-        .applyInPandas(_best_of_block(k), f"query_id {query_type}, id {id_type}, similarity double")
+        best_met(visits, materialize(homes, "homes"), k, block_rows, chunk_rows)
         .groupBy("query_id", "id")
         .agg(F.max("similarity").alias("similarity"))
     )
