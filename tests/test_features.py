@@ -3,12 +3,13 @@ from __future__ import annotations
 import math
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from tidemark.operators import tfidf
 from tidemark.operators.models import Featurizer
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
-from tidemark.operators.tfidf import as_features, fit_vocabulary, tfidf_vectors, tfidf_weights
+from tidemark.operators.tfidf import _term_sums, as_features, fit_vocabulary, term_df, tfidf_vectors, tfidf_weights
 
 TEXTS = {1: "red fish blue fish", 2: "red bird", 3: "blue bird red bird", 4: "", 5: "zebra"}
 
@@ -89,3 +90,17 @@ def test_sequences(spark):
 def test_equal_counts_go_in_reverse_word_order(spark):
     docs = spark.createDataFrame([(1, "a b c")], "id int, text string")
     assert [r["word"] for r in sequence_vocabulary(docs).orderBy("word_id").collect()] == ["c", "b", "a"]
+
+
+def test_terms_are_added_up_before_spark_sees_a_row_of_them(spark, monkeypatch):
+    texts = [(1, "ab cd ab cd"), (2, None), (3, ""), (4, "cd"), (5, "ab cd"), (6, "x")]
+    docs = spark.createDataFrame(texts, "id int, text string").repartition(1)
+    assert "Generate" not in term_df(docs)._jdf.queryExecution().optimizedPlan().toString()
+    for words_at_a_time in (1, 3, 1 << 20):
+        monkeypatch.setattr("tidemark.operators.tfidf.COUNTED_WORDS", words_at_a_time)
+        rows = {r["term"]: (r["df"], r["total"]) for r in term_df(docs, min_df=2).collect()}
+        assert rows == {"ab": (2, 3), "cd": (3, 4), "ab cd": (2, 3)}
+    many = pa.array([["ab", "cd", "ab"], None, ["cd"]], pa.list_(pa.string()))
+    assert {t: (d, n) for t, d, n in zip(*(c.to_pylist() for c in _term_sums(many).columns))} == {
+        "ab": (1, 2), "cd": (2, 2), "ab cd": (1, 1), "cd ab": (1, 1),
+    }

@@ -10,7 +10,13 @@ term statistics are exchanged, after partial aggregation.
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,11 +25,16 @@ from pyspark.sql import types as T
 from tidemark.functions.text import unigrams_and_bigrams, words
 from tidemark.session import scratch_path
 
+# The counting function travels with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The published vectorizer settings.
 MIN_DF = 3
 MAX_TERMS = 50_000
 # Characters of text in a partition: some 1.5 million words and pairs, a few hundred MB as rows.
 PARTITION_CHARS = 1 << 22
+# Words whose terms are counted at a time in a task, but for a longer document.
+COUNTED_WORDS = 1 << 20
 
 
 def term_counts(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -36,20 +47,50 @@ def term_counts(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _term_sums(docs: pa.ListArray) -> pa.RecordBatch:
+    """(term, df, total) over documents, given as their lists of words."""
+    coded = docs.flatten().dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    lengths = pc.fill_null(pc.list_value_length(docs), 0).to_numpy().astype(np.int64)
+    lengths = lengths[lengths > 0]
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    inside = owner[1:] == owner[:-1]
+    # words by their codes, pairs behind them
+    keys = np.concatenate([codes, len(words) + codes[:-1][inside] * len(words) + codes[1:][inside]])
+    own, used = max(len(lengths), 1), None
+    if (len(words) + 1) ** 2 * own >= 1 << 63:
+        used, keys = np.unique(keys, return_inverse=True)
+    each = np.sort(keys * own + np.concatenate([owner, owner[:-1][inside]]))
+    key = each // own
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    df = np.add.reduceat(np.diff(each, prepend=-1) != 0, starts, dtype=np.int64) if len(starts) else starts
+    key = key[starts] if used is None else used[key[starts]]
+    pair = key[np.searchsorted(key, len(words)) :] - len(words)
+    size = max(len(words), 1)
+    pairs = pc.binary_join_element_wise(words.take(pa.array(pair // size)), words.take(pa.array(pair % size)), " ")
+    terms = pa.concat_arrays([words.take(pa.array(key[: len(key) - len(pair)])), pairs])
+    total = np.diff(starts, append=len(each))
+    return pa.RecordBatch.from_arrays([terms, pa.array(df), pa.array(total)], ["term", "df", "total"])
+
+
+def _term_sums_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        docs = batch.column(0)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(docs), 0).to_numpy().astype(np.int64))
+        cuts = np.flatnonzero(np.diff(ends // COUNTED_WORDS)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(docs)]):
+            if end > start:
+                yield _term_sums(docs.slice(start, end - start))
+
+
 def term_df(docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df: int = MIN_DF) -> DataFrame:
     """(term, df, total) of the terms in at least ``min_df`` documents; a row of ``docs`` is a document.
 
-    One pass over the texts: every row adds 1 to df for each of its distinct terms and to total for each term, and
-    only those sums, added up before the exchange, are shuffled.
+    One pass over the texts: words are found by expressions, the terms of a bounded number of words are numbered, sorted and
+    added up in Arrow batches, and only those sums, added up again before the exchange, are shuffled.
     """
-    tokens = docs.select(words(text_col).alias("tokens"))
-    terms = tokens.select(unigrams_and_bigrams(F.col("tokens")).alias("terms"))
-
-    def adds(df: int, total: int):
-        return lambda term: F.struct(term.alias("term"), F.lit(df).alias("df"), F.lit(total).alias("total"))
-
-    both = F.concat(F.transform(F.array_distinct("terms"), adds(1, 0)), F.transform("terms", adds(0, 1)))
-    stats = terms.select(F.explode(both).alias("one")).select("one.*").groupBy("term")
+    sums = docs.select(words(text_col).alias("tokens")).mapInArrow(_term_sums_of_batches, "term string, df long, total long")
+    stats = sums.groupBy("term")
     return stats.agg(F.sum("df").alias("df"), F.sum("total").alias("total")).filter(F.col("df") >= min_df)
 
 
