@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -15,7 +16,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.alignment import align_corpus
+from tidemark.llm.alignment import align_corpus, aligner
 from tidemark.llm.catalog import QUERIES
 from tidemark.llm.language import codewords, gram_shares, identify, learned_rows, train
 from tidemark.llm.periods import find_runs, runs_of
@@ -276,3 +277,20 @@ def test_language_of_odd_tables(spark, docs, nothing):
     assert identify(nothing, train(learned_rows(docs))).count() == 0
     single = train(learned_rows(docs.where("lang = 'de'")))
     assert {r.lang_pred for r in identify(docs, single).collect()} == {"de", "und"}
+
+
+def test_alignment_takes_no_python_step_for_each_new_word():
+    from pathlib import Path
+
+    import public_tokenizers
+
+    described = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    align = aligner(described, Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes())
+    rng, calls = random.Random(4), []
+    text = " ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(3000))
+    sys.setprofile(lambda frame, event, _: calls.append(event) if event == "call" else None)
+    try:
+        found = align.document(text)
+    finally:
+        sys.setprofile(None)
+    assert found[2] >= 1000 and found[3].count(b"|") == found[2] and len(calls) < 500

@@ -18,10 +18,6 @@ from tidemark.llm.common import table
 from tidemark.llm.packing import BYTE_LEVEL, PATTERN, byte_letters
 from tidemark.session import materialize
 
-#: Windows in each of the two halves of a task's memo: when the new half is full, the old one goes.
-MEMO = 150_000
-#: Windows of more tokens are aligned each time.
-MEMO_TOKENS = 64
 #: Pairs with at least this share of all links are broadcast: there are at most 2^18 such pairs, whatever the corpus.
 HEAVY_SHARE = 2.0**-18
 #: An id pair as one number.
@@ -68,105 +64,52 @@ class Pieces:
 
 
 class _Bytes:
-    """Bytes, byte counts and space marks of ids."""
+    """Bytes and byte counts of ids."""
 
     def __init__(self, tokens: dict[int, bytes]):
-        size = max(tokens) + 1
-        self.tokens = [tokens.get(k, b"") for k in range(size)]
-        self.sizes, self.names = [len(t) for t in self.tokens], [str(k) for k in range(size)]
-        self.lengths = np.array(self.sizes, np.int64)
-        self.spaced = np.array([t.startswith(b" ") for t in self.tokens])
+        self.tokens = [tokens.get(k, b"") for k in range(max(tokens) + 1)]
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
 
-    def joined(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
-@lru_cache(maxsize=1)
-def both(described: str, model: bytes) -> tuple[ByteLevel, Pieces]:
-    return ByteLevel(described), Pieces(model)
-
-
-def align(a: list[int], b: list[int], a_table: _Bytes, b_table: _Bytes) -> tuple[str, list[int]]:
-    """(groups as text, pairs) of the tokens over the same bytes: a new group starts where a token of each ends."""
-    a_names, b_names = list(map(a_table.names.__getitem__, a)), list(map(b_table.names.__getitem__, b))
-    if len(a) == 1:  # no inner end is shared
-        high = a[0] * SHIFT
-        return a_names[0] + "|" + ",".join(b_names), [high + j for j in b]
-    if len(b) == 1:
-        return ",".join(a_names) + "|" + b_names[0], [i * SHIFT + b[0] for i in a]
-    a_sizes, b_sizes = list(map(a_table.sizes.__getitem__, a)), list(map(b_table.sizes.__getitem__, b))
-    groups, pairs = [], []
-    i = j = first_a = first_b = ahead = 0  # ahead: how far A's tokens reach beyond B's
-    while True:
-        if ahead == 0:
-            if i:
-                groups.append(",".join(a_names[first_a:i]) + "|" + ",".join(b_names[first_b:j]))
-                if i == len(a):
-                    return ";".join(groups), pairs
-                first_a, first_b = i, j
-            pairs.append(a[i] * SHIFT + b[j])
-            ahead = a_sizes[i] - b_sizes[j]
-            i += 1
-            j += 1
-        elif ahead < 0:
-            pairs.append(a[i] * SHIFT + b[j - 1])
-            ahead += a_sizes[i]
-            i += 1
-        else:
-            pairs.append(a[i - 1] * SHIFT + b[j])
-            ahead -= b_sizes[j]
-            j += 1
+    def joined(self, ids: np.ndarray) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 class Aligner:
-    """Aligns whole texts window by window and remembers windows by their ids."""
+    """Aligns the tokens of whole texts by the places where they end."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
-        self.memo: dict[tuple[bytes, bytes], tuple[str, bytes, bytes]] = {}
-        self.older = self.memo
-
-    def _window(self, key: tuple[bytes, bytes]) -> tuple[str, bytes, bytes]:
-        """(groups, pairs, bytes) of a window; no bytes where the tokens of both don't spell the same."""
-        found = self.older.get(key)
-        if not found:
-            a, b = (memoryview(part).cast("I").tolist() for part in key)
-            data = self.a.table.joined(a)
-            if data != self.b.table.joined(b):
-                return "", b"", b""
-            groups, pairs = align(a, b, self.a.table, self.b.table)
-            found = groups, array("q", pairs).tobytes(), data
-        if len(key[0]) + len(key[1]) <= 4 * MEMO_TOKENS:
-            if len(self.memo) >= MEMO:
-                self.memo, self.older = {}, self.memo
-            self.memo[key] = found
-        return found
-
-    def windows(self, ids_a: bytes, ids_b: bytes) -> list[tuple[bytes, bytes]]:
-        """Cuts the tokens where one with a space mark starts in both, and so where the tokens before end together."""
-        a, b = np.frombuffer(ids_a, "<u4"), np.frombuffer(ids_b, "<u4")
-        ends_a, ends_b = np.cumsum(self.a.table.lengths[a]), np.cumsum(self.b.table.lengths[b])
-        marked_a, marked_b = np.flatnonzero(self.a.table.spaced[a[1:]]), np.flatnonzero(self.b.table.spaced[b[1:]])
-        _, at_a, at_b = np.intersect1d(ends_a[marked_a], ends_b[marked_b], assume_unique=True, return_indices=True)
-        cuts_a = [0, *(4 * (marked_a[at_a] + 1)).tolist(), len(ids_a)]
-        cuts_b = [0, *(4 * (marked_b[at_b] + 1)).tolist(), len(ids_b)]
-        return [
-            (ids_a[i:k], ids_b[j:m]) for i, k, j, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-        ]
-
-    def document(self, text: str | None) -> tuple[int, int, str, np.ndarray] | None:
-        """(n_a, n_b, groups as text, pair of each link); None for an empty text, or where bytes aren't a space and the text."""
+        # ids as they are told, each followed by its mark: inside a group, at the end of A's tokens, at the end of B's
+        names = range(max(len(a.table.tokens), len(b.table.tokens)))
+        self.told = [f"{k}{mark}".encode() for k in names for mark in ",|;"]
+
+    def document(self, text: str | None) -> tuple[int, int, int, bytes, np.ndarray] | None:
+        """(n_a, n_b, n_groups, groups as text, pair of each link); None for an empty text, or where bytes aren't a space and the text."""
         if not text:
             return None
-        a, b = self.a.ids(text), self.b.ids(text)
-        if not b:
+        a, b = np.frombuffer(self.a.ids(text), "<u4"), np.frombuffer(self.b.ids(text), "<u4")
+        data = b" " + text.encode()
+        if not len(b) or self.a.table.joined(a) != data or self.b.table.joined(b) != data:
             return None
-        aligned = [self.memo.get(key) or self._window(key) for key in self.windows(a, b)]
-        # the windows' bytes are those of both
-        if b"".join([data for _, _, data in aligned]) != b" " + text.encode():
-            return None
-        pairs = np.frombuffer(b"".join([pairs for _, pairs, _ in aligned]), np.int64)
-        return len(a) // 4, len(b) // 4, ";".join([groups for groups, _, _ in aligned]), pairs
+        a, b = a.astype(np.int64), b.astype(np.int64)
+        ends_a, ends_b = np.cumsum(self.a.table.lengths[a]), np.cumsum(self.b.table.lengths[b])
+        # the token of each side that holds the other side's last byte, and whether it ends there too: a group's end
+        over_a, over_b = np.searchsorted(ends_b, ends_a), np.searchsorted(ends_a, ends_b)
+        closes_a, closes_b = ends_b[over_a] == ends_a, ends_a[over_b] == ends_b
+        # a link ends where a token of either side does, once where both do
+        links_a, links_b = a * SHIFT + b[over_a], (a[over_b] * SHIFT + b)[~closes_b]
+        last_a, last_b = np.flatnonzero(closes_a) + 1, np.flatnonzero(closes_b) + 1
+        before_a, before_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        told = np.empty(len(a) + len(b), np.int64)
+        told[np.arange(len(a)) + np.concatenate([[0], last_b])[before_a]] = 3 * a + closes_a
+        told[np.arange(len(b)) + last_a[before_b]] = 3 * b + 2 * closes_b
+        groups = b"".join(map(self.told.__getitem__, told.tolist()))[:-1]
+        return len(a), len(b), len(last_a), groups, np.concatenate([links_a, links_b])
+
+
+@lru_cache(maxsize=1)
+def aligner(described: str, model: bytes) -> Aligner:
+    return Aligner(ByteLevel(described), Pieces(model))
 
 
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<int>"
@@ -183,18 +126,18 @@ def aligned_texts(docs: DataFrame, described: str, model: bytes, id_col: str = "
     names = [part.split()[0] for part in ALIGNED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(*both(*shared.value))
+        align = aligner(*shared.value)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = aligner.document(text)
+                found = align.document(text)
                 if found is None:
                     rows.append((doc, 0, 0, 0, 0, "", [], []))
                     continue
-                n_a, n_b, groups, links = found
+                n_a, n_b, n_groups, groups, links = found
                 pairs, times = np.unique(links, return_counts=True)
-                told = hashlib.sha256(groups.encode()).hexdigest() if digest else groups
-                rows.append((doc, n_a, n_b, groups.count(";") + 1, len(links), told, pairs, times.astype(np.int32)))
+                told = hashlib.sha256(groups).hexdigest() if digest else groups.decode()
+                rows.append((doc, n_a, n_b, n_groups, len(links), told, pairs, times.astype(np.int32)))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
 
@@ -260,8 +203,7 @@ def align_corpus(
     """One row for each of ``docs``: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and ``groups``.
 
     A (a byte-level BPE file) encodes a space and the text, B (a sentence-piece model) the text, to which it adds that
-    space; both without special tokens. The token lists are cut where a token with a space mark starts in both; each
-    window is aligned once per task and remembered by its ids. A link is a pair of an A and a B token with bytes in common. Its
+    space; both without special tokens. The places where tokens end are searched in those of the other side. A link is a pair of an A and a B token with bytes in common. Its
     count is how many links of the whole corpus have the same ids; ``n_best`` are the links whose count is the highest
     of their B id, ties included, ``count_sum`` adds up the counts.
 
