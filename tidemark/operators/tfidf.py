@@ -34,7 +34,7 @@ MAX_TERMS = 50_000
 # Characters of text in a partition: some 1.5 million words and pairs, a few hundred MB as rows.
 PARTITION_CHARS = 1 << 22
 # Words whose terms are counted at a time in a task, but for a longer document.
-COUNTED_WORDS = 1 << 20
+COUNTED_WORDS = 1 << 18
 
 
 def term_counts(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
