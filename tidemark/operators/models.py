@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.labels import SCORED_TEXT_LENGTH, seeded_hash
+from tidemark.operators.forest import ForestModel, grow_forest
 from tidemark.operators.metrics import metrics
 from tidemark.operators.neighbors import knn_vote, nearest
 from tidemark.operators.tfidf import MAX_TERMS, MIN_DF, as_features, fit_vocabulary, tfidf_vectors
@@ -47,24 +47,11 @@ class Featurizer:
         return as_features(rows, self.size, *carried)
 
 
-def fit_forest(
-    features: DataFrame, trees: int = 200, depth: int = 30, seed: int = 42, label_col: str = "label"
-) -> RandomForestClassificationModel:
-    forest = RandomForestClassifier(
-        labelCol=label_col,
-        featuresCol="features",
-        numTrees=trees,
-        maxDepth=depth,
-        featureSubsetStrategy="sqrt",
-        minInstancesPerNode=max(1, features.count() // LEAVES),
-        maxMemoryInMB=512,
-        seed=seed,
-    )
-    # The copy leaves the training summary behind, whose session reference cannot go to executors.
-    return forest.fit(features).copy()
+def fit_forest(features: DataFrame, trees: int = 200, depth: int = 30, seed: int = 42, label_col: str = "label") -> ForestModel:
+    return ForestModel(grow_forest(features, trees, depth, seed, label_col, max(1, features.count() // LEAVES)), trees)
 
 
-def forest_predictions(model: RandomForestClassificationModel, features: DataFrame) -> DataFrame:
+def forest_predictions(model: ForestModel, features: DataFrame) -> DataFrame:
     scored = model.transform(features)
     return scored.withColumns(
         {"pred": F.col("prediction").cast("int"), "proba": vector_to_array("probability")[1]}
