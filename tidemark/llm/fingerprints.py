@@ -14,7 +14,7 @@ TABLES, CELLS = 3, 8
 #: Peeling steps before a sketch counts as failed, and how often a failed one is retried larger.
 ROUNDS, RETRIES = 6, 4
 #: A retry has a sketch for each so many digests that differ; it deals in coarse parts first, and in at most so many at a time.
-LOAD, COARSE, PARTS = 4, 24, 64
+LOAD, COARSE, PARTS = 1, 64, 64
 #: Documents of neighbouring ids that are shuffled together.
 NEIGHBOURS = 256
 #: Paragraphs are lines, and in them sentences or fields, cut after their marks.
@@ -47,9 +47,11 @@ def _cut(units: Column, between: str, every: int, piece: str) -> Column:
 
 def _cut_words(sentence: Column) -> Column:
     piece = rf"(?:\S++\s*+){{1,{MOST * WORDS}}}"
-    return let(F.split(F.trim(sentence), r"\s+"), lambda units: F.when(
+    cut = let(F.split(F.trim(sentence), r"\s+"), lambda units: F.when(
         F.size(units) > MOST * WORDS, _cut(units, " ", WORDS, piece)
     ).otherwise(F.array(sentence)))
+    # shorter ones cannot hold so many words, even with an empty one at either end, and are not split
+    return F.when(F.length(sentence) < 2 * MOST * WORDS - 2, F.array(sentence)).otherwise(cut)
 
 
 def _cut_characters(text: Column) -> Column:
@@ -209,11 +211,35 @@ def _parts(load: int, most: int, shift: int) -> Callable[[Column], Column]:
 
 
 def _tries(level: int) -> Callable[[Column], Column]:
-    """A part with its larger sketch peeled: signed digests add up to the difference of both versions' sketches."""
+    """A part with its larger sketch peeled: signed digests add up to the difference of both versions' sketches.
+
+    The sketch's first subtable is read first: where each of its cells is empty or holds one digest, all are found, and
+    the other subtables are not made.
+    """
+    zero = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+
+    def add(now: Column, k: Column) -> Column:
+        return _cell(now["n"] + k["n"], now["key"].bitwiseXOR(k["key"]), now["check"].bitwiseXOR(F.xxhash64(k["key"])))
 
     def tries(part: Column) -> Column:
-        signed = F.transform(part["keys"], lambda k: F.struct(k["n"].alias("n"), _placed(k["key"], level).alias("d")))
-        return F.struct(part["keys"].alias("keys"), peel(_cells(signed), level).alias("p"))
+        keys = part["keys"]
+        subtable = F.transform(
+            F.sequence(F.lit(0), F.lit(CELLS - 1)),
+            lambda cell: F.aggregate(
+                F.filter(keys, lambda k: F.shiftrightunsigned(k["key"], 9 * level).bitwiseAND(F.lit(CELLS - 1)) == cell), zero, add
+            ),
+        )
+
+        def read(cells: Column) -> Column:
+            held = F.filter(cells, lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))
+            several = F.exists(held, lambda c: (F.abs(c["n"]) != 1) | (c["check"] != F.xxhash64(c["key"])))
+            signed = F.transform(keys, lambda k: F.struct(k["n"].alias("n"), _placed(k["key"], level).alias("d")))
+            found = F.transform(held, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))
+            return F.when(several, peel(_cells(signed), level)).otherwise(
+                F.struct(F.lit(False).alias("failed"), found.alias("found"))
+            )
+
+        return F.struct(keys.alias("keys"), let(subtable, read).alias("p"))
 
     return tries
 
@@ -276,9 +302,12 @@ def as_text(cells: Column) -> Column:
     return F.lower(F.array_join(F.transform(cells, lambda c: F.concat(wide(c["n"].cast("bigint"), 4), wide(c["key"], 16), wide(c["check"], 8))), ""))
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
+def with_next_text(docs: DataFrame, **derived: Column) -> DataFrame:
     """``docs`` (_id, _th, text, ...) with ``next_text``: that of the next document by (_id, _th), the first after the last.
 
+    ``derived`` columns are worked out once for each row, after the shuffle, from the text or the ones before, and given for
+    the text and as ``next_...`` for the next one.
+
     Documents are shuffled once, by blocks of neighbouring ids, as wide as leaves about NEIGHBOURS rows in each however
     sparse ids are; rows without an id are dealt over blocks of their own by their text's hash. Only the first text of each
     block is sent to the block before it; blocks find their successors within spans of 2^16 blocks, and spans in a list
@@ -309,9 +338,19 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     names = names.join(spans, names._span == spans._s).select(F.col("_block").alias("_b"), F.coalesce("_next", "_after").alias("_next"))
     following = names.join(spanned.select(F.col("_block").alias("_n"), "_head"), F.col("_next") == F.col("_n")).select("_b", "_head")
     near = Window.partitionBy("_block").orderBy("_id", "_th")
-    marked = blocks.withColumns({"_lead": F.lead("text").over(near), "_last": F.lead("_id").over(near).isNull()})
-    joined = marked.join(following, (F.col("_block") == F.col("_b")) & F.col("_last"), "left")
-    return joined.withColumn("next_text", F.coalesce("_lead", "_head")).drop("_block", "_lead", "_last", "_b", "_head")
+    carried = ["text", *derived]
+
+    def enlarged(df: DataFrame) -> DataFrame:
+        for name, of in derived.items():
+            df = df.withColumn(name, of)
+        return df
+
+    placed = enlarged(blocks.repartition("_block")) if derived else blocks
+    marked = placed.withColumns({"_lead": F.lead(F.struct(*carried)).over(near), "_last": F.lead("_id").over(near).isNull()})
+    heads = enlarged(following.select("_b", F.col("_head").alias("text"))).select("_b", F.struct(*carried).alias("_head"))
+    joined = marked.join(heads, (F.col("_block") == F.col("_b")) & F.col("_last"), "left")
+    after = F.coalesce("_lead", "_head")
+    return joined.withColumns({f"next_{name}": after[name] for name in carried}).drop("_block", "_lead", "_last", "_b", "_head")
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -332,7 +371,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     n = F.length("text").cast("long")
     cut = F.floor(n / 4).cast("int")
-    paired = with_next_text(rows).withColumn("n_chars", n)
+    paired = with_next_text(rows, own=digests(F.col("text")), own_cells=sketch(F.col("own"))).withColumn("n_chars", n)
     paired = paired.withColumn(
         "edited", F.concat(F.substring("text", F.lit(1), F.length("text") - cut), F.substring("next_text", F.lit(1), cut))
     )
@@ -340,11 +379,13 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("own"),
+        "own",
         digests(F.col("edited")).alias("new"),
-        digests(F.col("next_text")).alias("other"),
+        F.col("next_own").alias("other"),
+        "own_cells",
+        F.col("next_own_cells").alias("other_cells"),
     )
-    sets = sets.withColumns({f"{name}_cells": sketch(F.col(name)) for name in ("own", "new", "other")})
+    sets = sets.withColumn("new_cells", sketch(F.col("new")))
     sets = _difference(sets, "own", "new", "own_cells", "new_cells", "edited_found")
     sets = _difference(sets, "own", "other", "own_cells", "other_cells", "next_found")
     return sets.select(
