@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.llm import fingerprints
 from tidemark.llm.catalog import ORACLE, QUERIES
 from tidemark.llm.components import components
 from tidemark.llm.fingerprints import fingerprint_edits, with_next_text
@@ -263,6 +264,25 @@ def test_fingerprints_of_long_lines(spark):
     assert all(found[k].near_edited > 0.5 for k in (0, 2, 3, 6)) and found[len(texts) - 2].near_next > 0.9
 
 
+@pytest.mark.parametrize("load", [None, 3])
+def test_larger_sketch_in_one_sort(spark, load):
+    """Every digest of one side alone is shown or left for the next retry, once; with enough cells few are left."""
+    rng = random.Random(4)
+    draw = lambda n: [rng.randrange(-(2**63), 2**63) for _ in range(n)]
+    both = draw(300)
+    pairs = [(0, draw(1500), draw(1700)), (1, both + draw(40), draw(30) + both[::-1]), (2, draw(1), []), (3, [], draw(60)), (4, both, both)]
+    frame = spark.createDataFrame(pairs, "k long, own array<bigint>, other array<bigint>")
+    differ = {k: {(1, x) for x in set(a) - set(b)} | {(-1, x) for x in set(b) - set(a)} for k, a, b in pairs}
+    loads = F.lit(float(load)) if load else F.element_at(F.array(*[F.lit(float(max(1, len(differ[k])))) for k, *_ in pairs]), F.col("k").cast("int") + 1)
+    sketches = {c: fingerprints.sketch(F.col(of)) for c, of in (("a", "own"), ("b", "other"))}
+    found = frame.withColumn("made", fingerprints._larger("own", "other", loads)).withColumns(sketches)
+    for r in fingerprints._difference(found, "own", "other", "a", "b", "out").collect():
+        shown, left = [tuple(x) for x in r.made["found"]], [tuple(x) for part in r.made["rest"] for x in part["keys"]]
+        assert set(shown) <= differ[r.k] <= {*shown, *left} and len(set(shown)) == len(shown) and not {*shown} & {*left}
+        assert load or len(left) <= 0.2 * len(differ[r.k]) + 20
+        assert sorted(tuple(x) for x in r.out) == sorted(differ[r.k])
+
+
 @pytest.mark.parametrize("step", [1, 10**15 + 7, -(10**15)])
 def test_next_documents_of_sparse_and_missing_ids(spark, monkeypatch, step):
     monkeypatch.setattr("tidemark.llm.fingerprints.NEIGHBOURS", 4)

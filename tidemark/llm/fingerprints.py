@@ -13,8 +13,8 @@ from tidemark.llm.common import LAST_ID, order_of, table
 TABLES, CELLS = 3, 8
 #: Peeling steps before a sketch counts as failed, and how often a failed one is retried larger.
 ROUNDS, RETRIES = 6, 4
-#: A retry has a sketch for each so many digests that differ; it deals in coarse parts first, and in at most so many at a time.
-LOAD, COARSE, PARTS = 1, 64, 64
+#: A retry has a sketch for each so many digests that differ, at most so many at a time where its parts fail again.
+LOAD, PARTS = 1, 64
 #: Documents of neighbouring ids that are shuffled together.
 NEIGHBOURS = 256
 #: Paragraphs are lines, and in them sentences or fields, cut after their marks.
@@ -50,8 +50,9 @@ def _cut_words(sentence: Column) -> Column:
     cut = let(F.split(F.trim(sentence), r"\s+"), lambda units: F.when(
         F.size(units) > MOST * WORDS, _cut(units, " ", WORDS, piece)
     ).otherwise(F.array(sentence)))
-    # shorter ones cannot hold so many words, even with an empty one at either end, and are not split
-    return F.when(F.length(sentence) < 2 * MOST * WORDS - 2, F.array(sentence)).otherwise(cut)
+    # others cannot hold so many words, even with an empty one at either end, and are not split
+    long = (F.length(sentence) >= 2 * MOST * WORDS - 2) & F.rlike(sentence, F.lit(rf"^\s*+(?:\S++\s++){{{MOST * WORDS - 2}}}\S"))
+    return F.when(long, cut).otherwise(F.array(sentence))
 
 
 def _cut_characters(text: Column) -> Column:
@@ -179,12 +180,73 @@ def peel(cells: Column, level: int = 0) -> Column:
     )
 
 
-def _signed(keys: Column, n: int) -> Column:
-    return F.transform(keys, lambda k: F.struct(F.lit(n).alias("n"), k.alias("key")))
+def _larger(left: str, right: str, load: Column) -> Column:
+    """(found, rest): a larger sketch of both versions' digests, its first subtable read, with CELLS cells for each of ``load``.
+
+    Digests are brought together by cell in one sort of their places, and only cells that hold any are made. A cell adds up to
+    the difference of both versions; one that is left with a single digest shows it. ``rest`` are the digests of the others.
+    """
+    keys, ours = F.concat(F.col(left), F.col(right)), F.size(left)
+    # an odd number, so that a cell says little about the bits that its digests are dealt by next
+    cells = (F.floor(load * (CELLS / LOAD)) + 1).bitwiseOR(F.lit(1))
+    nothing = _cell(F.lit(0), F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+
+    def sign(place: Column) -> Column:
+        return F.when(place < ours, 1).otherwise(-1)
+
+    def read(both: Column) -> Column:
+        placed = F.transform(
+            both["keys"],
+            lambda key, at: F.shiftleft(F.pmod(F.shiftrightunsigned(key, 17), both["cells"]), 32).bitwiseOR(at.cast("bigint")),
+        )
+        return let(F.sort_array(placed), lambda order: grouped(both["keys"], order))
+
+    def grouped(keys: Column, order: Column) -> Column:
+        def first(at: Column) -> Column:
+            return (at == 0) | (F.shiftright(F.get(order, at), 32) != F.shiftright(F.get(order, at - 1), 32))
+
+        def held(starts: Column) -> Column:
+            return F.transform(starts, lambda start, n: F.slice(order, start + 1, F.coalesce(F.get(starts, n + 1), F.size(order)) - start))
+
+        places = F.filter(F.sequence(F.lit(0), F.size(order) - 1), first)
+        return let(let(places, held), lambda members: decided(keys, members))
+
+    def decided(keys: Column, members: Column) -> Column:
+        def place(packed: Column) -> Column:
+            return packed.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+        def add(now: Column, packed: Column) -> Column:
+            def plus(key: Column) -> Column:
+                return _cell(now["n"] + sign(place(packed)), now["key"].bitwiseXOR(key), now["check"].bitwiseXOR(F.xxhash64(key)))
+
+            return let(F.get(keys, place(packed)), plus)
+
+        def several(cell: Column) -> Column:
+            empty = (cell["n"] == 0) & (cell["key"] == 0) & (cell["check"] == 0)
+            bare = (F.abs(cell["n"]) == 1) & (cell["check"] == F.xxhash64(cell["key"]))
+            return F.when(empty, 0).when(bare, 1).otherwise(2)
+
+        def signed(packed: Column) -> Column:
+            return F.struct(sign(place(packed)).alias("n"), F.get(keys, place(packed)).alias("key"))
+
+        made = F.transform(members, lambda m: F.struct(m.alias("m"), F.aggregate(m, nothing, add).alias("cell")))
+        told = F.transform(made, lambda c: F.struct(c["m"].alias("m"), c["cell"].alias("cell"), several(c["cell"]).alias("several")))
+        return let(
+            told,
+            lambda t: F.struct(
+                F.transform(F.filter(t, lambda c: c["several"] == 1), lambda c: F.struct(c["cell"]["n"].alias("n"), c["cell"]["key"].alias("key"))).alias("found"),
+                F.transform(
+                    F.filter(t, lambda c: c["several"] == 2),
+                    lambda c: F.struct(F.transform(c["m"], signed).alias("keys"), F.size(c["m"]).cast("double").alias("load")),
+                ).alias("rest"),
+            ),
+        )
+
+    return let(F.struct(keys.alias("keys"), cells.alias("cells")), read)
 
 
-def _parts(load: int, most: int, shift: int) -> Callable[[Column], Column]:
-    """Deals the signed digests of both versions into parts for so many that differ, by further bits of them."""
+def _parts(shift: int) -> Callable[[Column], Column]:
+    """Deals the signed digests of both versions into parts for LOAD that differ, by further bits of them."""
 
     def parts(pair: Column) -> Column:
         def dealt(both: Column) -> Column:
@@ -205,7 +267,7 @@ def _parts(load: int, most: int, shift: int) -> Callable[[Column], Column]:
             )
             return let(F.struct(marked.alias("hashed"), count.alias("count")), dealt)
 
-        return let(F.least(F.lit(most), F.floor(pair["load"] / load).cast("int") + 1), hashed)
+        return let(F.least(F.lit(PARTS), F.floor(pair["load"] / LOAD).cast("int") + 1), hashed)
 
     return parts
 
@@ -247,29 +309,28 @@ def _tries(level: int) -> Callable[[Column], Column]:
 def _difference(df: DataFrame, left: str, right: str, left_cells: str, right_cells: str, out: str) -> DataFrame:
     """Adds ``out``: the digests of one version alone, from the published sketches or, where those fail, larger ones.
 
-    A failed sketch is retried larger: its digests are dealt by hash into parts, the more the more digests differ as
-    the published cells tell, first coarsely and then into parts of about LOAD, with a sketch of fresh cells for each
-    part. Parts that fail again are cut again. What still fails after RETRIES is
-    compared digest by digest, so nothing is lost. All of it happens in the row.
+    A failed sketch is retried larger, the larger the more digests differ as the published cells tell. What its first
+    subtable does not show is dealt by hash into parts of about LOAD, with a sketch of fresh cells in three subtables for
+    each. Parts that fail again are cut again. What still fails after RETRIES is compared digest by digest, so nothing is
+    lost. All of it happens in the row, in time linear in the digests.
     """
-    tried, found, rest = f"_{out}_tried", f"_{out}_found", f"_{out}_rest"
+    tried, larger, found, rest = (f"_{out}_{part}" for part in ("tried", "larger", "found", "rest"))
     df = df.withColumn(tried, peel(subtract(F.col(left_cells), F.col(right_cells))))
     # the counts' squares add up to about three times the number of digests that differ
     squares = F.aggregate(
         F.zip_with(left_cells, right_cells, lambda x, y: (x["n"] - y["n"]) * (x["n"] - y["n"])), F.lit(0), lambda s, x: s + x
     )
     load = F.least(squares / 3 + LOAD, (F.size(left) + F.size(right)).cast("double"))
-    keys = F.concat(_signed(F.col(left), 1), _signed(F.col(right), -1))
-    whole = F.array(F.struct(keys.alias("keys"), load.alias("load"))).cast(PART)
+    df = df.withColumn(larger, F.when(F.col(tried)["failed"], _larger(left, right, load)))
     df = df.withColumns(
         {
-            found: F.when(F.col(tried)["failed"], F.array().cast(FOUND)).otherwise(F.col(tried)["found"]),
-            rest: F.when(F.col(tried)["failed"], F.flatten(F.transform(whole, _parts(COARSE, PARTS, 17)))).otherwise(F.array().cast(PART)),
+            found: F.coalesce(F.col(larger)["found"], F.col(tried)["found"]).cast(FOUND),
+            rest: F.coalesce(F.col(larger)["rest"], F.array().cast(PART)).cast(PART),
         }
     )
     for level in range(1, RETRIES + 1):
         # the columns are read more than once, so that Spark keeps each level's work to itself
-        dealt = F.flatten(F.transform(rest, _parts(LOAD, PARTS, 35 + 5 * level)))
+        dealt = F.flatten(F.transform(rest, _parts(35 + 5 * level)))
         df = df.withColumn(tried, F.when(F.size(rest) > 0, F.transform(dealt, _tries(level))))
         more = F.flatten(F.transform(F.filter(tried, lambda t: ~t["p"]["failed"]), lambda t: t["p"]["found"]))
         left_over = F.transform(
@@ -287,7 +348,7 @@ def _difference(df: DataFrame, left: str, right: str, left_cells: str, right_cel
         keys = part["keys"]
         return F.filter(keys, lambda k: ~F.exists(keys, lambda o: (o["key"] == k["key"]) & (o["n"] != k["n"])))
 
-    return df.withColumn(out, F.concat(F.col(found), F.flatten(F.transform(rest, alone)))).drop(tried, found, rest)
+    return df.withColumn(out, F.concat(F.col(found), F.flatten(F.transform(rest, alone)))).drop(tried, larger, found, rest)
 
 
 def likeness(difference: str, left: str, right: str) -> Column:
