@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 
 import pyarrow as pa
@@ -9,6 +10,7 @@ import pytest
 from tidemark.operators import tfidf
 from tidemark.operators.models import Featurizer
 from tidemark.operators.sequences import sequence_ids, sequence_vocabulary
+from tidemark.operators.text_pipeline import TfidfModel
 from tidemark.operators.tfidf import _term_sums, as_features, fit_vocabulary, term_df, tfidf_vectors, tfidf_weights
 
 TEXTS = {1: "red fish blue fish", 2: "red bird", 3: "blue bird red bird", 4: "", 5: "zebra"}
@@ -104,3 +106,23 @@ def test_terms_are_added_up_before_spark_sees_a_row_of_them(spark, monkeypatch):
     assert {t: (d, n) for t, d, n in zip(*(c.to_pylist() for c in _term_sums(many).columns))} == {
         "ab": (1, 2), "cd": (2, 2), "ab cd": (1, 1), "cd ab": (1, 1),
     }
+
+
+def test_pipeline_weights_from_words_alone(spark, monkeypatch):
+    """Weights of words and pairs, added up by hand; pairs are never made as strings, and pieces do not matter."""
+    monkeypatch.setattr("tidemark.operators.tfidf.COUNTED_WORDS", 4)
+    terms, idf = ["bb", "aa bb", "aa", "bb aa", "x y z", "cc dd"], [1.5, 2.0, 1.25, 3.0, 9.0, 7.0]
+    texts = ["aa bb aa, bb aa", None, "", "zz cc aa zz bb", "dd cc", "cc dd x y z bb bb bb", "é_1 AA  bb", "bb", "zz"]
+    rows = [(k, text) for k, text in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    out = TfidfModel(terms=terms, idf=idf).transform(frame)
+    for row in out.collect():
+        found = re.findall(r"\w{2,}", (row.text or "").lower())
+        counts = Counter(t for t in found + [f"{a} {b}" for a, b in zip(found, found[1:])] if t in terms)
+        raw = {terms.index(t): (math.log(n) + 1) * idf[terms.index(t)] for t, n in counts.items()}
+        length = math.sqrt(sum(x * x for x in raw.values()))
+        assert row.features.size == len(terms) and list(row.features.indices) == sorted(raw)
+        assert list(row.features.values) == pytest.approx([raw[i] / length for i in sorted(raw)], rel=1e-14)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "zip_with" not in plan and "concat_ws" not in plan
+    assert [r.features.size for r in TfidfModel(terms=[], idf=[]).transform(frame).collect()] == [1] * len(texts)

@@ -6,17 +6,17 @@ and its written vectors and are fitted side by side.
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Sequence
 from itertools import product
 from threading import Lock
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol, HasPredictionCol, HasSeed
 from pyspark.ml.tuning import CrossValidator
@@ -24,10 +24,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import unigrams_and_bigrams, words
+from tidemark.functions.text import words
 from tidemark.operators.metrics import metrics
 from tidemark.operators.models import FOLDS, FOREST_GRID, fit_forest, scored_texts, with_folds
-from tidemark.operators.tfidf import MAX_TERMS, MIN_DF, fit_vocabulary
+from tidemark.operators.tfidf import MAX_TERMS, MIN_DF, fit_vocabulary, lookup, weighed_vectors
 from tidemark.session import materialize
 
 # Candidates fitted at a time.
@@ -35,23 +35,20 @@ SIDE_BY_SIDE = 4
 
 
 def _weigher(terms: Sequence[str], idf: Sequence[float]):
-    place, size = {term: i for i, term in enumerate(terms)}, max(len(terms), 1)
+    known, weight = lookup(terms), np.array(idf, np.float64)
 
-    def weigh(found):
-        counts = Counter(place[term] for term in found or () if term in place)
-        indices = sorted(counts)
-        raw = [(math.log(counts[i]) + 1) * idf[i] for i in indices]
-        length = math.sqrt(sum(value * value for value in raw))
-        return SparseVector(size, indices, [value / length for value in raw])
+    @F.arrow_udf(VectorUDT())
+    def weigh(tokens: pa.Array) -> pa.Array:
+        return weighed_vectors(known, weight, tokens)
 
-    return F.udf(weigh, VectorUDT(), useArrow=True)
+    return weigh
 
 
 class TfidfModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """Texts to the weights of ``tfidf_vectors`` as one vector a row, without a shuffle: rows of a stream too.
 
-    A null or empty text, or one of unknown terms, gives the zero vector. Terms are found by expressions; only looking them up
-    and weighing them is Python, in Arrow batches. The vocabulary goes along with the function: ``MAX_TERMS`` terms at most.
+    A null or empty text, or one of unknown terms, gives the zero vector. Words are found by expressions; looking terms up,
+    pairs by the numbers of their words, and weighing them is done on Arrow batches as a whole. The vocabulary goes along with the function: ``MAX_TERMS`` terms at most.
     """
 
     terms = Param(Params._dummy(), "terms", "vocabulary, in order of position", TypeConverters.toListString)
@@ -64,9 +61,8 @@ class TfidfModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, Defaul
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        found = unigrams_and_bigrams(words(F.col(self.getInputCol())))
         weigh = _weigher(self.getOrDefault(self.terms), self.getOrDefault(self.idf))
-        return dataset.withColumn(self.getOutputCol(), weigh(found))
+        return dataset.withColumn(self.getOutputCol(), weigh(words(F.col(self.getInputCol()))))
 
 
 class TfidfVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):

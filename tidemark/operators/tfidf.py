@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -73,14 +74,19 @@ def _term_sums(docs: pa.ListArray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([terms, pa.array(df), pa.array(total)], ["term", "df", "total"])
 
 
+def _pieces(docs: pa.ListArray) -> Iterator[pa.ListArray]:
+    """Documents of about COUNTED_WORDS words at a time."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(docs), 0).to_numpy().astype(np.int64))
+    cuts = np.flatnonzero(np.diff(ends // COUNTED_WORDS)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(docs)]):
+        if end > start:
+            yield docs.slice(start, end - start)
+
+
 def _term_sums_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        docs = batch.column(0)
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(docs), 0).to_numpy().astype(np.int64))
-        cuts = np.flatnonzero(np.diff(ends // COUNTED_WORDS)) + 1
-        for start, end in zip([0, *cuts], [*cuts, len(docs)]):
-            if end > start:
-                yield _term_sums(docs.slice(start, end - start))
+        for piece in _pieces(batch.column(0)):
+            yield _term_sums(piece)
 
 
 def term_df(docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df: int = MIN_DF) -> DataFrame:
@@ -94,6 +100,70 @@ def term_df(docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df:
     return stats.agg(F.sum("df").alias("df"), F.sum("total").alias("total")).filter(F.col("df") >= min_df)
 
 
+class Lookup(NamedTuple):
+    """The words in a list of terms, the place of each as a term (-1: none), and the pairs as numbers in order, with their places."""
+
+    words: pa.Array
+    place: np.ndarray
+    pairs: np.ndarray
+    pair_place: np.ndarray
+
+
+def lookup(terms: Sequence[str]) -> Lookup:
+    known = {term: place for place, term in enumerate(terms)}
+    parts = {term: term.split(" ") for term in known}
+    code = {word: n for n, word in enumerate(dict.fromkeys(word for part in parts.values() if len(part) < 3 for word in part))}
+    place = np.full(len(code) + 1, -1, np.int64)
+    pairs = []
+    for term, part in parts.items():
+        if len(part) == 1:
+            place[code[term]] = known[term]
+        elif len(part) == 2:
+            pairs.append((code[part[0]] * len(code) + code[part[1]], known[term]))
+    numbers = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+    return Lookup(pa.array(list(code), pa.string()), place, numbers[:, 0].copy(), numbers[:, 1].copy())
+
+
+def _weighed(known: Lookup, idf: np.ndarray, docs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of terms of each document, indices, values) of the weights of known terms in documents, given as their lists of words."""
+    tokens = docs.flatten()
+    found = pc.index_in(tokens, value_set=known.words.cast(tokens.type))
+    # words that are in no term have the number -1, whose place is -1 too
+    code = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(len(docs)), pc.fill_null(pc.list_value_length(docs), 0).to_numpy())
+    inside = np.flatnonzero((owner[1:] == owner[:-1]) & (code[1:] >= 0) & (code[:-1] >= 0))
+    place, pair_place = known.place[code], np.full(len(inside), -1, np.int64)
+    if len(known.pairs):
+        number = code[inside] * len(known.words) + code[inside + 1]
+        at = np.minimum(np.searchsorted(known.pairs, number), len(known.pairs) - 1)
+        pair_place = np.where(known.pairs[at] == number, known.pair_place[at], -1)
+    size = max(len(idf), 1)
+    keys = np.concatenate([owner[place >= 0] * size + place[place >= 0], owner[inside[pair_place >= 0]] * size + pair_place[pair_place >= 0]])
+    key, tf = np.unique(keys, return_counts=True)
+    of, index = key // size, key % size
+    times, which = np.unique(tf, return_inverse=True)
+    raw = (np.array([math.log(n) for n in times])[which] + 1) * idf[index] if len(key) else np.empty(0)
+    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    # added up with some digits more, so that a length hardly depends on the order of its terms
+    length = np.sqrt(np.add.reduceat((raw * raw).astype(np.longdouble), starts).astype(np.float64)) if len(starts) else raw
+    terms = np.bincount(of, minlength=len(docs))
+    return terms, index, raw / np.repeat(length, terms[terms > 0])
+
+
+def weighed_vectors(known: Lookup, idf: np.ndarray, docs: pa.ListArray) -> pa.StructArray:
+    """The weights of documents as stored vectors."""
+    parts = [_weighed(known, idf, piece) for piece in _pieces(docs)]
+    lengths, indices, values = (np.concatenate([part[k] for part in parts] or [np.empty(0, np.int64)]) for k in range(3))
+    ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+    columns = {
+        "type": pa.array(np.zeros(len(docs), np.int8)),
+        "size": pa.array(np.full(len(docs), max(len(idf), 1), np.int32)),
+        "indices": pa.ListArray.from_arrays(ends, pa.array(indices.astype(np.int32))),
+        "values": pa.ListArray.from_arrays(ends, pa.array(values.astype(np.float64))),
+    }
+    return pa.StructArray.from_arrays(list(columns.values()), list(columns))
+
+
 def fit_vocabulary(
     docs: DataFrame, id_col: str = "id", text_col: str = "text", min_df: int = MIN_DF, max_terms: int = MAX_TERMS
 ) -> DataFrame:
