@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import DenseVector, SparseVector
+from pyspark.sql import functions as F
 
 from tidemark.operators import forest
 from tidemark.operators.forest import Bins, ForestModel, Level, bag_weights, draw_level, grow_forest
@@ -121,3 +123,13 @@ def test_depth_nought_least_rows_and_unfit_labels(spark):
             grow_forest(data.unionByName(spark.createDataFrame([(bad, DenseVector([0.0, 1.0]))], data.schema)), 2, 2, 1)
     with pytest.raises(ValueError, match="rows"):
         grow_forest(data.limit(0), 2, 2, 1)
+
+
+def test_leaves_go_down_to_one_row_however_many_rows(spark, tmp_path):
+    """As many rows as had leaves of two at least before."""
+    numbers = array_to_vector(F.array(*(F.rand(n) for n in range(4)))).alias("features")
+    spark.range(140_000).select((F.rand(9) < 0.5).cast("int").alias("label"), numbers).write.parquet(str(tmp_path / "rows"))
+    data = spark.read.parquet(str(tmp_path / "rows"))
+    fitted, whole = fit_forest(data, trees=1, depth=13).nodes, grow_forest(data, 1, 13, 42, least=1)
+    assert all(np.array_equal(a, b) for a, b in zip(fitted, whole))
+    assert len(grow_forest(data, 1, 13, 42, least=2).feature) < len(fitted.feature)

@@ -20,9 +20,6 @@ from tidemark.session import materialize
 KNN_GRID = (5, 11, 21)
 FOREST_GRID = {"trees": (200, 400), "depth": (20, 30)}
 FOLDS = 3
-# A leaf holds a share of the rows of at least one in this number, so that a tree on the driver stays bounded. Up to twice as
-# many rows that is one row, as published.
-LEAVES = 65_536
 
 
 @dataclass
@@ -48,7 +45,8 @@ class Featurizer:
 
 
 def fit_forest(features: DataFrame, trees: int = 200, depth: int = 30, seed: int = 42, label_col: str = "label") -> ForestModel:
-    return ForestModel(grow_forest(features, trees, depth, seed, label_col, max(1, features.count() // LEAVES)), trees)
+    """A forest whose leaves hold one row at least, as published, however many rows there are."""
+    return ForestModel(grow_forest(features, trees, depth, seed, label_col), trees)
 
 
 def forest_predictions(model: ForestModel, features: DataFrame) -> DataFrame:
