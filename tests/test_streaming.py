@@ -1,15 +1,20 @@
 from __future__ import annotations
 
 import json
+import random
 from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQueryException
 
 from tidemark.operators.merge import AmbiguousMergeError
 from tidemark.sources.buckets import Buckets
+from tidemark.streaming import serving
 from tidemark.streaming.cdc import CUSTOMERS, ORDERS, TableSpec, await_all, change_stream, read_live, serving_view, start_cdc
 from tidemark.streaming.envelope import ORDER_CASTS, ORDER_ROW, unwrap
 from tidemark.streaming.serving import served, start_serving
@@ -175,3 +180,72 @@ def test_the_serving_query_writes_its_batches_in_several_tasks(spark, tmp_path,
     monkeypatch.setattr(catalog, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
     assert catalog.QUERIES["serving_stream"](spark, str(tmp_path)).count() == 200
     assert len(list(tmp_path.glob("serving-inbox/*.parquet"))) > 2
+
+
+class Parts(dict):
+    """State as a processor sees it, with the calls counted."""
+
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+
+def passed_on(state, rows, now, days=90):
+    """What passes of rows of (key, version 1, version 2), all of one group."""
+    columns = {"k": [r[0] for r in rows], "v": [r[1] for r in rows], "w": [r[2] for r in rows], "_place": [len(str(r[0])) % serving.PARTS for r in rows]}
+    table = pa.table(columns, pa.schema([("k", pa.string()), ("v", pa.int64()), ("w", pa.string()), ("_place", pa.int64())]))
+    processor = serving.NewestVersions(["k", "v", "w"], ["k"], ["v", "w"], days)
+    processor.newest = state
+    halves = [Row(_rows=serving._packed(table.slice(a, b))) for a, b in ((0, len(rows) // 2), (len(rows) // 2, None))]
+    timer = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+    return [(r["k"], r["v"], r["w"]) for out in processor.handleInputRows((0,), iter(halves), timer) for r in serving._unpacked([out["_rows"]]).to_pylist()]
+
+
+def test_state_is_read_and_written_in_parts_and_not_by_key():
+    rng, state, held = random.Random(4), Parts(), {}
+    for batch in range(6):
+        rows = [(rng.choice([None, *map(str, range(0, 9000, 3))]), rng.randrange(4), rng.choice("ab")) for _ in range(4000)]
+        best = {}
+        for row in rows:
+            if row[1:] > best.get(row[0], held.get(row[0], (-1, ""))):
+                best[row[0]] = row[1:]
+        state.calls = 0
+        got = passed_on(state, rows, batch)
+        assert sorted(got, key=str) == sorted(((k, *v) for k, v in best.items()), key=str)
+        assert state.calls <= 2 * serving.PARTS
+        held |= best
+
+
+def test_versions_are_forgotten_days_after_their_keys_last_change():
+    state, day = Parts(), serving.DAY_MS
+    assert passed_on(state, [("a", 5, "x"), ("b", 5, "x")], 0) == [("a", 5, "x"), ("b", 5, "x")]
+    assert passed_on(state, [("a", 6, "x"), ("b", 4, "x")], 50 * day) == [("a", 6, "x")]
+    assert passed_on(state, [("a", 3, "x"), ("b", 3, "x")], 90 * day) == [("b", 3, "x")]
+    assert passed_on(state, [("a", 3, "x"), ("b", 3, "x")], 140 * day) == [("a", 3, "x")]
+
+
+def test_newest_rows_by_keys_of_several_columns_and_any_order():
+    rng = random.Random(8)
+    rows = [(rng.choice([None, 1, 2]), rng.choice([None, "p", "q"]), rng.choice("zyx"), datetime(2024, 1, rng.randrange(1, 4))) for _ in range(60)]
+    table = pa.table({name: pa.array([r[n] for r in rows]) for n, name in enumerate("abcd")})
+    best = {}
+    for n, (a, b, c, d) in enumerate(rows):
+        if (a, b) not in best or (d, c) > best[a, b][0]:
+            best[a, b] = (d, c), n
+    assert serving.newest_of(table, ["a", "b"], ["d", "c"]).tolist() == sorted(n for _, n in best.values())
+
+
+def test_a_batch_goes_through_the_state_once(spark, tmp_path, monkeypatch):
+    merged = []
+    monkeypatch.setattr(Buckets, "merge", lambda self, changes: merged.append(len(changes.inputFiles())))
+    inbox, schema = str(tmp_path / "in"), "k long, at long"
+    spark.createDataFrame([(1, 1), (2, 1), (2, 2)], schema).write.parquet(inbox)
+    stream = spark.readStream.schema(schema).parquet(inbox)
+    start_serving(stream, Buckets(str(tmp_path / "t"), ["k"], ["at"], 2), str(tmp_path / "c"), once=True).awaitTermination()
+    assert merged and all(merged)
