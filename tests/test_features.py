@@ -126,3 +126,18 @@ def test_pipeline_weights_from_words_alone(spark, monkeypatch):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "zip_with" not in plan and "concat_ws" not in plan
     assert [r.features.size for r in TfidfModel(terms=[], idf=[]).transform(frame).collect()] == [1] * len(texts)
+
+
+def test_rows_of_one_id_are_one_document_whatever_the_batches(spark, monkeypatch):
+    """Pairs don't reach from one row to the next; no row is made for each term."""
+    monkeypatch.setattr(tfidf, "COUNTED_WORDS", 3)
+    rows = [(1, "red fish"), (2, "red bird blue"), (1, "blue fish red"), (None, "red"), (None, "blue red"), (3, None), (2, "bird"), (4, "zebra")]
+    vocabulary = spark.createDataFrame([(t, n, 1, 1.0 + n) for n, t in enumerate(["blue", "fish", "red", "red fish", "fish blue"])], "term string, idx int, df long, idf double")
+    vectors = tfidf_vectors(spark.createDataFrame(rows, "id int, text string").coalesce(1), vocabulary)
+    assert "HashAggregate" not in vectors._jdf.queryExecution().toString()
+    raw = {1: {0: 1.0, 1: 2 * (1 + math.log(2)), 2: 3 * (1 + math.log(2)), 3: 4.0}, 2: {0: 1.0, 2: 3.0}, None: {0: 1.0, 2: 3 * (1 + math.log(2))}, 3: {}, 4: {}}
+    got = {r["id"]: dict(zip(r["indices"], r["values"])) for r in vectors.collect()}
+    assert set(got) == set(raw)
+    for i, terms in raw.items():
+        length = math.sqrt(sum(x * x for x in terms.values()))
+        assert got[i] == pytest.approx({t: x / length for t, x in terms.items()})

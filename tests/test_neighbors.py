@@ -108,3 +108,33 @@ def test_votes(spark):
     assert rows[1, 0]["vote"] == 4.0 and rows[1, 1]["vote"] == 4.0 and rows[1, 1]["predicted"] == 0
     assert rows[2, 0]["proba"] == 1.0 and rows[2, 1]["proba"] == 0.0 and rows[2, 1]["predicted"] == 0
     assert {r["label"] for r in knn_vote(near, labels, k=1).collect() if r["query_id"] == 1} == {0}
+
+
+@pytest.mark.parametrize("block, chunk, columns", [(4096, 1024, 2048), (16, 7, 3), (5, 40, 0)])
+def test_sparse_blocks_against_brute_force(spark, monkeypatch, block, chunk, columns):
+    """Frequent, rare and unknown terms, equal vectors, empty ones; queries that have k and meet further blocks."""
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(neighbors, "MAX_COLUMNS", columns)
+
+    def rows(first, count):
+        out = []
+        for i in range(first, first + count):
+            chosen = sorted({*(int(t) for t in rng.integers(0, 6, 3)), *(int(t) for t in rng.integers(6, 400, 5))}) if i % 11 else []
+            out.append((i, chosen, [float(x) for x in rng.choice([0.5, 1.0, 2.0], len(chosen))]))
+        return out
+
+    known, asked = rows(0, 150), rows(1000, 25)
+    known += [(500 + i, *known[3][1:]) for i in range(20)]
+    wide = lambda some: [(i, np.bincount(t, v, 400) if t else np.zeros(400)) for i, t, v in some]
+    frame = lambda some: spark.createDataFrame(some, "id int, indices array<int>, values array<double>")
+    got = found(nearest(frame(asked), frame(known), 7, block_rows=block, chunk_rows=chunk))
+    want = brute_force(wide(asked), wide(known), 7)
+    assert {q: [c for c, _ in r] for q, r in got.items()} == {q: [c for c, _ in r] for q, r in want.items()}
+    assert all([s for _, s in got[q]] == pytest.approx([s for _, s in want[q]]) for q in want)
+
+
+def test_what_falls_short_of_the_kth_best_is_not_ranked(monkeypatch):
+    best, found = np.array([[0.9, 0.8], [0.5, 0.4]]), np.array([[4, 9], [7, 8]])
+    monkeypatch.setattr(neighbors, "_best", None)
+    neighbors._merged(best, found, np.array([0, 1]), np.array([[0.8, 0.1, 0.79], [0.1, 0.3, 0.6]]), np.array([5, 6, 10]), 2)
+    assert found.tolist() == [[4, 5], [10, 7]] and best.tolist() == [[0.9, 0.8], [0.6, 0.5]]

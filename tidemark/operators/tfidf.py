@@ -124,8 +124,11 @@ def lookup(terms: Sequence[str]) -> Lookup:
     return Lookup(pa.array(list(code), pa.string()), place, numbers[:, 0].copy(), numbers[:, 1].copy())
 
 
-def _weighed(known: Lookup, idf: np.ndarray, docs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(number of terms of each document, indices, values) of the weights of known terms in documents, given as their lists of words."""
+def _weighed(known: Lookup, idf: np.ndarray, docs: pa.ListArray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of terms of each document, indices, values) of the weights of known terms in documents, given as their lists of words.
+
+    With ``of`` lists are parts of documents, which are numbered from 0 on.
+    """
     tokens = docs.flatten()
     found = pc.index_in(tokens, value_set=known.words.cast(tokens.type))
     # words that are in no term have the number -1, whose place is -1 too
@@ -138,15 +141,17 @@ def _weighed(known: Lookup, idf: np.ndarray, docs: pa.ListArray) -> tuple[np.nda
         at = np.minimum(np.searchsorted(known.pairs, number), len(known.pairs) - 1)
         pair_place = np.where(known.pairs[at] == number, known.pair_place[at], -1)
     size = max(len(idf), 1)
+    count = len(docs) if of is None else int(of.max(initial=-1)) + 1
+    owner = owner if of is None else of[owner]
     keys = np.concatenate([owner[place >= 0] * size + place[place >= 0], owner[inside[pair_place >= 0]] * size + pair_place[pair_place >= 0]])
     key, tf = np.unique(keys, return_counts=True)
-    of, index = key // size, key % size
+    document, index = key // size, key % size
     times, which = np.unique(tf, return_inverse=True)
     raw = (np.array([math.log(n) for n in times])[which] + 1) * idf[index] if len(key) else np.empty(0)
-    starts = np.flatnonzero(np.diff(of, prepend=-1))
+    starts = np.flatnonzero(np.diff(document, prepend=-1))
     # added up with some digits more, so that a length hardly depends on the order of its terms
     length = np.sqrt(np.add.reduceat((raw * raw).astype(np.longdouble), starts).astype(np.float64)) if len(starts) else raw
-    terms = np.bincount(of, minlength=len(docs))
+    terms = np.bincount(document, minlength=count)
     return terms, index, raw / np.repeat(length, terms[terms > 0])
 
 
@@ -190,20 +195,54 @@ def _raw_weight() -> Column:
     return (F.log("tf") + 1) * F.col("idf")
 
 
+def _vectors(known: Lookup, idf: np.ndarray):
+    """A task over (id, tokens) in order of ids: (id, indices, values) for each id; its rows are parts of one document."""
+
+    def weighed(rows: pa.Table) -> pa.RecordBatch:
+        ids, tokens = rows["id"].combine_chunks(), rows["tokens"].combine_chunks()
+        code = ids.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        first = np.flatnonzero(np.diff(code, prepend=-1))
+        of = np.cumsum(np.diff(code, prepend=-1) != 0) - 1
+        terms, indices, values = _weighed(known, idf, tokens, of)
+        ends = pa.array(np.concatenate([[0], np.cumsum(terms)]).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (indices.astype(np.int32), values.astype(np.float64))]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(first)), *lists], ["id", "indices", "values"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            # documents of about COUNTED_WORDS words at a time; the last one may go on
+            starts = 0
+            for piece in _pieces(batch.column(1)):
+                rows = pa.Table.from_batches([batch.slice(starts, len(piece))])
+                starts += len(piece)
+                rows = rows if held is None else pa.concat_tables([held, rows])
+                code = rows["id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+                last = int(np.flatnonzero(np.diff(code, prepend=-1))[-1])
+                if last:
+                    yield weighed(rows.slice(0, last))
+                held = rows.slice(last)
+        if held is not None:
+            yield weighed(held)
+
+    return weigh
+
+
 def tfidf_vectors(
     docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, indices, values): one sparse row per document, also for documents without known terms."""
-    raw = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary), "term", "left").withColumn("raw", _raw_weight())
-    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
-    rows = raw.groupBy("id").agg(
-        F.sort_array(F.collect_list(entry)).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length")
-    )
-    return rows.select(
-        "id",
-        F.col("entries.idx").alias("indices"),
-        F.transform("entries.raw", lambda weight: weight / F.col("length")).alias("values"),
-    )
+    """(id, indices, values): one sparse row per document, also for documents without known terms.
+
+    Rows of one id are parts of one document. The vocabulary, ``MAX_TERMS`` rows or so, goes along with the tasks, which look
+    terms up and weigh them on whole Arrow batches.
+    """
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    placed = texts.repartition(max(1, math.ceil(chars / PARTITION_CHARS)), "id").sortWithinPartitions("id")
+    rows = sorted(vocabulary.select("idx", "term", "idf").collect())
+    known, idf = lookup([row["term"] for row in rows]), np.array([row["idf"] for row in rows], np.float64)
+    schema = T.StructType([placed.schema["id"], *T.StructType.fromDDL("indices array<int>, values array<double>")])
+    return placed.select("id", words("text").alias("tokens")).mapInArrow(_vectors(known, idf), schema)
 
 
 def as_features(vectors: DataFrame, size: int, *carried: str) -> DataFrame:
