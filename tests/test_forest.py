@@ -133,3 +133,30 @@ def test_leaves_go_down_to_one_row_however_many_rows(spark, tmp_path):
     fitted, whole = fit_forest(data, trees=1, depth=13).nodes, grow_forest(data, 1, 13, 42, least=1)
     assert all(np.array_equal(a, b) for a, b in zip(fitted, whole))
     assert len(grow_forest(data, 1, 13, 42, least=2).feature) < len(fitted.feature)
+
+
+def test_counts_travel_as_ranges_of_nodes_and_not_as_rows():
+    """Each count is there once, its node's range with it, and a range is split as its counts in order would be."""
+    rng, slots, groups, size, classes = np.random.default_rng(7), 40, 6, 64, 2
+    draw, node = draw_level(size, 3, 0), np.arange(slots).astype(np.uint32) * np.uint32(2654435761)
+    parts, width = len(draw.size), 4
+    code = rng.integers(0, parts * width * classes, 3000)
+    batches = []
+    for half in np.array_split(np.arange(3000), 3):
+        slot = np.sort(rng.integers(0, slots, len(half)))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(code[half].astype(np.int32)), pa.array(rng.integers(1, 9, len(half)))], ["slot", "code", "n"]))
+    sent = [b for batch in batches for b in forest._dealt(lambda given: given, slots, groups, iter([batch]))]
+    assert all(len(b) <= groups for b in sent)
+    bins = Bins(np.tile([1.0, 2.0, 3.0], (size, 1)), np.full(size, 3, np.int32), np.zeros(size, np.int32))
+    context = (draw, node, np.full((slots, classes), 5000), bins, width, 1)
+    got = [r for b in forest._best_of_groups(context, iter(sent)) for r in b.to_pylist()]
+    want = [r for b in forest._best_splits(context, iter(pa.Table.from_batches(batches).sort_by("slot").combine_chunks().to_batches())) for r in b.to_pylist()]
+    assert len(want) == slots and sorted(got, key=lambda r: r["slot"]) == want
+
+
+def test_products_by_which_a_feature_is_chosen():
+    for size in (1, 2, 13, 3000):
+        draw, node = draw_level(size, 5, 2), np.random.default_rng(size).integers(0, 1 << 32, 300, dtype=np.uint32)
+        odd, low, span = forest._spans(draw)
+        chosen = forest._chosen(node[:, None], draw.odd[draw.part], draw.size[draw.part]) == draw.place
+        assert np.array_equal(node[:, None] * odd - low <= span, chosen)

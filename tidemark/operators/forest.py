@@ -43,8 +43,9 @@ CHUNK = 2_000
 STORED_EVERY = 4
 MAX_FEATURES = 1 << 24
 LEAST_GAIN = 1e-12
-# Counts added up in a task before they are sent.
+# Counts added up in a task before they are sent, and about as many as are brought together in a task and split at a time.
 HELD = 1 << 20
+BROUGHT = 1 << 21
 ROWS = "row long, label int, idx array<int>, bins array<int>"
 SPLITS = "slot int, feature int, bin int, left array<long>"
 
@@ -252,8 +253,22 @@ def _bagged(trees: int, seed: int, classes: int, batches: Iterator[pa.RecordBatc
 
 
 def _summed(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(back, np.concatenate(weights), len(key)).astype(np.int64)
+    key, weight = np.concatenate(keys).astype(np.int64), np.concatenate(weights).astype(np.int64)
+    if key.max(initial=0) < 1 << 57 and weight.max(initial=0) < 1 << 6:
+        both = np.sort(key << 6 | weight)
+        key, weight = both >> 6, both & 63
+    else:
+        order = np.argsort(key, kind="stable")
+        key, weight = key[order], weight[order]
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[starts], np.add.reduceat(weight, starts) if len(starts) else weight
+
+
+def _spans(draw: Draw) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each feature its part's multiplier and the least and the number (less one) of the products by which it is chosen."""
+    size, place = draw.size[draw.part].astype(np.int64), draw.place.astype(np.int64)
+    low, high = -(-(place << 20) // size), -(-(place + 1 << 20) // size)
+    return draw.odd[draw.part], (low << 12).astype(np.uint32), ((high - low << 12) - 1).astype(np.uint32)
 
 
 def _counted(context: tuple, draw: Draw, node: np.ndarray, width: int, classes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,21 +279,31 @@ def _counted(context: tuple, draw: Draw, node: np.ndarray, width: int, classes:
         return pa.RecordBatch.from_arrays([pa.array((key // each).astype(np.int32)), pa.array((key % each).astype(np.int32)), pa.array(n)], ["slot", "code", "n"])
 
     keys, weights, held = [np.empty(0, np.int64)], [np.empty(0, np.int64)], 0
+    spans, product, chosen = _spans(draw), np.empty(0, np.uint32), np.empty(0, bool)
     for _, chunk in _chunks(batches, *context):
-        part = draw.part[chunk.idx]
-        odd, size, place = draw.odd[part], draw.size[part], draw.place[chunk.idx]
-        owner = np.repeat(np.arange(len(chunk.row)), chunk.lengths)
-        for tree in range(chunk.at.shape[1]):
-            slot, weight = chunk.at[:, tree].astype(np.int64), chunk.weight[:, tree]
-            inside = slot >= 0
-            if not inside.any():
+        odd, low, span = (by[chunk.idx] for by in spans)
+        code = (draw.part[chunk.idx].astype(np.int64) * width + chunk.bins) * classes + np.repeat(chunk.label, chunk.lengths)
+        ends = np.cumsum(chunk.lengths)
+        # all stored numbers of a row meet all its nodes: these few thousand tests stay in the cache
+        for row, (start, end) in enumerate(zip(ends - chunk.lengths, ends)):
+            trees = np.flatnonzero(chunk.at[row] >= 0)
+            if start == end or not len(trees):
                 continue
-            own = np.where(inside, node[slot], np.uint32(0))
-            hit = np.flatnonzero(_chosen(np.repeat(own, chunk.lengths), odd, size) == place)
-            hit = hit[inside[owner[hit]]]
-            by = owner[hit]
-            keys.append(slot[by] * each + (part[hit].astype(np.int64) * width + chunk.bins[hit]) * classes + chunk.label[by])
-            weights.append(weight[by])
+            slot, count = chunk.at[row, trees], len(trees) * (end - start)
+            if count > len(product):
+                product, chosen = np.empty(2 * count, np.uint32), np.zeros(2 * count + 8 & -8, bool)
+            tests, passed = (x[:count].reshape(len(trees), -1) for x in (product, chosen))
+            np.multiply(node[slot][:, None], odd[start:end], out=tests)
+            np.subtract(tests, low[start:end], out=tests)
+            np.less_equal(tests, span[start:end], out=passed)
+            # few pass, so eight at a time are looked at first
+            chosen[count : count + 8] = False
+            eight = np.flatnonzero(chosen[: count + 7 & -8].view(np.uint64))
+            at, place = np.nonzero(chosen.reshape(-1, 8)[eight])
+            hit = eight[at] * 8 + place
+            by = hit // (end - start)
+            keys.append(slot[by] * np.int64(each) + code[start + hit - by * (end - start)])
+            weights.append(chunk.weight[row, trees[by]])
             held += len(hit)
         if held > HELD:
             key, n = _summed(keys, weights)
@@ -294,27 +319,45 @@ def _gini(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 def _split(slot, code, n, draw: Draw, node: np.ndarray, total: np.ndarray, bins: Bins, width: int, least: int) -> pa.RecordBatch:
-    """The best splits of some nodes, where there are any, given all their counts; a count may come in portions."""
+    """The best splits of some nodes, where there are any, given all their counts; a count may come in portions.
+
+    Only bins that hold anything are looked at: behind an empty one a split is the one before it.
+    """
     parts, classes = len(draw.size), total.shape[1]
-    part, at, label = code // (width * classes), code // classes % width, code % classes
-    pairs, of = np.unique(slot.astype(np.int64) * parts + part, return_inverse=True)
-    counts = np.bincount((of * width + at) * classes + label, n, len(pairs) * width * classes).reshape(-1, width, classes)
+    key, n = _summed([slot.astype(np.int64) * (parts * width * classes) + code], [n])
+    cell = key // classes
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    stored = np.zeros((len(first), classes))
+    stored[np.cumsum(np.diff(cell, prepend=-1) != 0) - 1, key % classes] = n
+    cell = cell[first]
+    pair = cell // width
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    of, pairs = np.cumsum(np.diff(pair, prepend=-1) != 0) - 1, pair[first]
     by, p = pairs // parts, pairs % parts
     asked, whole = draw.order[draw.start[p] + _chosen(node[by], draw.odd[p], draw.size[p])], total[by]
-    counts[np.arange(len(pairs)), bins.zero[asked]] += whole - counts.sum(axis=1)
-    lower = counts.cumsum(axis=1)[:, :-1]
-    upper = whole[:, None] - lower
-    below, above, every = lower.sum(axis=2), upper.sum(axis=2), whole.sum(axis=1)
-    gain = _gini(whole, every)[:, None] - (below * _gini(lower, below) + above * _gini(upper, above)) / every[:, None]
-    fits = (below >= least) & (above >= least) & (np.arange(width - 1) < bins.count[asked][:, None])
-    gain = np.where(fits, gain, -1.0)
-    cut = gain.argmax(axis=1)
-    best = gain[np.arange(len(pairs)), cut]
-    first = np.lexsort((p, -best, by))
-    first = first[np.diff(by[first], prepend=-1) != 0]
-    first = first[best[first] > LEAST_GAIN]
-    left = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * classes), pa.array(lower[first, cut[first]].astype(np.int64).ravel()))
-    columns = [pa.array(x.astype(np.int32)) for x in (by[first], asked[first], cut[first])]
+    # what isn't stored is in the bin of zero
+    cell = np.concatenate([of * width + cell % width, np.arange(len(pairs)) * width + bins.zero[asked]])
+    counts = np.concatenate([stored, whole - np.add.reduceat(stored, first, axis=0)])
+    order = np.argsort(cell, kind="stable")
+    cell, counts = cell[order], counts[order]
+    first = np.flatnonzero(np.diff(cell, prepend=-1))
+    counts, of, at = np.add.reduceat(counts, first, axis=0), cell[first] // width, cell[first] % width
+    lower = counts.cumsum(axis=0)
+    start = np.flatnonzero(np.diff(of, prepend=-1))
+    lower -= (lower[start] - counts[start])[of]
+    upper = whole[of] - lower
+    below, above, every = lower.sum(axis=1), upper.sum(axis=1), whole.sum(axis=1)
+    gain = _gini(whole, every)[of] - (below * _gini(lower, below) + above * _gini(upper, above)) / every[of]
+    gain[(below < least) | (above < least) | (at >= np.minimum(bins.count[asked], width - 1)[of])] = -1.0
+    # cells are in order of nodes, parts and bins: of equal gains the first
+    owner = by[of]
+    start = np.flatnonzero(np.diff(owner, prepend=-1))
+    best = np.maximum.reduceat(gain, start)
+    equal = np.flatnonzero(gain == best[np.cumsum(np.diff(owner, prepend=-1) != 0) - 1])
+    first = equal[np.diff(owner[equal], prepend=-1) != 0]
+    first = first[gain[first] > LEAST_GAIN]
+    left = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * classes), pa.array(lower[first].astype(np.int64).ravel()))
+    columns = [pa.array(x.astype(np.int32)) for x in (owner[first], asked[of[first]], at[first])]
     return pa.RecordBatch.from_arrays([*columns, left], ["slot", "feature", "bin", "left"])
 
 
@@ -334,6 +377,29 @@ def _best_splits(context: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[
         yield _split(*(np.concatenate(column) for column in zip(*kept)), *context)
 
 
+def _dealt(count, slots: int, groups: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(group, counts): the counts of ranges of nodes, each as one value and not as a row for every count."""
+    for counted in count(batches):
+        slot, code, n = (counted.column(k).to_numpy().astype(np.int32) for k in range(3))
+        group = slot.astype(np.int64) * groups // slots
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        packed = [np.stack([slot[a:b], code[a:b], n[a:b]]).tobytes() for a, b in zip(starts, [*starts[1:], len(slot)])]
+        yield pa.RecordBatch.from_arrays([pa.array(group[starts].astype(np.int32)), pa.array(packed, pa.binary())], ["group", "counts"])
+
+
+def _best_of_groups(context: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    brought: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for group, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+            brought.setdefault(group, []).append(np.frombuffer(packed.as_buffer(), np.int32).reshape(3, -1))
+    while brought:
+        slot, code, n = np.concatenate(brought.popitem()[1], axis=1)
+        order = np.argsort(slot, kind="stable")
+        pieces = [order[a : a + HELD] for a in range(0, len(order), HELD)]
+        ordered = ([pa.array(x[piece]) for x in (slot, code, n)] for piece in pieces)
+        yield from _best_splits(context, (pa.RecordBatch.from_arrays(columns, ["slot", "code", "n"]) for columns in ordered))
+
+
 def grow_forest(features: DataFrame, trees: int, depth: int, seed: int, label_col: str = "label", least: int = 1) -> Nodes:
     """The nodes of ``trees`` trees over (label, features); nodes keep ``least`` rows at least."""
     spark = features.sparkSession
@@ -342,14 +408,14 @@ def grow_forest(features: DataFrame, trees: int, depth: int, seed: int, label_co
     rows = features.select(label.cast("int").alias("label"), indices.alias("idx"), values.alias("values"))
     seen = features.agg(
         F.count(F.lit(1)).alias("n"), F.max(label.cast("int")).alias("last"), F.count(F.when(unfit, 1)).alias("unfit"),
-        F.max(F.coalesce(F.unwrap_udt("features")["size"], F.size(values))).alias("size"),
+        F.max(F.coalesce(F.unwrap_udt("features")["size"], F.size(values))).alias("size"), F.sum(F.size(values).cast("long")).alias("stored"),
     ).first()
     if seen["unfit"] or not seen["n"] or not 0 < (seen["size"] or 0) <= MAX_FEATURES:
         raise ValueError(f"needs rows with features and labels from 0: {seen['n']} rows, {seen['unfit']} without such a label, {seen['size']} features")
     size, classes = seen["size"], seen["last"] + 1
     bins = _fit_bins(rows, size, seen["n"], seed)
     width = bins.bounds.shape[1] + 1
-    cores = spark.sparkContext.defaultParallelism
+    cores, shuffles = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     if rows.rdd.getNumPartitions() < cores:
         rows = rows.repartition(cores)
     numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "label", "idx", "values")
@@ -385,9 +451,12 @@ def grow_forest(features: DataFrame, trees: int, depth: int, seed: int, label_co
                 path, pending = moved, []
             draw, own = draw_level(size, seed, level), (_hashed(nodes[asked], seed + 1) >> np.uint64(32)).astype(np.uint32)
             count = partial(_counted, (size, roots, seed, bins.zero, list(pending)), draw, own, width, classes)
-            split = partial(_best_splits, (draw, own, counts[asked], bins, width, least))
-            by_node = data.mapInArrow(count, "slot int, code int, n long").repartition("slot").sortWithinPartitions("slot")
-            found = by_node.mapInArrow(split, SPLITS).toArrow().combine_chunks()
+            split = partial(_best_of_groups, (draw, own, counts[asked], bins, width, least))
+            # a row's numbers are chosen by one node in as many as there are parts
+            groups = max(cores, math.ceil(int(counts[asked].sum()) * (seen["stored"] or 0) / seen["n"] / len(draw.size) / BROUGHT))
+            by_group = data.mapInArrow(partial(_dealt, count, len(asked), groups), "group int, counts binary")
+            by_group = by_group.repartition(*[groups][: groups > shuffles], "group")
+            found = by_group.mapInArrow(split, SPLITS).toArrow().combine_chunks()
             if len(found):
                 at = found.column("slot").to_numpy()
                 feature[at], last[at] = found.column("feature").to_numpy(), found.column("bin").to_numpy()
