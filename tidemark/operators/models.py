@@ -13,7 +13,7 @@ from tidemark.functions.labels import SCORED_TEXT_LENGTH, seeded_hash
 from tidemark.operators.forest import ForestModel, grow_forest
 from tidemark.operators.metrics import metrics
 from tidemark.operators.neighbors import knn_vote, nearest
-from tidemark.operators.tfidf import MAX_TERMS, MIN_DF, as_features, fit_vocabulary, tfidf_vectors
+from tidemark.operators.tfidf import MAX_TERMS, MIN_DF, as_features, fit_vocabulary, term_vectors, tfidf_vectors
 from tidemark.session import materialize
 
 # The published search grids. Spark trees end at depth 30, which stands in for "no limit" and 40.
@@ -38,7 +38,7 @@ class Featurizer:
         return tfidf_vectors(docs, self.vocabulary)
 
     def features(self, docs: DataFrame, *carried: str) -> DataFrame:
-        rows = self.sparse(docs)
+        rows = term_vectors(docs, self.vocabulary)
         if carried:
             rows = rows.join(docs.select("id", *carried), "id")
         return as_features(rows, self.size, *carried)

@@ -245,6 +245,25 @@ def tfidf_vectors(
     return placed.select("id", words("text").alias("tokens")).mapInArrow(_vectors(known, idf), schema)
 
 
+def term_vectors(
+    docs: DataFrame, vocabulary: DataFrame, id_col: str = "id", text_col: str = "text"
+) -> DataFrame:
+    """``tfidf_vectors`` by a row for each term.
+
+    Slower, but a forest's random numbers go with the last bits and the layout of these rows, so that it is grown on them.
+    """
+    raw = term_counts(docs, id_col, text_col).join(F.broadcast(vocabulary), "term", "left").withColumn("raw", _raw_weight())
+    entry = F.when(F.col("idx").isNotNull(), F.struct("idx", "raw"))
+    rows = raw.groupBy("id").agg(
+        F.sort_array(F.collect_list(entry)).alias("entries"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("length")
+    )
+    return rows.select(
+        "id",
+        F.col("entries.idx").alias("indices"),
+        F.transform("entries.raw", lambda weight: weight / F.col("length")).alias("values"),
+    )
+
+
 def as_features(vectors: DataFrame, size: int, *carried: str) -> DataFrame:
     """Sparse rows as ML vectors, written once: iterative training re-reads them instead of the texts.
 
